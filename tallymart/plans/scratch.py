@@ -1,0 +1,23 @@
+"""A folder for intermediate tables that every executor can reach."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the folder in ``spark.checkpoint.dir``.
+
+    Where that is unset, as in tests, a local session gets a temporary folder; a cluster session
+    is refused, since its executors would not share one.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="tallymart-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return f"{folder.rstrip('/')}/tallymart/{uuid.uuid4().hex}/{name}"
