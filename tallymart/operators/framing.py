@@ -24,15 +24,21 @@ def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> Dat
 
 
 def split_hot(
-    df: DataFrame, keys: Sequence[str], limit: int | None = HOT_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    limit: int | None = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """(rows of ordinary groups, rows of groups above ``limit`` or ``None`` if there are none).
 
-    Counting the groups is a pass over the key columns; ``limit=None`` skips it.
+    Counting the groups is a pass over the key columns of ``counted``, or else of ``df``;
+    ``limit=None`` skips it.
     """
     if limit is None:
         return df, None
-    hot = hot_groups(df, keys, limit).select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+    hot = hot_groups(df if counted is None else counted, keys, limit).select(
+        *[F.col(k).alias(f"_hot_{k}") for k in keys]
+    )
     if hot.isEmpty():
         return df, None
     same = reduce(

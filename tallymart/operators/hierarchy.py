@@ -56,8 +56,9 @@ def flatten_hierarchy(
         ).alias("facility_type"),
         F.split("path", "/").alias("_steps"),
     )
-    names = unique_by(org_units.select("id", "level", "name"), ["id", "level"])
-    if broadcast_bytes is not None and measured_bytes(names) <= broadcast_bytes:
+    named = org_units.select("id", "level", "name")
+    names = unique_by(named, ["id", "level"])
+    if broadcast_bytes is not None and measured_bytes(named)[0] <= broadcast_bytes:
         sized_level = F.broadcast  # all levels together are small, so each is
     else:
         sized_level = partial(sized, bound=broadcast_bytes)
@@ -91,5 +92,7 @@ def enrich_with_hierarchy(
     """
     lookup = unique_by(facilities, ["facility_uid"])
     return values.join(
-        sized(lookup, broadcast_bytes), F.col("orgUnit") == F.col("facility_uid"), "left"
+        sized(lookup, broadcast_bytes, source=facilities),
+        F.col("orgUnit") == F.col("facility_uid"),
+        "left",
     ).withColumn("is_non_leaf", F.col("facility_uid").isNull())

@@ -116,6 +116,7 @@ def _expected_by_facility(
             "expected_count",
         ),
         broadcast_bytes,
+        source=facilities.select("facility_uid", "country_name", F.lit(0).alias("expected_count")),
     )
 
 
@@ -256,6 +257,7 @@ def run_dq(
     tie_break: Sequence[Column],
     strict: bool = False,
     hot_rows: int | None = HOT_ROWS,
+    counted: DataFrame | None = None,
     broadcast_bytes: int | None = BROADCAST_BYTES,
 ) -> DataFrame:
     """Deduplicate, cast, flag, score; in this order.
@@ -263,6 +265,7 @@ def run_dq(
     All copies of a natural key belong to one unit and period, so one shuffle by these two serves
     the deduplication and the score.  Units and periods with more than ``hot_rows`` rows go
     another way: copies are reduced before their shuffle, and the score is aggregated and joined.
+    They are counted in ``counted``, if given: rows that include ``values`` and are cheaper to scan.
     """
     place = ["orgUnit", "period"]
 
@@ -285,7 +288,7 @@ def run_dq(
             .transform(completeness, programs, facilities, strict, broadcast_bytes)
         )
 
-    cold, hot = split_hot(values, place, hot_rows)
+    cold, hot = split_hot(values, place, hot_rows, counted)
     return together(cold) if hot is None else together(cold).unionByName(spread(hot))
 
 

@@ -99,6 +99,7 @@ def build_mart(
         facilities,
         [F.desc_nulls_last(c) for c in tie_break],
         hot_rows=hot_rows,
+        counted=values,
     )
     built = build_fact(flagged, source.programs, unique_input=True)
     if on_violation == "raise":

@@ -424,10 +424,11 @@ def oracle_sql() -> dict[str, str]:
             for n in ("late", "zero", "missing", "orphaned_coc")
         )
         + """ from (
-            select count(*) as total_rows, count_if(is_late_reported) as late_rows,
-                   count_if(is_explicit_zero) as zero_rows,
-                   count_if(is_missing_value) as missing_rows,
-                   count_if(is_orphaned_coc) as orphaned_coc_rows from flagged) t
+            select count(*) as total_rows,
+                   count(*) filter (is_late_reported) as late_rows,
+                   count(*) filter (is_explicit_zero) as zero_rows,
+                   count(*) filter (is_missing_value) as missing_rows,
+                   count(*) filter (is_orphaned_coc) as orphaned_coc_rows from flagged) t
         """,
         "completeness": 'select "orgUnit", period, completeness_score from scores',
         "completeness_strict": """
@@ -450,15 +451,16 @@ def oracle_sql() -> dict[str, str]:
           left join scores s on s."orgUnit" = u.facility_uid and s.period = m.period
         """,
         "dq_gate": """
-          select 'quarantine_rate' as check_name, 0.25 as observed, 0.1 as threshold,
+          select 'quarantine_rate' as check_name, 0.25::double as observed,
+                 0.1::double as threshold,
                  false as passed
           union all
-          select 'ghost_rate', g.n, 0.09, g.n <= 0.09 from (
+          select 'ghost_rate', g.n, 0.09::double, g.n <= 0.09 from (
             select cast(count_if("orgUnit" not in (select id from unit_ids)
                         or "dataElement" not in (select id from elements)) as double)
                    / count(*) as n from reports) g
           union all
-          select 'fact_rows', cast(count(*) as double), 1.0, count(*) >= 1 from fact
+          select 'fact_rows', cast(count(*) as double), 1.0::double, count(*) >= 1 from fact
         """,
         "dim_element": """
           select id as de_uid, name as de_name, value_type, 'AGGREGATE' as domain_type,
