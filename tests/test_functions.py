@@ -1,0 +1,85 @@
+import pytest
+from pyspark.sql import functions as F
+
+import frames
+from tallymart.functions import periods as P
+from tallymart.functions.casting import typed_number
+from tallymart.functions.keys import first_per_key, unique_by
+from tallymart.functions.sizing import measured_bytes, sized
+
+
+@pytest.mark.parametrize(
+    ("kind", "text", "number"),
+    [
+        ("INTEGER", "42", 42.0),
+        ("INTEGER", "-7", -7.0),
+        ("INTEGER_POSITIVE", "+3", 3.0),
+        ("INTEGER", " 12 ", 12.0),
+        ("INTEGER", "12.9", 12.0),
+        ("INTEGER", "12.", 12.0),
+        ("INTEGER", ".5", 0.0),
+        ("INTEGER", "1e3", None),
+        ("INTEGER", "12abc", None),
+        ("INTEGER", "", None),
+        ("INTEGER", "99999999999999999999", None),
+        ("INTEGER_ZERO_OR_POSITIVE", None, None),
+        ("NUMBER", "12.5", 12.5),
+        ("NUMBER", "1e3", 1000.0),
+        ("NUMBER", "n/a", None),
+        ("PERCENTAGE", "150", 150.0),
+        ("BOOLEAN", "TRUE", 1.0),
+        ("BOOLEAN", "False", 0.0),
+        ("BOOLEAN", "yes", None),
+        ("TEXT", "5", None),
+        (None, "5", None),
+    ],
+)
+def test_typed_number(spark, kind, text, number):
+    df = spark.createDataFrame([(kind, text)], "k string, v string")
+    assert df.select(typed_number(F.col("v"), F.col("k"))).first()[0] == number
+
+
+def test_periods(spark):
+    df = spark.createDataFrame([("202402",), ("202413",), ("x",), (None,)], "p string")
+    p = F.col("p")
+    got = df.select(
+        P.period_year(p),
+        P.period_month(p),
+        P.period_quarter(p),
+        P.period_end(p).cast("string"),
+        P.period_index(p),
+    ).collect()
+    assert tuple(got[0]) == (2024, 2, "2024Q1", "2024-02-29", 2024 * 12 + 1)
+    assert got[1][3] is None and got[1][2] == "2024Q5"
+    assert tuple(got[2]) == (None,) * 5
+    assert tuple(got[3]) == (None,) * 5
+
+
+def test_period_index_is_invertible(spark):
+    df = spark.range(1999 * 12, 2002 * 12).select(F.col("id").cast("int").alias("i"))
+    back = df.select(P.period_index(P.period_of_index(F.col("i"))).alias("j"), "i")
+    assert back.filter("i <> j").count() == 0
+
+
+def test_first_per_key_reduces_before_the_shuffle(spark, capsys):
+    df = spark.range(1000).select((F.col("id") % 2).alias("k"), "id")
+    first = first_per_key(df, ["k"], [F.col("id").desc()])
+    assert frames.rows(first, "id") == [(998,), (999,)]
+    first_per_key(df, ["k"], [F.col("id").desc()]).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("WindowGroupLimit") == 2  # one below the exchange
+
+
+def test_unique_by_keeps_one_whole_row(spark):
+    df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 5, "z")], "k string, n int, t string")
+    assert sorted(map(tuple, unique_by(df, ["k"]).collect())) == [("a", 1, "y"), ("b", 5, "z")]
+
+
+def test_broadcast_only_below_the_bound(spark, capsys):
+    lookup = spark.range(1000).withColumn("name", F.lit("n" * 50))
+    assert measured_bytes(lookup)[0] > 50_000
+    big = spark.range(10).withColumnRenamed("id", "k")
+    big.join(sized(lookup, 1_000_000), F.col("k") == F.col("id"), "left").explain()
+    assert "BroadcastHashJoin" in capsys.readouterr().out
+    big.join(sized(lookup, 10_000), F.col("k") == F.col("id"), "left").explain()
+    assert "SortMergeJoin" in capsys.readouterr().out

@@ -1,0 +1,231 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import frames
+from tallymart.operators import quality, star
+from tallymart.operators.hierarchy import enrich_with_hierarchy, flatten_hierarchy
+from tallymart.operators.resolve import resolve_keys
+
+TIE = ["value", "storedBy"]
+
+
+def tie_break():
+    return [F.desc_nulls_last(c) for c in TIE]
+
+
+def stamp(day):
+    return f"{day}T10:00:00.000"
+
+
+def test_latest_wins_and_ties_are_settled(spark):
+    key = ("e", "202401", "u", "c")
+    df = frames.values(
+        spark,
+        (*key, "1", stamp("2024-02-01")),
+        (*key, "2", stamp("2024-03-01")),
+        (*key, "3", stamp("2024-03-01")),
+        (*key, "9", None),
+        ("e", "202401", "u", None, "7", stamp("2024-03-01")),
+        ("e", "202401", "u", None, "7", stamp("2024-03-01")),
+    )
+    assert frames.rows(quality.dedup_latest(df, tie_break()), "value") == [("3",), ("7",)]
+
+
+def test_flags(spark):
+    def one(period, value, updated, orphan=None):
+        row = frames.values(spark, ("e", period, "u", "c", value, updated))
+        row = row.withColumn("is_orphaned_coc", F.lit(orphan).cast("boolean"))
+        return quality.add_dq_flags(row).first()
+
+    assert one("202401", "0", stamp("2024-03-31")).is_late_reported is False  # 60 days
+    assert one("202401", "0", stamp("2024-04-01")).is_late_reported is True  # 61 days
+    assert one("202401", "0", None).is_late_reported is None
+    assert one("202413", "0", stamp("2024-04-01")).is_late_reported is None
+    zero, missing = one("202402", "0", None), one("202402", None, None, True)
+    assert (zero.is_explicit_zero, zero.is_missing_value, zero.is_orphaned_coc) == (True, False, False)
+    assert (missing.is_explicit_zero, missing.is_missing_value) == (False, True)
+    assert missing.is_orphaned_coc is True
+    assert one("202402", "0.0", None).is_explicit_zero is False
+    assert (zero.year, zero.month, zero.quarter, str(zero.period_end_date)) == (
+        2024,
+        2,
+        "2024Q1",
+        "2024-02-29",
+    )
+
+
+def test_summary_of_nothing(spark):
+    empty = quality.add_dq_flags(frames.values(spark, ("e", "202401", "u", "c", "1", None))).limit(0)
+    row = quality.dq_summary(empty).first()
+    assert (row.total_rows, row.late_pct) == (0, 0.0)
+
+
+TREE = [
+    ("K", "Kenya", "/K", ["Country"]),
+    ("T", "Togo", "/T", ["Country"]),
+    ("F1", "One", "/K/F1", ["Facility"]),
+    ("F2", "Two", "/K/F2", ["Facility"]),
+    ("F3", "Three", "/T/F3", ["Facility"]),
+]
+
+
+def scored(spark, **options):
+    facilities = flatten_hierarchy(frames.units(spark, *TREE))
+    programs = frames.programs(
+        spark, ("p1", "HIV", "Kenya", ["a", "b"]), ("p2", "TB", "Kenya", ["b", "c"])
+    )
+    df = frames.values(
+        spark,
+        ("a", "202401", "F1", "c", "1", None),
+        ("a", "202401", "F1", "d", "1", None),
+        ("b", "202401", "F1", "c", None, None),
+        ("x", "202401", "F1", "c", "1", None),
+        ("a", "202403", "F2", "c", None, None),
+        ("a", "202403", "F3", "c", "1", None),
+        ("a", "202403", "gone", "c", "1", None),
+    )
+    return df, programs, facilities
+
+
+def test_completeness(spark):
+    args = scored(spark)
+    columns = ("orgUnit", "period", "completeness_score")
+    assert frames.rows(quality.completeness_scores(*args), *columns) == [
+        ("F1", "202401", 2 / 3),
+        ("F3", "202403", None),
+        ("gone", "202403", None),
+    ]
+    assert ("F1", "202401", 1 / 3) in frames.rows(
+        quality.completeness_scores(*args, strict=True), *columns
+    )
+    dense = frames.rows(quality.completeness_scores(*args, densify=True), *columns)
+    assert len(dense) == 3 * 3 + 1
+    assert ("F2", "202402", 0.0) in dense and ("F3", "202401", None) in dense
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_completeness_in_place_agrees_with_the_join(spark, strict):
+    args = scored(spark)
+    assert frames.rows(
+        quality.completeness(*args, strict=strict), "orgUnit", "period", "completeness_score"
+    ) == frames.rows(
+        quality.completeness_in_place(*args, strict=strict),
+        "orgUnit",
+        "period",
+        "completeness_score",
+    )
+
+
+def test_score_is_capped(spark):
+    df, _, facilities = scored(spark)
+    programs = frames.programs(spark, ("p", "HIV", "Kenya", ["a"]), ("q", "HIV", "Togo", []))
+    got = quality.completeness_scores(df, programs, facilities)
+    assert ("F1", 1.0) in frames.rows(got, "orgUnit", "completeness_score")
+    assert ("F3", None) in frames.rows(got, "orgUnit", "completeness_score")
+
+
+def flow(spark, hot_rows, seed=5):
+    rng = random.Random(seed)
+    rows = [
+        (
+            rng.choice("aaaabx"),
+            rng.choice(["202401", "202402"]),
+            rng.choice(["F1"] * 8 + ["F2", "F3", "ghost"]),
+            rng.choice("cd"),
+            rng.choice(["0", "5", None]),
+            stamp(f"2024-0{rng.randint(2, 6)}-01"),
+        )
+        for _ in range(300)
+    ]
+    elements = frames.elements(
+        spark, ("a", "A", "INTEGER", "HIV"), ("b", "B", "NUMBER", None), ("x", "X", "NUMBER", "TB")
+    )
+    units = frames.units(spark, *TREE)
+    programs = frames.programs(
+        spark, ("p2", "TB", "Kenya", ["a", "b"]), ("p1", "HIV", "Kenya", ["a"]), ("p0", "HIV", "Togo", ["a"])
+    )
+    facilities = flatten_hierarchy(units)
+    resolved = resolve_keys(
+        frames.values(spark, *rows), elements, frames.combos(spark, "c"), units
+    )
+    flagged = quality.run_dq(
+        enrich_with_hierarchy(resolved.rows, facilities),
+        programs,
+        facilities,
+        tie_break(),
+        hot_rows=hot_rows,
+    )
+    return flagged, programs
+
+
+def test_hot_units_give_the_same_rows(spark):
+    columns = sorted(flow(spark, None)[0].columns)
+    plain = frames.rows(flow(spark, None)[0], *columns)
+    assert frames.rows(flow(spark, 30)[0], *columns) == plain
+    assert frames.rows(flow(spark, 1)[0], *columns) == plain
+
+
+def test_one_shuffle_of_the_values(spark, capsys):
+    flow(spark, None)[0].explain()
+    plan = capsys.readouterr().out
+    assert plan.count("REPARTITION_BY_COL") == 1
+    by_key = [
+        line
+        for line in plan.splitlines()
+        if "ENSURE_REQUIREMENTS" in line and "categoryOptionCombo" in line
+    ]
+    assert by_key == []
+
+
+def test_fact(spark):
+    flagged, programs = flow(spark, None)
+    fact = star.build_fact(flagged, programs, unique_input=True)
+    assert fact.count() == flagged.count()
+    assert fact.select("de_uid", "ou_uid", "period", "coc_uid").distinct().count() == fact.count()
+    chosen = {
+        (r.de_uid, r.country_name): (r.program_id, r.health_area)
+        for r in fact.select("de_uid", "country_name", "program_id", "health_area").collect()
+    }
+    assert chosen["a", "Kenya"] == ("p1", "HIV")  # least id
+    assert chosen["a", "Togo"] == ("p0", "HIV")
+    assert chosen["b", "Kenya"] == ("p2", "TB")  # area from the programme
+    assert chosen["x", "Kenya"] == (None, "TB")
+    assert fact.filter("coc_uid = 'd' and coc_name <> 'unknown'").count() == 0
+    assert fact.filter("region_name is not null").count() == 0
+    assert fact.filter("is_explicit_zero and is_missing_value").count() == 0
+    assert fact.filter("completeness_score not between 0 and 1").count() == 0
+    doubled = star.build_fact(flagged.unionByName(flagged), programs)
+    assert frames.rows(doubled) == frames.rows(fact)
+
+
+def test_dimensions(spark):
+    elements = frames.elements(
+        spark, ("a", "A", "INTEGER", "HIV"), ("a", "A", "INTEGER", "HIV"), ("b", "B", "TEXT", None)
+    )
+    assert frames.rows(star.dim_data_element(elements), "de_uid", "health_area") == [
+        ("a", "HIV"),
+        ("b", None),
+    ]
+    units = star.dim_org_unit(flatten_hierarchy(frames.units(spark, *TREE)))
+    assert units.count() == 3 and "district_uid" not in units.columns
+    periods = frames.values(
+        spark, ("e", "202402", "u", "c", "1", None), ("e", "202402", "v", "c", "1", None)
+    )
+    row = star.dim_period(periods).collect()
+    assert len(row) == 1 and row[0].month_name == "February"
+    assert (str(row[0].period_start_date), str(row[0].period_end_date)) == ("2024-02-01", "2024-02-29")
+    programs = frames.programs(spark, ("p", "HIV", "Kenya", ["a"]), ("p", "HIV", "Kenya", ["a"]))
+    assert frames.rows(star.dim_program(programs), "program_id", "expected_de_uids") == [("p", ["a"])]
+
+
+def test_gate(spark):
+    good = quality.dq_gate(frames.fact(spark, {}), 0.10)
+    assert quality.gate_failures(good) == []
+    bad = quality.dq_gate(frames.fact(spark, {}).limit(0), 0.2, ghost_rate=0.5, max_ghost_rate=0.1)
+    assert [m.split(":")[0] for m in quality.gate_failures(bad)] == [
+        "quarantine_rate",
+        "ghost_rate",
+        "fact_rows",
+    ]
