@@ -24,7 +24,7 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     A path that does not exist reads as an empty fact.
     """
     try:
-        return spark.read.schema(FACT).parquet(path)
+        return spark.read.schema(FACT).parquet(path).select(*FACT.names)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
