@@ -197,38 +197,45 @@ def completeness(
     return values.join(scores, ["orgUnit", "period"], "left")
 
 
-def completeness_in_place(
+def with_expected(
     values: DataFrame,
     programs: DataFrame,
     facilities: DataFrame,
     strict: bool = False,
     broadcast_bytes: int | None = BROADCAST_BYTES,
 ) -> DataFrame:
-    """As :func:`completeness`, for values already partitioned by unit and period.
-
-    A window instead of a join with an aggregate of the same rows: no further shuffle, but the
-    rows of a unit and period are in one task.
-    """
+    """Value rows with ``expected_count`` of their facility and, in ``expected_element``, the
+    indicator to count: with ``strict=True`` only where the facility's country expects it."""
     rows = values.join(
         _expected_by_facility(programs, facilities, broadcast_bytes),
         F.col("orgUnit") == F.col("_facility"),
         "left",
     )
-    element = F.col("dataElement")
     if strict:
         rows = _expected_only(rows, programs, broadcast_bytes)
-        element = F.col("expected_element")
+    else:
+        rows = rows.withColumn("expected_element", F.col("dataElement"))
+    return rows.drop("_facility", "_country")
+
+
+def score_in_place(values: DataFrame) -> DataFrame:
+    """The score of :func:`completeness`, for rows of :func:`with_expected` that are already
+    partitioned by unit and period.
+
+    A window instead of a join with an aggregate of the same rows: no further shuffle, but the
+    rows of a unit and period are in one task.
+    """
+    there = Window.partitionBy("orgUnit", "period")
+    has_value = F.col("value").isNotNull()
+    indicators = F.collect_set(F.when(has_value, F.col("expected_element"))).over(there)
     # Nothing reported at all gives no score, as it gives no row to the aggregate.
-    seen = Window.partitionBy("orgUnit", "period")
-    indicators = F.collect_set(F.when(F.col("value").isNotNull(), element)).over(seen)
     return (
-        rows.withColumn("_any", F.max(F.col("value").isNotNull()).over(seen))
-        .withColumn("_actual", F.size(indicators))
+        values.withColumns({"_any": F.max(has_value).over(there), "_actual": F.size(indicators)})
         .withColumn(
             "completeness_score",
             F.when(F.col("_any"), _score(F.col("_actual"), F.col("expected_count"))),
         )
-        .drop("_facility", "_country", "expected_count", "expected_element", "_any", "_actual")
+        .drop("expected_count", "expected_element", "_any", "_actual")
     )
 
 
@@ -271,13 +278,14 @@ def run_dq(
 
     def together(rows: DataFrame) -> DataFrame:
         return (
-            rows.repartition(*place)
+            rows.transform(with_expected, programs, facilities, strict, broadcast_bytes)
+            .repartition(*place)
             .transform(
                 dedup_latest, tie_break, keys=[*place, "dataElement", "categoryOptionCombo"]
             )
             .transform(cast_values)
             .transform(add_dq_flags)
-            .transform(completeness_in_place, programs, facilities, strict, broadcast_bytes)
+            .transform(score_in_place)
         )
 
     def spread(rows: DataFrame) -> DataFrame:

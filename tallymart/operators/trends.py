@@ -169,7 +169,9 @@ def reporting_rate(
 def top_underreporting(fact: DataFrame, top: int = 5) -> DataFrame:
     """Facilities with the most periods of nothing but zero or missing values, per health area.
 
-    Ties share a rank, so more than ``top`` rows may come out.
+    Ties share a rank, so more than ``top`` rows may come out.  The rank of a count is one more
+    than the number of facilities above it, which takes a table of one row per area and count;
+    no area's facilities have to meet in one task.
     """
     facility = ["ou_uid", "facility_name", "country_name", "health_area"]
     value = F.col("numeric_value")
@@ -178,10 +180,25 @@ def top_underreporting(fact: DataFrame, top: int = 5) -> DataFrame:
         .agg(F.count_if(F.coalesce(value != 0, F.lit(False))).alias("_active"))
         .filter(F.col("_active") == 0)
     )
-    ranked = Window.partitionBy("health_area").orderBy(F.col("zero_periods").desc())
-    return (
-        silent.groupBy(*facility)
-        .agg(F.count(F.lit(1)).alias("zero_periods"))
-        .withColumn("rank_in_health_area", F.rank().over(ranked))
+    counted = silent.groupBy(*facility).agg(F.count(F.lit(1)).alias("zero_periods"))
+    above = (
+        Window.partitionBy("_area").orderBy(F.col("_periods").desc()).rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+    )
+    ranks = (
+        counted.groupBy(
+            F.col("health_area").alias("_area"), F.col("zero_periods").alias("_periods")
+        )
+        .agg(F.count(F.lit(1)).alias("_facilities"))
+        .withColumn(
+            "rank_in_health_area",
+            (F.coalesce(F.sum("_facilities").over(above), F.lit(0)) + 1).cast("int"),
+        )
         .filter(F.col("rank_in_health_area") <= top)
+        .select("_area", "_periods", "rank_in_health_area")
+    )
+    same = F.col("health_area").eqNullSafe(F.col("_area")) & (
+        F.col("zero_periods") == F.col("_periods")
     )
+    return counted.join(ranks, same).drop("_area", "_periods")

@@ -123,15 +123,18 @@ def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact(spark: SparkSession, sf_dir: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     known = programs(spark, sf_dir)
+    leaves = facilities(spark, sf_dir)
     scored = quality.run_dq(
-        enriched(spark, sf_dir),
+        resolved(spark, sf_dir).rows,
         known,
-        facilities(spark, sf_dir),
+        leaves,
         fixture.tie_break(),
         hot_rows=hot_rows,
         counted=fixture.reports(spark, sf_dir),
     )
-    return star.build_fact(scored, known, unique_input=True)
+    # Names are attached after the shuffle, so that it does not carry them.
+    named = hierarchy.enrich_with_hierarchy(scored, leaves)
+    return star.build_fact(named, known, unique_input=True)
 
 
 # --- sources ----------------------------------------------------------------------------------
@@ -152,6 +155,17 @@ def ingest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.parse_and_explode(read, "dataValues")
 
 
+def ingest_split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one large document each, read in pieces."""
+    path = scratch_path(spark, "data_values")
+    rows = fixture.reports(spark, sf_dir).select(*schemas.DATA_VALUE.names)
+    fixture.packed_documents(
+        rows, {"responseType": "DataValueSet", "version": "1"}, "dataValues", 50_000
+    ).write.option("maxRecordsPerFile", 1).text(path)
+    tagged = exports.tagged_export(spark, exports.DATA_VALUES, path, layout="split")
+    return tagged.filter(F.col("status") == documents.CLEAN).select(*schemas.DATA_VALUE.names)
+
+
 def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = (
         fixture.reports(spark, sf_dir)
@@ -456,6 +470,7 @@ def incremental_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "ingest_documents": ingest_documents,
+        "ingest_split_documents": ingest_split_documents,
         "ingest_quarantine": ingest_quarantine,
         "ingest_lost_documents": ingest_lost_documents,
         "ingest_all_counts": ingest_all_counts,

@@ -94,14 +94,16 @@ def build_mart(
 
     facilities = _landed(flatten_hierarchy(source.org_units), f"{staging}/facilities")
     flagged = run_dq(
-        enrich_with_hierarchy(resolved, facilities),
+        resolved,
         source.programs,
         facilities,
         [F.desc_nulls_last(c) for c in tie_break],
         hot_rows=hot_rows,
         counted=values,
     )
-    built = build_fact(flagged, source.programs, unique_input=True)
+    # Ancestors' names are attached after the shuffle of the values, which need not carry them.
+    named = enrich_with_hierarchy(flagged, facilities)
+    built = build_fact(named, source.programs, unique_input=True)
     if on_violation == "raise":
         built = _landed(built, f"{staging}/fact")
         report = validate_contract(built, contract)

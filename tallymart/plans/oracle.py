@@ -338,6 +338,7 @@ _ORDER_DOC = """
 def oracle_sql() -> dict[str, str]:
     sql = {
         "ingest_documents": f"select {VALUE_COLUMNS} from reports",
+        "ingest_split_documents": f"select {VALUE_COLUMNS} from reports",
         "ingest_quarantine": """
           select * exclude (reason), case when reason is null then 'clean' else 'rejected' end as status,
                  case when reason is not null

@@ -14,6 +14,7 @@ SF_DIR = "/root/testdata/sf0.001"
 NAMES = [
     "ingest_documents",
     "ingest_lost_documents",
+    "ingest_split_documents",
     "resolve_rejects",
     "completeness_dense",
     "fact_split_groups",

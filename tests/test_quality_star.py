@@ -111,7 +111,7 @@ def test_completeness_in_place_agrees_with_the_join(spark, strict):
     assert frames.rows(
         quality.completeness(*args, strict=strict), "orgUnit", "period", "completeness_score"
     ) == frames.rows(
-        quality.completeness_in_place(*args, strict=strict),
+        quality.score_in_place(quality.with_expected(*args, strict=strict)),
         "orgUnit",
         "period",
         "completeness_score",

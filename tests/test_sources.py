@@ -137,3 +137,53 @@ def test_rewrite_replaces_stale_rejects(spark, out):
     sinks.write_rejects(spark.range(3), out)
     sinks.write_rejects(spark.range(0), out)
     assert spark.read.parquet(out).count() == 0
+
+
+def tagged_rows(spark, path, layout):
+    tagged = exports.tagged_export(spark, exports.DATA_VALUES, str(path), layout)
+    return frames.rows(tagged, *schemas.DATA_VALUE.names, "status", "quarantine_reason", "lost_text")
+
+
+TRICKY = {
+    "compact": json.dumps({"version": "1", "dataValues": [VALUE, {**VALUE, "orgUnit": None}]}),
+    "indented": json.dumps({"version": "1", "dataValues": [VALUE] * 3}, indent=2) + "\n",
+    "scalars_after": json.dumps({"dataValues": [VALUE], "version": "1"}),
+    "escapes": json.dumps({"dataValues": [{**VALUE, "value": 'a"b\\'}, {**VALUE, "value": "\\\""}]}),
+    "closing_brace": json.dumps({"dataValues": [{**VALUE, "value": "a}b"}, VALUE]}),
+    "opening_brace": json.dumps({"dataValues": [{**VALUE, "value": "a{b"}, VALUE]}),
+    "both": json.dumps({"dataValues": [{**VALUE, "value": '"},{"dataElement":"x"'}, VALUE]}),
+    "nested": json.dumps({"dataValues": [{**VALUE, "extra": {"a": 1}}, VALUE]}),
+    "header_object": json.dumps({"pager": {"page": 1}, "dataValues": [VALUE]}),
+    "empty": json.dumps({"dataValues": []}),
+    "no_array": json.dumps({"version": "1"}),
+    "null_item": json.dumps({"dataValues": [VALUE, None]}),
+    "cut_in_element": json.dumps({"dataValues": [VALUE, VALUE]})[:-12],
+    "cut_after_element": json.dumps({"dataValues": [VALUE, VALUE]})[:-2],
+    "missing_comma": '{"dataValues":[{"dataElement":"e"} {"dataElement":"f"}]}',
+    "other_array": json.dumps({"values": [VALUE]}),
+    "unicode": json.dumps({"dataValues": [{**VALUE, "storedBy": "Zoë ﷽"}]}, ensure_ascii=False),
+}
+
+
+@pytest.mark.parametrize("name", TRICKY)
+def test_split_layout_gives_the_rows_of_the_whole_file(spark, tmp_path, name):
+    write(tmp_path / "doc.json", TRICKY[name])
+    assert tagged_rows(spark, tmp_path / "doc.json", "split") == tagged_rows(
+        spark, tmp_path / "doc.json", "file"
+    )
+
+
+def test_split_layout_uses_many_tasks_and_mixes_files(spark, tmp_path):
+    many = [{**VALUE, "value": str(i)} for i in range(20_000)]
+    write(tmp_path / "in/large one.json", json.dumps({"dataValues": many}))
+    write(tmp_path / "in/odd one.json", TRICKY["both"])
+    whole = tagged_rows(spark, tmp_path / "in", "file")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "256KB")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1KB")
+        tagged = exports.tagged_export(spark, exports.DATA_VALUES, str(tmp_path / "in"), "split")
+        assert tagged.select(F.spark_partition_id().alias("p")).distinct().count() > 3
+        assert tagged_rows(spark, tmp_path / "in", "split") == whole
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
