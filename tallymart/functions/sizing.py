@@ -1,8 +1,8 @@
 """Join hints that rest on a measured size.
 
 Lookups grow with the data like anything else.  :func:`sized` measures one in a single distributed
-aggregate and hints a broadcast only below the bound.  Above it the hint is a sort-merge join, whose
-oversized partitions AQE splits, so that a hot key on the large side does not end in one task.
+aggregate and hints a broadcast only below the bound; above it the hint is a sort-merge join.  Joins
+of many rows to a lookup go through ``skew.lookup_join``, which also takes care of hot keys.
 """
 
 from __future__ import annotations
@@ -28,10 +28,6 @@ def measured_bytes(*lookups: DataFrame) -> list[int]:
     return [int(found.get(position) or 0) for position in range(len(lookups))]
 
 
-def hinted(df: DataFrame, n_bytes: int, bound: int) -> DataFrame:
-    return F.broadcast(df) if n_bytes <= bound else df.hint("merge")
-
-
 def sized(
     df: DataFrame, bound: int | None = BROADCAST_BYTES, source: DataFrame | None = None
 ) -> DataFrame:
@@ -41,4 +37,5 @@ def sized(
     """
     if bound is None:
         return df
-    return hinted(df, measured_bytes(df if source is None else source)[0], bound)
+    n_bytes = measured_bytes(df if source is None else source)[0]
+    return F.broadcast(df) if n_bytes <= bound else df.hint("merge")

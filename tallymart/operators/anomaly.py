@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.operators.framing import HOT_ROWS, with_row_frame
+from tallymart.functions.skew import HOT_ROWS
+from tallymart.operators.framing import with_row_frame
 
 # Fixed values.
 SIGMAS = 3.0

@@ -8,44 +8,11 @@ back to.  The values equal those of the plain window: nothing is dropped or appr
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-
-
-def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> DataFrame:
-    """Keys of the groups with more than ``limit`` rows; at most rows / limit of them."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select(
-        *keys
-    )
-
-
-def split_hot(
-    df: DataFrame,
-    keys: Sequence[str],
-    limit: int | None = HOT_ROWS,
-    counted: DataFrame | None = None,
-) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary groups, rows of groups above ``limit`` or ``None`` if there are none).
-
-    Counting the groups is a pass over the key columns of ``counted``, or else of ``df``;
-    ``limit=None`` skips it.
-    """
-    if limit is None:
-        return df, None
-    hot = hot_groups(df if counted is None else counted, keys, limit).select(
-        *[F.col(k).alias(f"_hot_{k}") for k in keys]
-    )
-    if hot.isEmpty():
-        return df, None
-    same = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-    )
-    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
-
+from tallymart.functions.skew import HOT_ROWS, hot_keys, split_hot
 
 def with_row_frame(
     df: DataFrame,
@@ -72,7 +39,7 @@ def with_row_frame(
         window = Window.partitionBy(*by).orderBy(*order).rowsBetween(start, end)
         return rows.withColumns({name: agg.over(window) for name, agg in aggregates.items()})
 
-    cold, hot = split_hot(df, keys, hot_rows)
+    cold, hot = split_hot(df, keys, hot_keys(df, keys, hot_rows))
     if hot is None:
         return plain(cold, keys)
     return plain(cold, keys).unionByName(

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions.keys import unique_by
 from tallymart.functions.sizing import BROADCAST_BYTES, measured_bytes, sized
+from tallymart.functions.skew import lookup_join
 
 # Names of the upper levels, from the root; deeper ones are "level4" and so on.
 LEVEL_LABELS = ("country", "region", "district")
@@ -58,10 +58,11 @@ def flatten_hierarchy(
     )
     named = org_units.select("id", "level", "name")
     names = unique_by(named, ["id", "level"])
-    if broadcast_bytes is not None and measured_bytes(named)[0] <= broadcast_bytes:
-        sized_level = F.broadcast  # all levels together are small, so each is
-    else:
-        sized_level = partial(sized, bound=broadcast_bytes)
+    n_bytes = None
+    if broadcast_bytes is not None:
+        n_bytes = measured_bytes(named)[0]
+        if n_bytes > broadcast_bytes:
+            n_bytes = None  # all levels together are too large: measure each
     for level in range(1, depth):
         label = labels[level - 1] if level <= len(labels) else f"level{level}"
         # A leaf above the deepest level is no ancestor of itself.
@@ -69,15 +70,13 @@ def flatten_hierarchy(
         lookup = names.filter(F.col("level") == level).select(
             F.col("id").alias("_ancestor"), F.col("name").alias(f"{label}_name")
         )
-        flat = (
-            flat.withColumn(f"{label}_uid", step)
-            .join(
-                sized_level(lookup),
-                F.col(f"{label}_uid") == F.col("_ancestor"),
-                "left",
-            )
-            .drop("_ancestor")
-        )
+        flat = lookup_join(
+            flat.withColumn(f"{label}_uid", step),
+            lookup,
+            [(f"{label}_uid", "_ancestor")],
+            n_bytes=n_bytes,
+            bound=broadcast_bytes,
+        ).drop("_ancestor")
     return flat.drop("_steps")
 
 
@@ -91,8 +90,7 @@ def enrich_with_hierarchy(
     A unit that is known but no leaf keeps null ancestry; ``is_non_leaf`` tells such rows.
     """
     lookup = unique_by(facilities, ["facility_uid"])
-    return values.join(
-        sized(lookup, broadcast_bytes, source=facilities),
-        F.col("orgUnit") == F.col("facility_uid"),
-        "left",
+    n_bytes = None if broadcast_bytes is None else measured_bytes(facilities)[0]
+    return lookup_join(
+        values, lookup, [("orgUnit", "facility_uid")], n_bytes=n_bytes, bound=broadcast_bytes
     ).withColumn("is_non_leaf", F.col("facility_uid").isNull())

@@ -9,7 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.functions.sizing import BROADCAST_BYTES, sized
+from tallymart.functions.sizing import BROADCAST_BYTES
+from tallymart.functions.skew import lookup_join
 from tallymart.schemas import FACT, FACT_PARTITIONS
 
 
@@ -48,8 +49,8 @@ def filter_new(
     ``on=[("health_area", "health_area"), ("period", "year_month")]`` and values with an area.
     """
     keys = loaded.select(*[F.col(theirs).alias(f"_loaded_{theirs}") for _, theirs in on]).distinct()
-    match = [F.col(ours) == F.col(f"_loaded_{theirs}") for ours, theirs in on]
-    return values.join(sized(keys, broadcast_bytes), match, "left_anti")
+    pairs = [(ours, f"_loaded_{theirs}") for ours, theirs in on]
+    return lookup_join(values, keys, pairs, "left_anti", bound=broadcast_bytes)
 
 
 def load_incremental(

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tallymart.functions import periods as P
 from tallymart.functions.casting import typed_number
 from tallymart.functions.keys import first_per_key, unique_by
-from tallymart.functions.sizing import BROADCAST_BYTES, sized
-from tallymart.operators.framing import HOT_ROWS, split_hot
+from tallymart.functions.sizing import BROADCAST_BYTES, measured_bytes
+from tallymart.functions.skew import HOT_ROWS, hot_keys, join_around, lookup_join, split_hot
 from tallymart.schemas import VALUE_KEY
 
 # Fixed values.
@@ -98,9 +98,7 @@ def expected_indicators(programs: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _expected_by_facility(
-    programs: DataFrame, facilities: DataFrame, broadcast_bytes: int | None
-) -> DataFrame:
+def _expected_by_facility(programs: DataFrame, facilities: DataFrame) -> DataFrame:
     """Facility, country and number of indicators expected there; small joined to small."""
     expected = (
         expected_indicators(programs)
@@ -109,26 +107,40 @@ def _expected_by_facility(
     )
     facility = unique_by(facilities.select("facility_uid", "country_name"), ["facility_uid"])
     counted = facility.join(expected, F.col("country_name") == F.col("country"), "left")
-    return sized(
-        counted.select(
-            F.col("facility_uid").alias("_facility"),
-            F.col("country_name").alias("_country"),
-            "expected_count",
-        ),
-        broadcast_bytes,
-        source=facilities.select("facility_uid", "country_name", F.lit(0).alias("expected_count")),
+    return counted.select(
+        F.col("facility_uid").alias("_facility"),
+        F.col("country_name").alias("_country"),
+        "expected_count",
     )
 
 
+def _join_expected(
+    rows: DataFrame, programs: DataFrame, facilities: DataFrame, broadcast_bytes: int | None
+) -> DataFrame:
+    """Adds the unit's ``expected_count`` and ``_country``."""
+    n_bytes = None
+    if broadcast_bytes is not None:
+        alike = facilities.select("facility_uid", "country_name", F.lit(0).alias("expected_count"))
+        n_bytes = measured_bytes(alike)[0]
+    return lookup_join(
+        rows,
+        _expected_by_facility(programs, facilities),
+        [("orgUnit", "_facility")],
+        n_bytes=n_bytes,
+        bound=broadcast_bytes,
+    ).drop("_facility")
+
+
 def _expected_only(
     rows: DataFrame, programs: DataFrame, broadcast_bytes: int | None
 ) -> DataFrame:
     """Adds ``expected_element``: the row's indicator if its country expects it, else null."""
-    pairs = sized(expected_indicators(programs), broadcast_bytes)
-    match = (F.col("_country") == F.col("country")) & (
-        F.col("dataElement") == F.col("expected_element")
-    )
-    return rows.join(pairs, match, "left").drop("country")
+    return lookup_join(
+        rows,
+        expected_indicators(programs),
+        [("_country", "country"), ("dataElement", "expected_element")],
+        bound=broadcast_bytes,
+    ).drop("country")
 
 
 def _score(actual: Column, expected: Column) -> Column:
@@ -151,13 +163,10 @@ def completeness_scores(
     outside the expected set count too; ``strict=True`` leaves them out.  ``densify=True`` adds
     score 0 for every facility and month, from first to last, in which nothing was reported.
     """
-    per_facility = _expected_by_facility(programs, facilities, broadcast_bytes)
-    at_facility = F.col("orgUnit") == F.col("_facility")
     reported = values.filter(F.col("value").isNotNull()).select("orgUnit", "period", "dataElement")
     if strict:
-        reported = _expected_only(
-            reported.distinct().join(per_facility, at_facility, "left"), programs, broadcast_bytes
-        ).select("orgUnit", "period", F.col("expected_element").alias("dataElement"))
+        placed = _join_expected(reported.distinct(), programs, facilities, broadcast_bytes)
+        reported = _expected_only(placed, programs, broadcast_bytes).select("orgUnit", "period", F.col("expected_element").alias("dataElement"))
     actual = reported.groupBy("orgUnit", "period").agg(
         F.countDistinct("dataElement").alias("_actual")
     )
@@ -172,7 +181,7 @@ def completeness_scores(
             .groupBy("orgUnit", "period")
             .agg(F.max("_actual").alias("_actual"))
         )
-    return actual.join(per_facility, at_facility, "left").select(
+    return _join_expected(actual, programs, facilities, broadcast_bytes).select(
         "orgUnit",
         "period",
         _score(F.col("_actual"), F.col("expected_count")).alias("completeness_score"),
@@ -184,17 +193,22 @@ def completeness(
     programs: DataFrame,
     facilities: DataFrame,
     strict: bool = False,
+    hot_rows: int | None = HOT_ROWS,
     broadcast_bytes: int | None = BROADCAST_BYTES,
 ) -> DataFrame:
     """Value rows with the ``completeness_score`` of their unit and period.
 
-    The score side is one row per unit and period.  The join carries no hint: AQE broadcasts it
-    when it comes out small and splits oversized partitions of the value side when it does not.
+    The score side is one row per unit and period.  Units and periods with more than ``hot_rows``
+    rows are joined by broadcasting their few scores, the others as Spark sees fit.
     """
+    place = ["orgUnit", "period"]
     scores = completeness_scores(
         values, programs, facilities, strict=strict, broadcast_bytes=broadcast_bytes
+    ).withColumnsRenamed({k: f"_{k}" for k in place})
+    hot = hot_keys(values, place, hot_rows)
+    return join_around(values, scores, [(k, f"_{k}") for k in place], hot).drop(
+        *[f"_{k}" for k in place]
     )
-    return values.join(scores, ["orgUnit", "period"], "left")
 
 
 def with_expected(
@@ -206,16 +220,12 @@ def with_expected(
 ) -> DataFrame:
     """Value rows with ``expected_count`` of their facility and, in ``expected_element``, the
     indicator to count: with ``strict=True`` only where the facility's country expects it."""
-    rows = values.join(
-        _expected_by_facility(programs, facilities, broadcast_bytes),
-        F.col("orgUnit") == F.col("_facility"),
-        "left",
-    )
+    rows = _join_expected(values, programs, facilities, broadcast_bytes)
     if strict:
         rows = _expected_only(rows, programs, broadcast_bytes)
     else:
         rows = rows.withColumn("expected_element", F.col("dataElement"))
-    return rows.drop("_facility", "_country")
+    return rows.drop("_country")
 
 
 def score_in_place(values: DataFrame) -> DataFrame:
@@ -293,10 +303,11 @@ def run_dq(
             rows.transform(dedup_latest, tie_break)
             .transform(cast_values)
             .transform(add_dq_flags)
-            .transform(completeness, programs, facilities, strict, broadcast_bytes)
+            .transform(completeness, programs, facilities, strict, hot_rows, broadcast_bytes)
         )
 
-    cold, hot = split_hot(values, place, hot_rows, counted)
+    keys = hot_keys(values if counted is None else counted, place, hot_rows)
+    cold, hot = split_hot(values, place, keys)
     return together(cold) if hot is None else together(cold).unionByName(spread(hot))
 
 

@@ -15,7 +15,8 @@ from tallymart.functions.periods import (
     period_year,
 )
 from tallymart.functions.sizing import BROADCAST_BYTES, sized
-from tallymart.operators.framing import HOT_ROWS, hot_groups, with_row_frame
+from tallymart.functions.skew import HOT_ROWS, hot_keys, join_around
+from tallymart.operators.framing import with_row_frame
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -96,9 +97,12 @@ def rolling_avg(
 def _calendar_mean(
     fact: DataFrame, keys: list[str], months: int, name: str, hot_rows: int | None
 ) -> DataFrame:
-    indexed = fact.withColumn("_index", period_index(F.col("period")))
+    # Rows of unreadable periods form a month of their own.
+    index = F.coalesce(period_index(F.col("period")), F.lit(-1))
+    indexed = fact.withColumn("_index", index)
     window = Window.partitionBy(*keys).orderBy("_index").rangeBetween(-(months - 1), 0)
-    if hot_rows is None or hot_groups(fact, keys, hot_rows).isEmpty():
+    hot = hot_keys(fact, keys, hot_rows)
+    if hot is None:
         return indexed.withColumn(name, F.avg("numeric_value").over(window))
     # All rows of a month share the frame, so with hot groups the window runs over monthly sums.
     monthly = indexed.groupBy(*keys, "_index").agg(
@@ -108,8 +112,9 @@ def _calendar_mean(
         *[F.col(k).alias(f"_m_{k}") for k in [*keys, "_index"]],
         F.try_divide(F.sum("_sum").over(window), F.sum("_n").over(window)).alias(name),
     )
-    same = [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in [*keys, "_index"]]
-    return indexed.join(means, same, "left")
+    on = [(k, f"_m_{k}") for k in [*keys, "_index"]]
+    months_of_hot = hot_keys(indexed, [*keys, "_index"], hot_rows)
+    return join_around(indexed, means, on, months_of_hot)
 
 
 def reporting_rate(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymart import schemas
+from tallymart.functions.skew import HOT_ROWS
 from tallymart.operators import (
     anomaly,
     contract,
@@ -20,7 +21,6 @@ from tallymart.operators import (
     star,
     trends,
 )
-from tallymart.operators.framing import HOT_ROWS
 from tallymart.plans import fixture
 from tallymart.plans.scratch import scratch_path
 from tallymart.sources import documents, exports, sinks

@@ -7,6 +7,10 @@ reports, copies) follow from fixed rules on the keys.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -238,18 +242,22 @@ def programs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packed_documents(
     rows: DataFrame, head: dict[str, str], array: str, per_document: int = 1000
 ) -> DataFrame:
-    """Rows as JSON documents, one per line, of at most ``per_document`` rows each.
+    """Rows as JSON documents of at most ``per_document`` rows each, one document per line.
 
-    Documents are cut by position, so none grows with the data or with a frequent key.
+    Rows become JSON in the JVM; a task strings those it has together, batch by batch.  Nothing is
+    shuffled, so no document grows with the data or a frequent key, and a task can be repeated.
     """
-    bucket = F.floor(F.monotonically_increasing_id() / F.lit(per_document))
-    return (
-        rows.select(F.struct(*rows.columns).alias("_row"), bucket.alias("_bucket"))
-        .groupBy("_bucket")
-        .agg(F.collect_list("_row").alias(array))
-        .select(F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in head.items()], array)))
-        .toDF("value")
-    )
+    lead = json.dumps(head).removesuffix("}") + f', "{array}": ['
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items = batch.column(0).to_pylist()
+            cuts = range(0, len(items), per_document)
+            texts = [lead + ", ".join(items[i : i + per_document]) + "]}" for i in cuts]
+            yield pa.RecordBatch.from_pydict({"value": pa.array(texts, pa.string())})
+
+    items = rows.select(F.to_json(F.struct(*rows.columns)).alias("item"))
+    return items.mapInArrow(pack, "value string")
 
 
 def write_exports(

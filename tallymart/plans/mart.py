@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.functions.sizing import sized
+from tallymart.functions.skew import HOT_ROWS
 from tallymart.operators.anomaly import sigma_anomalies
 from tallymart.operators.contract import (
     FACT_CONTRACT,
@@ -16,7 +17,6 @@ from tallymart.operators.contract import (
     ContractViolation,
     validate_contract,
 )
-from tallymart.operators.framing import HOT_ROWS
 from tallymart.operators.hierarchy import enrich_with_hierarchy, flatten_hierarchy
 from tallymart.operators.incremental import load_incremental, loaded_partitions, read_fact
 from tallymart.operators.quality import dq_gate, gate_failures, run_dq

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tallymart.functions.skew import HOT_ROWS
 from tallymart.operators.crosscut import (
     completeness_comparison,
     coverage_matrix,
     low_runs,
     volumes_by_quarter,
 )
-from tallymart.operators.framing import HOT_ROWS
 from tallymart.operators.trends import (
     mom_pct_change,
     reporting_rate,
