@@ -8,12 +8,16 @@ from typing import NamedTuple
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymart.functions.sizing import BROADCAST_BYTES
 from tallymart.functions.skew import lookup_join
 from tallymart.schemas import FACT, FACT_PARTITIONS
 
 
+_PARTITIONS = T.StructType([FACT[name] for name in FACT_PARTITIONS])
+
+
 class Increment(NamedTuple):
     values: DataFrame
     is_incremental: bool
@@ -64,7 +68,9 @@ def load_incremental(
     Write the result with ``write_fact(..., replace="partitions")``: the default replaces only
     the partitions written, so what was loaded earlier stays.
     """
-    loaded = loaded_partitions(spark, fact_path)
-    return Increment(
-        filter_new(values, loaded, broadcast_bytes=broadcast_bytes), not loaded.isEmpty()
-    )
+    # Partition names, one per area and month; read once, as every reading opens all files.
+    names = loaded_partitions(spark, fact_path).collect()
+    if not names:
+        return Increment(values, False)
+    loaded = spark.createDataFrame(names, _PARTITIONS)
+    return Increment(filter_new(values, loaded, broadcast_bytes=broadcast_bytes), True)

@@ -36,13 +36,14 @@ def mom_pct_change(
     country, so that equal district names of two countries stay apart.  The window runs over
     sums, a few hundred per series however many rows went into them.
     """
+    by = ["de_uid", "health_area", "district_name", "country_name", "period", "year_month"]
+    # The name is a key at first: the least of several strings takes a sort, best of sums.
     totals = (
         fact.filter(F.col("numeric_value").isNotNull())
-        .groupBy("de_uid", "health_area", "district_name", "country_name", "period", "year_month")
-        .agg(
-            F.sum("numeric_value").alias("total_value"),
-            F.min("de_name").alias("de_name"),
-        )
+        .groupBy(*by, "de_name")
+        .agg(F.sum("numeric_value").alias("_sum"))
+        .groupBy(*by)
+        .agg(F.sum("_sum").alias("total_value"), F.min("de_name").alias("de_name"))
     )
     along = Window.partitionBy(*series).orderBy("period", "health_area")
     previous = F.lag("total_value").over(along)
@@ -206,4 +207,5 @@ def top_underreporting(fact: DataFrame, top: int = 5) -> DataFrame:
     same = F.col("health_area").eqNullSafe(F.col("_area")) & (
         F.col("zero_periods") == F.col("_periods")
     )
-    return counted.join(ranks, same).drop("_area", "_periods")
+    # At most ``top`` counts per area have such a rank.
+    return counted.join(F.broadcast(ranks), same).drop("_area", "_periods")

@@ -38,6 +38,15 @@ def test_month_over_month(spark):
     assert aware.filter("period = '202402'").first().mom_pct_change == 12.5
 
 
+def test_rows_are_not_sorted_to_be_added_up(spark, capsys):
+    fact = frames.fact(spark, {"period": "202401"}, {"period": "202402"})
+    for report in (trends.mom_pct_change(fact), crosscut.coverage_matrix(fact, ["Kenya"])):
+        report.explain()
+        # the deepest aggregate, printed last, is the one over the rows
+        steps = [line for line in capsys.readouterr().out.splitlines() if "Aggregate" in line]
+        assert "HashAggregate" in steps[-1]
+
+
 def random_fact(spark, n=400, seed=3):
     rng = random.Random(seed)
     seen, changes = set(), []
