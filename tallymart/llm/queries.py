@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import neardup
+from tallymart.llm import decontaminate, neardup
 
 
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -24,6 +24,10 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
