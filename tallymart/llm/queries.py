@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import decontaminate, langid, neardup, pii
+from tallymart.llm import decontaminate, langid, neardup, packing, pii
+from tallymart.llm.storage import landed
 
 
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -31,6 +33,17 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def packed(documents: DataFrame) -> DataFrame:
+    """Placed pieces of documents with the checksum of their ids; the ids themselves are not moved."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = packing.with_checksum(packing.pieces(documents, path, capacity=4096, end_id=1))
+    return packing.pack(landed(rows, "pieces"), capacity=4096)
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
