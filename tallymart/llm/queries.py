@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import decontaminate, langid, neardup, packing, pii
+from tallymart.llm import decontaminate, langid, neardup, packing, pii, toxicity
 from tallymart.llm.storage import landed
 
 
@@ -27,6 +27,13 @@ def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~held_out()).select("doc_id", "toxic")
+    found = toxicity.score(documents, toxicity.train(documents, labels))
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     found = langid.identify(documents.select("doc_id", "text"), langid.train(documents))
