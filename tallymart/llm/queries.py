@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import decontaminate, fingerprints, langid, neardup, packing, pii, toxicity
-from tallymart.llm.storage import landed
+from tallymart.llm import decontaminate, fingerprints, langid, neardup, packing, pii, sharding, toxicity, warc
+from tallymart.llm.storage import landed, shared_folder
 
 
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -63,10 +63,22 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark)
+    pages = warc.with_revisits(table(spark, sf_dir, "pages"))
+    names = landed(warc.write_monolithic(pages, f"{folder}/monolithic"), "names")
+    index = landed(warc.normalise(spark, names, f"{folder}/monolithic", f"{folder}/members"), "index")
+    return warc.read(index, f"{folder}/members").drop("payload")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digest(pii.personal_data(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"), count=16)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
