@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import decontaminate, fingerprints, langid, neardup, packing, pii, sharding, toxicity, warc
+from tallymart.llm import decontaminate, fingerprints, htmldiff, langid, neardup, packing, pii, sharding, toxicity, warc
 from tallymart.llm.storage import landed, shared_folder
 
 
@@ -79,6 +79,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"), count=16)
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmldiff.main_text(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
