@@ -87,12 +87,6 @@ class Model:
         return self._places
 
 
-def _found(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.searchsorted(sorted_keys, keys)
-    at[at == len(sorted_keys)] = 0
-    return at, (sorted_keys[at] == keys) if len(sorted_keys) else np.zeros(len(keys), bool)
-
-
 def _level(grams: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(contexts, their n + u, their u) of grams with counts by language, and each gram's context."""
     contexts, of = np.unique(grams >> 8, return_inverse=True)
@@ -108,16 +102,18 @@ def build(languages: list[str], grams: np.ndarray, counts: np.ndarray) -> Model:
     cost = np.full((1, wide), 8.0)  # order -1
     known: dict[int, tuple] = {}
     for order in range(ORDER + 1):
-        own, of = np.unique(grams & ((1 << 8 * (order + 1)) - 1), return_inverse=True)
+        ended = grams & ((1 << 8 * (order + 1)) - 1)
+        # Three bytes that only began a text stand among the trigrams too, as a context.
+        own = np.union1d(ended, grams >> 8) if order == 2 else np.unique(ended)
         n = np.zeros((len(own), wide))
-        np.add.at(n, of, counts)
+        np.add.at(n, np.searchsorted(own, ended), counts)
         contexts, total, distinct, ctx = _level(own.astype(np.uint64), n)
         with np.errstate(divide="ignore", invalid="ignore"):
             escape = np.where(distinct > 0, -np.log2(distinct / total), 0.0)
             seen = -np.log2(n / total[ctx])
         known[order] = (own, n, contexts, escape, seen, ctx)
     own, n, _, escape, seen, _ = known[0]
-    single = np.repeat(8.0 + escape, 256, axis=0) if len(own) else np.full((256, wide), 8.0)
+    single = np.repeat(8.0 + escape, 256, axis=0)
     single[own] = np.where(n > 0, seen, 8.0 + escape[0])
     own, n, contexts, escape, seen, ctx = known[1]
     after = np.zeros((256, wide))
@@ -129,13 +125,9 @@ def build(languages: list[str], grams: np.ndarray, counts: np.ndarray) -> Model:
     escape2[contexts.astype(np.int64)] = escape
     cost2 = np.where(n > 0, seen, escape[ctx] + bigram[own2 & 0xFFFF])
     own3, n, contexts, escape, seen, ctx = known[3]
-    # A context of three bytes stands in the list of trigrams, unless it only began a text.
-    at, hit = _found(own2, contexts.astype(own2.dtype))
     escape3 = np.zeros((len(own2), wide))
-    escape3[at[hit]] = escape[hit]
-    low, there = _found(own2, own3 & 0xFFFFFF)
-    below = np.where(there[:, None], cost2[low], escape2[(own3 >> 8) & 0xFFFF] + bigram[own3 & 0xFFFF])
-    cost3 = np.where(n > 0, seen, escape[ctx] + below)
+    escape3[np.searchsorted(own2, contexts.astype(own2.dtype))] = escape
+    cost3 = np.where(n > 0, seen, escape[ctx] + cost2[np.searchsorted(own2, own3 & 0xFFFFFF)])
     costs = [x.astype(np.float32) for x in (bigram, escape2, cost2, escape3, cost3)]
     return Model(languages, costs[0], costs[1], own2.astype(np.uint32), *costs[2:4], own3.astype(np.uint32), costs[4])
 
@@ -150,7 +142,8 @@ def train(documents: DataFrame, rows_per_language: int = 1500) -> Model:
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
-        return build([], np.zeros(0, np.uint32), np.zeros((0, 0)))
+        empty = np.zeros((0, 0), np.float32)
+        return Model([], empty, empty, np.zeros(0, np.uint32), empty, empty, np.zeros(0, np.uint32), empty)
     place = F.pmod(F.xxhash64(rows["doc_id"].cast("string")), F.lit(1_000_000))
     chosen = None
     for name in languages:
