@@ -12,6 +12,7 @@ TRUTH_TYPE = "BOOLEAN"
 
 # Digits with an optional fraction, which is cut off: "12.5" is 12, "12abc" is null.
 _WHOLE = r"^[\s\x00]*([+-]?[0-9]+)(?:[.][0-9]*)?[\s\x00]*$"
+_REAL = r"^[\s\x00]*[+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?[\s\x00]*$"
 _FRACTION_ONLY = r"^[\s\x00]*[+-]?[.][0-9]+[\s\x00]*$"
 
 
@@ -22,6 +23,11 @@ def whole_number(text: Column) -> Column:
     )
 
 
+def real_number(text: Column) -> Column:
+    """double from decimal text; null for words such as NaN and Infinity, and for type suffixes."""
+    return F.when(text.rlike(_REAL), text.try_cast("double"))
+
+
 def truth_number(text: Column) -> Column:
     """1.0 for true and 0.0 for false in any letter case, else null."""
     word = F.lower(text)
@@ -32,6 +38,6 @@ def typed_number(text: Column, value_type: Column) -> Column:
     """double chosen per row by ``value_type``; types without a numeric reading give null."""
     return (
         F.when(value_type.isin(WHOLE_TYPES), whole_number(text).cast("double"))
-        .when(value_type.isin(REAL_TYPES), text.try_cast("double"))
+        .when(value_type.isin(REAL_TYPES), real_number(text))
         .when(value_type == TRUTH_TYPE, truth_number(text))
     )

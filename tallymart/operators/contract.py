@@ -101,7 +101,7 @@ class Rule:
     name: str
     kind: str
     column: str
-    violated: Column | bool
+    violated: Column | bool | None  # None: cannot be evaluated
     detail: Column
 
 
@@ -180,7 +180,7 @@ def _check_rules(check: Mapping[str, Any], present: Mapping[str, T.DataType]) ->
     name, kind = check["name"], check["type"]
     if kind == "custom":
         if "violated_if" not in check:
-            return []  # prose only
+            return [Rule(name, kind, "", None, F.lit("not evaluated: the check has no condition"))]
         condition = F.expr(check["violated_if"])
         return [Rule(name, kind, "", condition, F.lit(check["violated_if"]))]
     columns = check.get("columns") or [check["column"]]
@@ -249,13 +249,16 @@ def contract_checks(
     """One row per rule: rule_name, kind, column_name, violations, passed, detail.
 
     One pass over the data whatever the number of rules, and all rows are checked.
-    ``violations`` is the number of rows, or 1 for a rule about the schema.
+    ``violations`` is the number of rows, or 1 for a rule about the schema.  A rule that cannot be
+    evaluated has null in ``violations`` and ``passed``; it is not a pass.
     """
     rules = contract_rules(df, contract, strict_columns)
     measures, rows = [], []
     for i, rule in enumerate(rules):
         detail = rule.detail
-        if isinstance(rule.violated, bool):
+        if rule.violated is None:
+            count = F.lit(None).cast("bigint")
+        elif isinstance(rule.violated, bool):
             count = F.lit(int(rule.violated)).cast("bigint")
         else:
             count = F.col(f"n{i}")
@@ -270,7 +273,7 @@ def contract_checks(
                 F.lit(rule.column).alias("column_name"),
                 count.alias("violations"),
                 (count == 0).alias("passed"),
-                F.when(count > 0, detail).alias("detail"),
+                F.when(count.isNull() | (count > 0), detail).alias("detail"),
             )
         )
     counted = df.agg(F.count(F.lit(1)).alias("_rows"), *measures)
@@ -281,12 +284,12 @@ def validate_contract(
     df: DataFrame, contract: Mapping[str, Any], strict_columns: bool = False
 ) -> ContractReport:
     """Report of the violated rules.  Never raises over data."""
-    broken = contract_checks(df, contract, strict_columns).filter(~F.col("passed")).collect()
+    broken = contract_checks(df, contract, strict_columns).filter(~F.coalesce("passed", F.lit(False))).collect()
     return ContractReport(
         [
             f"{r.rule_name}"
             + (f" ({r.column_name})" if r.column_name else "")
-            + f": {r.violations:,} x {r.detail}"
+            + (f": {r.detail}" if r.violations is None else f": {r.violations:,} x {r.detail}")
             for r in broken
         ]
     )

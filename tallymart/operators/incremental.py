@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ _PARTITIONS = T.StructType([FACT[name] for name in FACT_PARTITIONS])
 class Increment(NamedTuple):
     values: DataFrame
     is_incremental: bool
+    skipped: DataFrame  # rows of periods that were loaded before; they are not loaded again
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
@@ -37,8 +39,18 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
 
 
 def loaded_partitions(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct (health_area, year_month) in the fact; reads no data column."""
-    return read_fact(spark, path).select(*FACT_PARTITIONS).distinct()
+    """Distinct (health_area, year_month) in the fact, from the names of its files alone."""
+    found = set()
+    for name in read_fact(spark, path).inputFiles():
+        steps = dict(step.split("=", 1) for step in name.split("/") if "=" in step)
+        found.add(tuple(_named(steps[column]) for column in FACT_PARTITIONS))
+    return spark.createDataFrame(sorted(found, key=str), _PARTITIONS)
+
+
+def _named(step: str) -> str | None:
+    # A file name is escaped twice: once as a partition value, once as a URI.
+    value = unquote(unquote(step))
+    return None if value == "__HIVE_DEFAULT_PARTITION__" else value
 
 
 def filter_new(
@@ -63,14 +75,15 @@ def load_incremental(
     values: DataFrame,
     broadcast_bytes: int | None = BROADCAST_BYTES,
 ) -> Increment:
-    """Values of periods not yet in the fact, and whether there was anything before.
+    """Values of periods not yet in the fact, whether there was anything before, and the other rows.
 
     Write the result with ``write_fact(..., replace="partitions")``: the default replaces only
     the partitions written, so what was loaded earlier stays.
     """
-    # Partition names, one per area and month; read once, as every reading opens all files.
-    names = loaded_partitions(spark, fact_path).collect()
-    if not names:
-        return Increment(values, False)
-    loaded = spark.createDataFrame(names, _PARTITIONS)
-    return Increment(filter_new(values, loaded, broadcast_bytes=broadcast_bytes), True)
+    loaded = loaded_partitions(spark, fact_path)
+    if loaded.isEmpty():
+        return Increment(values, False, values.limit(0))
+    periods = loaded.select(F.col("year_month").alias("_loaded_year_month")).distinct()
+    on = [("period", "_loaded_year_month")]
+    skipped = lookup_join(values, periods, on, "left_semi", bound=broadcast_bytes)
+    return Increment(filter_new(values, loaded, broadcast_bytes=broadcast_bytes), True, skipped)

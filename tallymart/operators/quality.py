@@ -206,9 +206,8 @@ def completeness(
         values, programs, facilities, strict=strict, broadcast_bytes=broadcast_bytes
     ).withColumnsRenamed({k: f"_{k}" for k in place})
     hot = hot_keys(values, place, hot_rows)
-    return join_around(values, scores, [(k, f"_{k}") for k in place], hot).drop(
-        *[f"_{k}" for k in place]
-    )
+    on = [(k, f"_{k}") for k in place]
+    return join_around(values, scores, on, hot, null_safe=True).drop(*[f"_{k}" for k in place])
 
 
 def with_expected(
@@ -233,19 +232,22 @@ def score_in_place(values: DataFrame) -> DataFrame:
     partitioned by unit and period.
 
     A window instead of a join with an aggregate of the same rows: no further shuffle, but the
-    rows of a unit and period are in one task.
+    rows of a unit and period are in one task.  Of the rows of an indicator the first with a value
+    is marked, and the marks are summed, so the work is linear in the rows.
     """
     there = Window.partitionBy("orgUnit", "period")
     has_value = F.col("value").isNotNull()
-    indicators = F.collect_set(F.when(has_value, F.col("expected_element"))).over(there)
+    of_indicator = Window.partitionBy("orgUnit", "period", "expected_element").orderBy(has_value.desc())
+    mark = has_value & F.col("expected_element").isNotNull() & (F.row_number().over(of_indicator) == 1)
     # Nothing reported at all gives no score, as it gives no row to the aggregate.
     return (
-        values.withColumns({"_any": F.max(has_value).over(there), "_actual": F.size(indicators)})
+        values.withColumn("_mark", mark.cast("int"))
+        .withColumns({"_any": F.max(has_value).over(there), "_actual": F.sum("_mark").over(there)})
         .withColumn(
             "completeness_score",
             F.when(F.col("_any"), _score(F.col("_actual"), F.col("expected_count"))),
         )
-        .drop("expected_count", "expected_element", "_any", "_actual")
+        .drop("expected_count", "expected_element", "_mark", "_any", "_actual")
     )
 
 
@@ -317,15 +319,19 @@ def dq_gate(
     ghost_rate: float | None = None,
     max_quarantine_rate: float = MAX_QUARANTINE_RATE,
     max_ghost_rate: float | None = None,
+    lost_documents: int | None = None,
 ) -> DataFrame:
     """Checks as rows (check_name, observed, threshold, passed).
 
     ``quarantine_rate`` is of structural rejects among the data values.  Rows rejected for unknown
-    keys are a rate of their own and are checked where ``max_ghost_rate`` is given.
+    keys are a rate of their own and are checked where ``max_ghost_rate`` is given.  Documents that
+    could not be read count for no row; where their number is given, any is a failure.
     """
     checks = [("quarantine_rate", F.lit(float(quarantine_rate)), float(max_quarantine_rate))]
     if max_ghost_rate is not None:
         checks.append(("ghost_rate", F.lit(float(ghost_rate or 0.0)), float(max_ghost_rate)))
+    if lost_documents is not None:
+        checks.append(("lost_documents", F.lit(float(lost_documents)), 0.0))
     rows = [
         F.struct(
             F.lit(name).alias("check_name"),

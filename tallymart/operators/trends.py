@@ -26,17 +26,18 @@ def percent(part: Column, whole: Column) -> Column:
 
 def mom_pct_change(
     fact: DataFrame,
-    series: Sequence[str] = ("de_uid", "country_name", "district_name"),
+    series: Sequence[str] = ("de_uid", "country_name", "region_name", "district_name"),
     gap_aware: bool = False,
 ) -> DataFrame:
     """Month-over-month change of the summed value per indicator and district.
 
     Rows without a number are left out, zeros are not.  "Previous" is the previous row of the
-    series; with ``gap_aware=True`` it has to be the month before.  The series includes the
-    country, so that equal district names of two countries stay apart.  The window runs over
+    series; with ``gap_aware=True`` it has to be the month before.  The series includes country and
+    region, so that equal district names of two of them stay apart.  The window runs over
     sums, a few hundred per series however many rows went into them.
     """
-    by = ["de_uid", "health_area", "district_name", "country_name", "period", "year_month"]
+    place = ["district_name", "region_name", "country_name"]
+    by = ["de_uid", "health_area", *place, "period", "year_month"]
     # The name is a key at first: the least of several strings takes a sort, best of sums.
     totals = (
         fact.filter(F.col("numeric_value").isNotNull())
@@ -98,24 +99,21 @@ def rolling_avg(
 def _calendar_mean(
     fact: DataFrame, keys: list[str], months: int, name: str, hot_rows: int | None
 ) -> DataFrame:
+    """All rows of a month share the frame, so the window runs over monthly sums, whatever the size
+    of a group; means go back to the rows by a join in which null keys match."""
     # Rows of unreadable periods form a month of their own.
-    index = F.coalesce(period_index(F.col("period")), F.lit(-1))
-    indexed = fact.withColumn("_index", index)
+    indexed = fact.withColumn("_index", F.coalesce(period_index(F.col("period")), F.lit(-1)))
+    by = [*keys, "_index"]
     window = Window.partitionBy(*keys).orderBy("_index").rangeBetween(-(months - 1), 0)
-    hot = hot_keys(fact, keys, hot_rows)
-    if hot is None:
-        return indexed.withColumn(name, F.avg("numeric_value").over(window))
-    # All rows of a month share the frame, so with hot groups the window runs over monthly sums.
-    monthly = indexed.groupBy(*keys, "_index").agg(
+    monthly = indexed.groupBy(*by).agg(
         F.sum("numeric_value").alias("_sum"), F.count("numeric_value").alias("_n")
     )
     means = monthly.select(
-        *[F.col(k).alias(f"_m_{k}") for k in [*keys, "_index"]],
+        *[F.col(k).alias(f"_m_{k}") for k in by],
         F.try_divide(F.sum("_sum").over(window), F.sum("_n").over(window)).alias(name),
     )
-    on = [(k, f"_m_{k}") for k in [*keys, "_index"]]
-    months_of_hot = hot_keys(indexed, [*keys, "_index"], hot_rows)
-    return join_around(indexed, means, on, months_of_hot)
+    hot = hot_keys(indexed, by, hot_rows)
+    return join_around(indexed, means, [(k, f"_m_{k}") for k in by], hot, null_safe=True)
 
 
 def reporting_rate(
@@ -208,4 +206,4 @@ def top_underreporting(fact: DataFrame, top: int = 5) -> DataFrame:
         F.col("zero_periods") == F.col("_periods")
     )
     # At most ``top`` counts per area have such a rank.
-    return counted.join(F.broadcast(ranks), same).drop("_area", "_periods")
+    return counted.join(sized(ranks), same).drop("_area", "_periods")

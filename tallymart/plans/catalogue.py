@@ -22,7 +22,9 @@ from tallymart.operators import (
     trends,
 )
 from tallymart.plans import fixture
-from tallymart.plans.scratch import scratch_path
+from tallymart.plans.oracle import CUTOFF
+from tallymart.functions.casting import typed_number
+from tallymart.functions.scratch import scratch_path, written
 from tallymart.sources import documents, exports, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +51,7 @@ FIXTURE_CONTRACT = {
             "violated_if": "is_late_reported and is_explicit_zero",
         },
         {"name": "key_there", "type": "not_null", "columns": ["de_uid", "ou_uid"]},
+        {"name": "plausible", "type": "custom"},
     ],
 }
 
@@ -99,6 +102,7 @@ def resolved(spark: SparkSession, sf_dir: str) -> resolve.Resolved:
         elements(spark, sf_dir),
         option_combos(spark, sf_dir),
         org_units(spark, sf_dir),
+        path=scratch_path(spark, "resolved"),
     )
 
 
@@ -121,16 +125,21 @@ def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fact(spark: SparkSession, sf_dir: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def fact(
+    spark: SparkSession,
+    sf_dir: str,
+    hot_rows: int | None = HOT_ROWS,
+    values: DataFrame | None = None,
+) -> DataFrame:
     known = programs(spark, sf_dir)
     leaves = facilities(spark, sf_dir)
     scored = quality.run_dq(
-        resolved(spark, sf_dir).rows,
+        resolved(spark, sf_dir).rows if values is None else values,
         known,
         leaves,
         fixture.tie_break(),
         hot_rows=hot_rows,
-        counted=fixture.reports(spark, sf_dir),
+        counted=fixture.reports(spark, sf_dir) if values is None else None,
     )
     # Names are attached after the shuffle, so that it does not carry them.
     named = hierarchy.enrich_with_hierarchy(scored, leaves)
@@ -166,13 +175,28 @@ def ingest_split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.filter(F.col("status") == documents.CLEAN).select(*schemas.DATA_VALUE.names)
 
 
-def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = (
+def ingest_file_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one document each, every one read whole by one task."""
+    path = scratch_path(spark, "data_values")
+    rows = fixture.reports(spark, sf_dir).select(*schemas.DATA_VALUE.names)
+    fixture.packed_documents(
+        rows, {"responseType": "DataValueSet", "version": "1"}, "dataValues", 5_000
+    ).write.option("maxRecordsPerFile", 1).text(path)
+    read = documents.read_documents(spark, path, schemas.DATA_VALUE_DOCUMENT, layout="file")
+    return documents.parse_and_explode(read, "dataValues")
+
+
+def _incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
         fixture.reports(spark, sf_dir)
         .withColumn("dataElement", F.when(F.col("ok") % 37 != 0, F.col("dataElement")))
         .withColumn("period", F.when(F.col("ok") % 41 != 0, F.col("period")))
         .withColumn("orgUnit", F.when(F.col("ln") != 6, F.col("orgUnit")))
     )
+
+
+def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _incomplete(spark, sf_dir)
     columns = ["ok", "ln", "px", "dataElement", "period", "orgUnit", "value"]
     critical = exports.DATA_VALUES.critical
     clean, rejected = documents.split_quarantine(rows.select(*columns), critical)
@@ -231,6 +255,26 @@ def ingest_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def exports_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the three lookup exports, as loaded from their documents."""
+    path = scratch_path(spark, "exports")
+    fixture.write_exports(spark, sf_dir, path)
+    metadata = exports.load_metadata(spark, path, "line")
+    text = F.lit(None).cast("string")
+    parts = {
+        "element": metadata.elements.select("id", "name", F.col("valueType").alias("detail")),
+        "combo": metadata.option_combos.select("id", "name", text.alias("detail")),
+        "program": exports.load_programs(spark, path, "line").rows.select(
+            "id", "name", F.col("country").alias("detail")
+        ),
+        "unit": exports.load_org_units(spark, path, "line").rows.select(
+            "id", "name", F.col("path").alias("detail")
+        ),
+    }
+    rows = [df.select(F.lit(kind).alias("kind"), "*") for kind, df in parts.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
+
+
 def events_props_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     shape = T.StructType([T.StructField("k", T.IntegerType())])
     return fixture.table(spark, sf_dir, "events").select(
@@ -262,14 +306,9 @@ def resolve_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hierarchy_leaves_without_children(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations without suppliers would be leaves too; here the units above suppliers are kept out
-    by leaving only those with suppliers in."""
-    units = org_units(spark, sf_dir)
-    suppliers = units.filter(F.col("level") == 4)
-    steps = suppliers.select(F.explode(F.split("path", "/")).alias("_step")).distinct()
-    inhabited = units.join(steps, F.col("id") == F.col("_step"), "left_semi")
+    """All units; a nation without suppliers is a leaf too, with nulls below its level."""
     return hierarchy.flatten_hierarchy(
-        inhabited, depth=4, leaf_rule=hierarchy.LEAF_WITHOUT_CHILDREN
+        org_units(spark, sf_dir), leaf_rule=hierarchy.LEAF_WITHOUT_CHILDREN
     )
 
 
@@ -294,6 +333,17 @@ def cast_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cast_values_odd_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers with what a cast alone would take as part of them: exponents, type suffixes, words."""
+    suffixes = F.array(*[F.lit(s) for s in ("", ".0", "e2", "d", " NaN")])
+    whole = F.col("l_quantity").cast("int").cast("string")
+    text = F.concat(whole, F.get(suffixes, F.col("l_linenumber").cast("int") % 5))
+    return fixture.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", text.alias("text"),
+        typed_number(text, F.lit("NUMBER")).alias("numeric_value"),
+    )
+
+
 def dq_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.add_dq_flags(latest(spark, sf_dir)).select(
         "dataElement",
@@ -339,13 +389,24 @@ def _scores(**options: bool) -> Query:
 
 
 def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ok, rejects = resolved(spark, sf_dir)
-    n_ok, n_rejects = ok.count(), rejects.count()
+    """Rates from one aggregate each: of the rows with gaps, and of the rows by status of their keys."""
+    gaps = documents.missing_reason(exports.DATA_VALUES.critical)
+    quarantined = _incomplete(spark, sf_dir).agg(F.avg(gaps.isNotNull().cast("int"))).first()[0]
+    tagged = resolve.tag_keys(
+        fixture.reports(spark, sf_dir),
+        elements(spark, sf_dir),
+        option_combos(spark, sf_dir),
+        org_units(spark, sf_dir),
+    )
+    tagged = written(tagged, "tagged")
+    known = F.col("status") == resolve.RESOLVED
+    ghosts = tagged.agg(F.count_if(~known) / F.count("*")).first()[0]
     return quality.dq_gate(
-        fact(spark, sf_dir),
-        quarantine_rate=0.25,
-        ghost_rate=n_rejects / max(n_ok + n_rejects, 1),
+        fact(spark, sf_dir, values=resolve.parted(tagged).rows),
+        quarantine_rate=quarantined or 0.0,
+        ghost_rate=ghosts,
         max_ghost_rate=0.09,
+        lost_documents=0,
     )
 
 
@@ -374,6 +435,32 @@ def fact_split_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact(spark, sf_dir, hot_rows=FEW_ROWS_PER_PLACE)
 
 
+def _fact_null_periods(hot_rows: int | None) -> Query:
+    """The rows of every February come without a period."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        period = F.when(F.col("period").substr(5, 2) != "02", F.col("period"))
+        values = resolved(spark, sf_dir).rows.withColumn("period", period)
+        return fact(spark, sf_dir, hot_rows, values)
+
+    return query
+
+
+def _rolling_null_keys(hot_rows: int | None) -> Query:
+    """Some years' rows lose their unit, some months' rows their indicator."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        keyless = fact(spark, sf_dir).withColumns(
+            {
+                "ou_uid": F.when(F.col("year") % 3 != 0, F.col("ou_uid")),
+                "de_uid": F.when(F.col("month") % 4 != 0, F.col("de_uid")),
+            }
+        )
+        return trends.rolling_avg(keyless, by_calendar=True, hot_rows=hot_rows)
+
+    return query
+
+
 # --- reports ----------------------------------------------------------------------------------
 
 
@@ -400,7 +487,7 @@ def coverage_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contract.contract_checks(fact(spark, sf_dir), FIXTURE_CONTRACT).drop("detail")
+    return contract.contract_checks(fact(spark, sf_dir), FIXTURE_CONTRACT)
 
 
 # --- sinks and increments ---------------------------------------------------------------------
@@ -416,17 +503,13 @@ def report_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "volumes")
     report = crosscut.volumes_by_quarter(fact(spark, sf_dir))
     sinks.write_report(report, path, order=["health_area", "quarter"], single_file=True)
-    return (
-        spark.read.schema(report.schema)
-        .csv(path, header=True)
-        .select("health_area", "quarter", "year", "total_volume", "total_rows")
-    )
+    return spark.read.schema(report.schema).csv(path, header=True)
 
 
 def rejects_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested columns come back as JSON text."""
     path = scratch_path(spark, "rejects")
-    units = org_units(spark, sf_dir).filter(F.col("level") == 4)
+    units = org_units(spark, sf_dir)
     sinks.write_rejects(units.select("id", "level", "groups"), path, fmt="csv")
     return spark.read.schema("id string, level int, groups string").csv(
         path, header=True, escape='"'
@@ -439,18 +522,15 @@ def loaded_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.loaded_partitions(spark, path)
 
 
-_EARLY = "199501"
-
-
 def filter_new(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loaded = fact(spark, sf_dir).filter(F.col("year_month") < _EARLY).select("year_month")
+    loaded = fact(spark, sf_dir).filter(F.col("year_month") < CUTOFF).select("year_month")
     return incremental.filter_new(fixture.reports(spark, sf_dir), loaded.distinct()).select(
         *schemas.DATA_VALUE.names, *fixture.TIE_BREAK
     )
 
 
 def filter_new_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loaded = fact(spark, sf_dir).filter(F.col("year_month") < _EARLY)
+    loaded = fact(spark, sf_dir).filter(F.col("year_month") < CUTOFF)
     on = [("health_area", "health_area"), ("period", "year_month")]
     return incremental.filter_new(resolved(spark, sf_dir).rows, loaded, on=on).select(
         *fixture.TIE_BREAK, "dataElement", "period"
@@ -458,22 +538,39 @@ def filter_new_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Early periods first, then everything offered again: only the rest is loaded."""
+    """Early periods first, then everything again from another clerk: only the rest is loaded."""
     path = scratch_path(spark, "fact")
-    whole = fact(spark, sf_dir)
-    sinks.write_fact(whole.filter(F.col("period") < _EARLY), path)
-    rest = incremental.load_incremental(spark, path, whole).values
-    sinks.write_fact(rest, path)
+    _load_twice(spark, sf_dir, path)
     return incremental.read_fact(spark, path)
 
 
+def incremental_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the second offer whose periods were loaded before, by period."""
+    skipped = _load_twice(spark, sf_dir, scratch_path(spark, "fact"))
+    return skipped.groupBy("period").agg(F.count("*").alias("skipped"))
+
+
+def _load_twice(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    whole = written(fact(spark, sf_dir), "offered")
+    sinks.write_fact(whole.filter(F.col("period") < CUTOFF), path)
+    offered = whole.withColumn("stored_by", F.lit("second"))
+    increment = incremental.load_incremental(spark, path, offered)
+    if not increment.is_incremental:
+        raise RuntimeError("the first load is not seen")
+    new, skipped = written(increment.values, "new"), written(increment.skipped, "skipped")
+    sinks.write_fact(new, path)
+    return skipped
+
+
 def queries() -> dict[str, Query]:
     return {
         "ingest_documents": ingest_documents,
         "ingest_split_documents": ingest_split_documents,
+        "ingest_file_documents": ingest_file_documents,
         "ingest_quarantine": ingest_quarantine,
         "ingest_lost_documents": ingest_lost_documents,
         "ingest_all_counts": ingest_all_counts,
+        "exports_rows": exports_rows,
         "events_props_json": events_props_json,
         "metadata_lookup": metadata_lookup,
         "resolve_ok": resolve_ok,
@@ -483,6 +580,7 @@ def queries() -> dict[str, Query]:
         "hierarchy_enrich": hierarchy_enrich,
         "dedup_latest": dedup_latest,
         "cast_values": cast_values,
+        "cast_values_odd_text": cast_values_odd_text,
         "dq_flags": dq_flags,
         "calendar": calendar,
         "dq_summary": dq_summary,
@@ -496,6 +594,8 @@ def queries() -> dict[str, Query]:
         "dim_program": dim_program,
         "fact": fact,
         "fact_split_groups": fact_split_groups,
+        "fact_null_periods": _fact_null_periods(HOT_ROWS),
+        "fact_null_periods_split_groups": _fact_null_periods(FEW_ROWS_PER_PLACE),
         "mom_pct_change": _on_fact(trends.mom_pct_change),
         "mom_pct_change_gap_aware": _on_fact(trends.mom_pct_change, gap_aware=True),
         "rolling_avg_3m": _on_fact(trends.rolling_avg),
@@ -504,6 +604,8 @@ def queries() -> dict[str, Query]:
         "rolling_avg_calendar_split_groups": _on_fact(
             trends.rolling_avg, by_calendar=True, hot_rows=FEW_ROWS
         ),
+        "rolling_avg_calendar_null_keys": _rolling_null_keys(None),
+        "rolling_avg_calendar_null_keys_split_groups": _rolling_null_keys(FEW_ROWS),
         "reporting_rate": _rate(densify=False),
         "reporting_rate_dense": _rate(densify=True),
         "top_underreporting": _on_fact(trends.top_underreporting),
@@ -534,4 +636,5 @@ def queries() -> dict[str, Query]:
         "filter_new": filter_new,
         "filter_new_by_area": filter_new_by_area,
         "incremental_union": incremental_union,
+        "incremental_skipped": incremental_skipped,
     }

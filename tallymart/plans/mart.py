@@ -8,7 +8,6 @@ from typing import Any, NamedTuple
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.functions.sizing import sized
 from tallymart.functions.skew import HOT_ROWS
 from tallymart.operators.anomaly import sigma_anomalies
 from tallymart.operators.contract import (
@@ -29,6 +28,7 @@ from tallymart.operators.star import (
     dim_program,
 )
 from tallymart.plans.reports import run_aggregation, run_analytics
+from tallymart.sources.documents import LOST
 from tallymart.sources.exports import ingest_all
 from tallymart.sources.sinks import write_dims, write_fact, write_rejects, write_report
 
@@ -41,6 +41,7 @@ class Mart(NamedTuple):
     contract: ContractReport
     failures: list[str]  # of the gate; reports are written only when empty
     is_incremental: bool
+    skipped: int  # rows of periods loaded before
 
 
 # Copies of equal stamp are ordered by everything else they can differ in.
@@ -60,8 +61,8 @@ def build_mart(
 ) -> Mart | None:
     """Ingest, resolve, enrich, score, write the star schema, check it, and write the reports.
 
-    With ``on_violation="raise"`` the fact is staged and its contract checked before the target is
-    touched; ``"warn"`` writes it directly and reports violations of what was written.  Copies of
+    The fact is staged and its contract checked before the target is touched; with
+    ``on_violation="raise"`` a violation ends the run there, ``"warn"`` goes on and reports it.  Copies of
     equal stamp are ordered by the ``tie_break`` columns, descending.  The reports read the written
     fact.  An incremental run loads the periods the fact does not have yet and returns ``None``
     when there are none.
@@ -74,16 +75,24 @@ def build_mart(
 
     values, is_incremental = source.values, False
     n_values = source.counts["data_values"]["clean"]
+    n_skipped = 0
     if incremental:
-        values, is_incremental = load_incremental(spark, target, values)
+        values, is_incremental, skipped = load_incremental(spark, target, values)
         # Landed: "not loaded yet" has to mean before this run also once the target is written.
         values = _landed(values, f"{staging}/increment")
         n_values = values.count()
+        # Late rows of loaded periods are kept aside and counted.
+        skipped = _landed(skipped, f"{out}/quarantine/loaded_before")
+        n_skipped = skipped.count()
         if not n_values:
             return None
 
     resolved, unresolvable = resolve_keys(
-        values, source.elements, source.option_combos, source.org_units
+        values,
+        source.elements,
+        source.option_combos,
+        source.org_units,
+        path=f"{staging}/resolved",
     )
     ghosts = Observation()
     write_rejects(
@@ -104,20 +113,20 @@ def build_mart(
     # Ancestors' names are attached after the shuffle of the values, which need not carry them.
     named = enrich_with_hierarchy(flagged, facilities)
     built = build_fact(named, source.programs, unique_input=True)
-    if on_violation == "raise":
-        built = _landed(built, f"{staging}/fact")
-        report = validate_contract(built, contract)
-        if not report.passed:
-            raise ContractViolation(str(report))
+    built = _landed(built, f"{staging}/fact")
+    report = validate_contract(built, contract)
+    if on_violation == "raise" and not report.passed:
+        raise ContractViolation(str(report))
     write_fact(built, target, replace="partitions" if incremental else "table")
 
     fact = read_fact(spark, target)
     fresh = fact
     if is_incremental:
-        periods = values.select(F.col("period").alias("_period")).distinct()
-        fresh = fact.join(sized(periods), F.col("year_month") == F.col("_period"), "left_semi")
-    if on_violation == "warn":
-        report = validate_contract(fresh, contract)
+        # One name per month, so that only their partitions are read.
+        months = [r.year_month for r in built.select("year_month").distinct().collect()]
+        fresh = fact.filter(F.col("year_month").isin([m for m in months if m is not None]))
+        if None in months:
+            fresh = fact.filter(F.col("year_month").isNull()).unionByName(fresh)
 
     write_dims(
         {
@@ -130,7 +139,8 @@ def build_mart(
         out,
     )
 
-    failures = gate_failures(dq_gate(fresh, source.quarantine_rate, ghost_rate))
+    lost = sum(counts[LOST] for counts in source.counts.values())
+    failures = gate_failures(dq_gate(fresh, source.quarantine_rate, ghost_rate, lost_documents=lost))
     if not failures:
         run_analytics(fact, facilities, out, hot_rows)
         run_aggregation(fact, out)
@@ -140,7 +150,14 @@ def build_mart(
             order=[F.desc("z_score")],
         )
     return Mart(
-        fact, facilities, source.quarantine_rate, ghost_rate, report, failures, is_incremental
+        fact,
+        facilities,
+        source.quarantine_rate,
+        ghost_rate,
+        report,
+        failures,
+        is_incremental,
+        n_skipped,
     )
 
 

@@ -107,10 +107,51 @@ fact as (
          f.year_month, f.year, f.month, f.quarter, f.country_name, f.region_name,
          f.district_name, f.facility_name
   from flagged f
-       left join scores s on s."orgUnit" = f."orgUnit" and s.period = f.period)
+       left join scores s on s."orgUnit" = f."orgUnit" and s.period = f.period),
+keyless as (
+  select * replace (case when year % 3 <> 0 then ou_uid end as ou_uid,
+                    case when month % 4 <> 0 then de_uid end as de_uid) from fact),
+flagged_of_nulls as (
+  select * replace (null::varchar as period, null::boolean as is_late_reported, null::int as year,
+                    null::int as month, null::varchar as year_month, null::varchar as quarter)
+  from (select * from (
+          select f.*, row_number() over (partition by "dataElement", "orgUnit", "categoryOptionCombo"
+                   order by "lastUpdated" desc, ok desc, ln desc, px desc) as latest_of_null
+          from (select r.*, h.* exclude (facility_uid), h.facility_uid is null as is_non_leaf,
+                       case when r.value_type in ('INTEGER', 'INTEGER_POSITIVE')
+                         then trunc(try_cast(r.value as double)) else try_cast(r.value as double) end as numeric_value,
+                       null::boolean as is_late_reported, coalesce(r.value = '0', false) as is_explicit_zero,
+                       r.value is null as is_missing_value, null::int as year, null::int as month,
+                       null::varchar as year_month, null::varchar as quarter
+                from resolved r left join facilities h on h.facility_uid = r."orgUnit"
+                where substr(r.period, 5, 2) = '02') f)
+        where latest_of_null = 1)),
+scores_of_nulls as (
+  select f."orgUnit", case when any_value(x.expected_count) > 0 then
+           least(cast(count(distinct f."dataElement") as double)
+                 / cast(any_value(x.expected_count) as double), 1.0) end as completeness_score
+  from flagged_of_nulls f left join expected x on x.country = f.country_name
+  where f.value is not null group by f."orgUnit"),
+fact_of_nulls as (
+  select f."dataElement" as de_uid, f."orgUnit" as ou_uid, f.period,
+         (select min(p.id) from program_items p
+          where p.brand = f."dataElement" and p.country = f.country_name) as program_id,
+         f."categoryOptionCombo" as coc_uid, coalesce(f.coc_name, 'unknown') as coc_name,
+         f.de_name, f.value as raw_value, f.numeric_value, f.is_late_reported,
+         f.is_explicit_zero, f.is_missing_value, f.is_orphaned_coc, s.completeness_score,
+         f."storedBy" as stored_by, f."lastUpdated" as last_updated, f.health_area,
+         f.year_month, f.year, f.month, f.quarter, f.country_name, f.region_name,
+         f.district_name, f.facility_name
+  from flagged_of_nulls f left join scores_of_nulls s on s."orgUnit" = f."orgUnit"
+  union all by name
+  select * from fact where month <> 2)
 """
 
 
+#: First month that the first of two loads does not have; inside the tables' span.
+CUTOFF = "199807"
+
+
 def rounded(expression: str, places: int) -> str:
     """Half up on the shortest decimal form of a double."""
     return (
@@ -167,15 +208,15 @@ def _mom(gap_aware: bool) -> str:
     return f"""
       select *, case when prev_total <> 0 then {rounded(change, 2)} end as mom_pct_change from (
         select *, {lag} as prev_total from (
-          select de_uid, health_area, district_name, country_name, period, year_month,
+          select de_uid, health_area, district_name, region_name, country_name, period, year_month,
                  sum(numeric_value) as total_value, min(de_name) as de_name
           from fact where numeric_value is not null
-          group by de_uid, health_area, district_name, country_name, period, year_month)
-        window w as (partition by de_uid, country_name, district_name order by period))
+          group by de_uid, health_area, district_name, region_name, country_name, period, year_month)
+        window w as (partition by de_uid, country_name, region_name, district_name order by period))
     """
 
 
-def _rolling(months: int, by_calendar: bool = False) -> str:
+def _rolling(months: int, by_calendar: bool = False, table: str = "fact") -> str:
     if by_calendar:
         frame = f"order by {_index()} range between {months - 1} preceding and current row"
     else:
@@ -184,7 +225,7 @@ def _rolling(months: int, by_calendar: bool = False) -> str:
     return f"""
       select de_uid, ou_uid, period, health_area, country_name, district_name, facility_name,
              numeric_value, {rounded("m", 4)} as rolling_avg_{months}m
-      from (select *, {mean} as m from fact)
+      from (select *, {mean} as m from {table})
     """
 
 
@@ -235,19 +276,25 @@ def _comparison(weight: str) -> str:
 
 
 def _runs(threshold: float, gap_aware: bool = False, weight: str = "row") -> str:
-    position = (
-        _index() if gap_aware else "row_number() over (partition by country_name order by period)"
-    )
+    if gap_aware:
+        island = f"""(select count(*) from marked b where b.country_name is not distinct from a.country_name
+          and b.period <= a.period and (not b.low or b.step <> 1))"""
+    else:
+        island = """row_number() over (partition by country_name order by period)
+          - case when low then row_number() over (partition by country_name, low order by period) end"""
     return f"""
       select country_name, cast(island as int) as island_id, count(*) as consecutive_periods,
              min(period) as run_start_period, max(period) as run_end_period,
              {mean_score("m")} as avg_completeness_in_run
       from (
-        select *, pos - row_number() over (partition by country_name, low order by period) as island
-        from (
-          select *, m < {threshold} as low, {position} as pos from (
-            select country_name, period, {mean_score("completeness_score")} as m
-            from {_monthly(weight)} group by country_name, period)))
+        with monthly as (
+          select country_name, period, {mean_score("completeness_score")} as m
+          from {_monthly(weight)} group by country_name, period),
+        marked as (
+          select *, coalesce(m < {threshold}, false) as low,
+                 {_index()} - lag({_index()}, 1, {_index()} - 1) over (
+                   partition by country_name order by period) as step from monthly)
+        select a.*, {island} as island from marked a)
       where low group by country_name, island having count(*) >= 3
     """
 
@@ -312,18 +359,28 @@ def _contract() -> str:
             "count_if(is_explicit_zero and is_missing_value)"
         ),
     }
+    details = {
+        "reviewed_by.present": "'missing column'",
+        "program_id.not_null": "'null values'",
+        "numeric_value.range": "(select min(numeric_value) || '..' || max(numeric_value) from fact) || ' outside 1..49'",
+        "health_area.allowed_values": "'values outside: A, B, C, D'",
+        "quarter.pattern": "'no match of ^199[2-6]Q[1-4]$'",
+        "year.type": "'expected string, found int'",
+        "late_zero": "'is_late_reported and is_explicit_zero'",
+        "key_there": "'null values'",
+        "zero_null_distinction": "'is_explicit_zero and is_missing_value'",
+    }
     rows = " union all ".join(
         f"select '{name}' as rule_name, '{kind}' as kind, '{column}' as column_name, "
-        f"cast({n} as bigint) as violations from fact"
-        for (name, kind, column), n in counts.items()
-        if "count" in n
-    )
-    settled = " union all ".join(
-        f"select '{name}', '{kind}', '{column}', cast({n} as bigint)"
+        f"cast({n} as bigint) as violations, {details.get(name, 'null')} as text "
+        f"{'from fact' if 'count' in n else ''}"
         for (name, kind, column), n in counts.items()
-        if "count" not in n
     )
-    return f"select *, violations = 0 as passed from ({rows} union all {settled})"
+    return f"""
+      select * exclude (text), violations = 0 as passed, case when violations > 0 then text end as detail
+      from ({rows})
+      union all select 'plausible', 'custom', '', null, null, 'not evaluated: the check has no condition'
+    """
 
 
 _ORDER_DOC = """
@@ -339,10 +396,11 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         "ingest_documents": f"select {VALUE_COLUMNS} from reports",
         "ingest_split_documents": f"select {VALUE_COLUMNS} from reports",
+        "ingest_file_documents": f"select {VALUE_COLUMNS} from reports",
         "ingest_quarantine": """
           select * exclude (reason), case when reason is null then 'clean' else 'rejected' end as status,
                  case when reason is not null
-                   then 'Null value in critical field(s): ' || reason end as quarantine_reason
+                   then 'missing: ' || reason end as quarantine_reason
           from (select ok, ln, px, "dataElement", period, "orgUnit", value,
                        nullif(concat_ws(', ',
                          case when "dataElement" is null then 'dataElement' end,
@@ -358,9 +416,9 @@ def oracle_sql() -> dict[str, str]:
             select case when state in ('cut', 'bare') then 'lost'
                         when state = 'no unit' then 'rejected' else 'clean' end as status,
                    case when state in ('cut', 'bare')
-                          then 'Document without a readable array: dataValues'
+                          then 'unreadable: dataValues'
                         when state = 'no unit'
-                          then 'Null value in critical field(s): orgUnit' end as quarantine_reason,
+                          then 'missing: orgUnit' end as quarantine_reason,
                    case when state not in ('cut', 'bare') then item end as item
             from ({_ORDER_DOC})) group by all
         """,
@@ -393,14 +451,50 @@ def oracle_sql() -> dict[str, str]:
         """,
         "resolve_rejects": f"""
           select {REJECT_COLUMNS}, case when "orgUnit" not in (select id from unit_ids)
-                   then 'ghost orgUnit UID not in org_units.json'
-                   else 'ghost dataElement UID not in metadata.json' end as quarantine_reason
+                   then 'orgUnit' else 'dataElement' end as unknown_key
           from reports
           where "orgUnit" not in (select id from unit_ids)
              or "dataElement" not in (select id from elements)
         """,
         "hierarchy_flat": "select * from facilities",
-        "hierarchy_leaves_without_children": "select * from facilities",
+        "hierarchy_leaves_without_children": """
+          select * from facilities
+          union all by name
+          select 'N' || n.n_nationkey as facility_uid, n.n_name as facility_name, 3 as facility_level,
+                 '/R' || r.r_regionkey || '/R' || r.r_regionkey || 'G' || (n.n_nationkey % 2)
+                   || '/N' || n.n_nationkey as path,
+                 'R' || r.r_regionkey as country_uid, r.r_name as country_name,
+                 'R' || r.r_regionkey || 'G' || (n.n_nationkey % 2) as region_uid,
+                 r.r_name || ' half ' || (n.n_nationkey % 2) as region_name
+          from nation n join region r on r.r_regionkey = n.n_regionkey
+          where 'N' || n.n_nationkey not in (select district_uid from facilities)
+        """,
+        "cast_values_odd_text": """
+          select l_orderkey, l_linenumber, text,
+                 case when l_linenumber % 5 in (0, 1) then cast(l_quantity as double)
+                      when l_linenumber % 5 = 2 then cast(l_quantity as double) * 100 end as numeric_value
+          from (select *, cast(cast(l_quantity as int) as varchar) || case l_linenumber % 5
+                  when 0 then '' when 1 then '.0' when 2 then 'e2' when 3 then 'd' else ' NaN' end as text
+                from lineitem)
+        """,
+        "fact_null_periods": f"select {FACT_COLUMNS} from fact_of_nulls",
+        "fact_null_periods_split_groups": f"select {FACT_COLUMNS} from fact_of_nulls",
+        "rolling_avg_calendar_null_keys": _rolling(3, by_calendar=True, table="keyless"),
+        "rolling_avg_calendar_null_keys_split_groups": _rolling(3, by_calendar=True, table="keyless"),
+        "exports_rows": """
+          select 'element' as kind, id, name, value_type as detail from elements
+          union all select 'combo', id, 'combo ' || id, null from combos
+          union all select 'program', id, 'Programme ' || area, country from programs
+          union all select 'unit', facility_uid, facility_name, path from facilities
+          union all select 'unit', 'R' || r_regionkey, r_name, '/R' || r_regionkey from region
+          union all select distinct 'unit', 'R' || n_regionkey || 'G' || (n_nationkey % 2),
+                 r_name || ' half ' || (n_nationkey % 2),
+                 '/R' || n_regionkey || '/R' || n_regionkey || 'G' || (n_nationkey % 2)
+                 from nation join region on r_regionkey = n_regionkey
+          union all select 'unit', 'N' || n_nationkey, n_name,
+                 '/R' || n_regionkey || '/R' || n_regionkey || 'G' || (n_nationkey % 2)
+                   || '/N' || n_nationkey from nation
+        """,
         "hierarchy_enrich": """
           select r."dataElement", r."orgUnit", r.ok, r.ln, r.px, f.* exclude (facility_uid),
                  f.facility_uid is null as is_non_leaf
@@ -452,9 +546,12 @@ def oracle_sql() -> dict[str, str]:
           left join scores s on s."orgUnit" = u.facility_uid and s.period = m.period
         """,
         "dq_gate": """
-          select 'quarantine_rate' as check_name, 0.25::double as observed,
-                 0.1::double as threshold,
-                 false as passed
+          select 'quarantine_rate' as check_name, q.n as observed, 0.1::double as threshold,
+                 q.n <= 0.1 as passed from (
+            select cast(count_if(ok % 37 = 0 or ok % 41 = 0 or ln = 6) as double) / count(*) as n
+            from reports) q
+          union all
+          select 'lost_documents', 0.0::double, 0.0::double, true
           union all
           select 'ghost_rate', g.n, 0.09::double, g.n <= 0.09 from (
             select cast(count_if("orgUnit" not in (select id from unit_ids)
@@ -523,7 +620,9 @@ def oracle_sql() -> dict[str, str]:
         "sigma_anomalies_excluding_current": _anomalies(3.0, include_current=False),
         "sigma_anomalies_split_groups": _anomalies(2.05),
         "report_csv_roundtrip": """
-          select health_area, quarter, year, sum(numeric_value) as total_volume, count(*) as total_rows
+          select health_area, quarter, year, sum(numeric_value) as total_volume,
+                 count(distinct ou_uid) as reporting_facilities,
+                 count(distinct de_uid) as indicators_reported, count(*) as total_rows
           from fact where numeric_value is not null group by health_area, quarter, year
         """,
         "rejects_csv_roundtrip": """
@@ -532,19 +631,30 @@ def oracle_sql() -> dict[str, str]:
                    ',{"id":"T' || facility_type[6:] || '","name":"' || facility_type || '"}'
                    else '' end || ']' as groups
           from facilities
+          union all select 'R' || r_regionkey, 1, '[{"id":"L1","name":"Country"}]' from region
+          union all select distinct 'R' || n_regionkey || 'G' || (n_nationkey % 2), 2,
+                 '[{"id":"L2","name":"Region"}]' from nation
+          union all select 'N' || n_nationkey, 3, '[{"id":"L3","name":"District"}]' from nation
         """,
         "loaded_partitions": "select distinct health_area, year_month from fact",
         "filter_new": f"""
           select {VALUE_COLUMNS}, ok, ln, px from reports
-          where period not in (select year_month from fact where year_month < '199501')
+          where period not in (select year_month from fact where year_month < '{CUTOFF}')
         """,
-        "filter_new_by_area": """
+        "filter_new_by_area": f"""
           select r.ok, r.ln, r.px, r."dataElement", r.period from resolved r
-          where not exists (select 1 from fact f where f.year_month < '199501'
+          where not exists (select 1 from fact f where f.year_month < '{CUTOFF}'
                             and f.health_area = r.health_area and f.year_month = r.period)
         """,
     }
-    sql["fact"] = sql["fact_roundtrip"] = sql["fact_split_groups"] = sql["incremental_union"] = (
+    sql["fact"] = sql["fact_roundtrip"] = sql["fact_split_groups"] = (
         f"select {FACT_COLUMNS} from fact"
     )
+    offered = "case when year_month < '{0}' then stored_by else 'second' end as stored_by".format(CUTOFF)
+    sql["incremental_union"] = (
+        f"select * replace ({offered}) from (select {FACT_COLUMNS} from fact)"
+    )
+    sql["incremental_skipped"] = f"""
+      select period, count(*) as skipped from fact where year_month < '{CUTOFF}' group by period
+    """
     return {name: f"with {VIEWS}\n{body}" for name, body in sql.items()}

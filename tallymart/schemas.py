@@ -6,6 +6,8 @@ schemas; nothing is inferred.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import types as T
 
 
@@ -85,3 +87,13 @@ FACT = _struct(
 FACT_PARTITIONS = ["health_area", "year_month"]
 FACT_KEY = ["de_uid", "ou_uid", "period", "coc_uid"]
 VALUE_KEY = ["dataElement", "period", "orgUnit", "categoryOptionCombo"]
+
+
+def org_unit_dimension(labels: Sequence[str]) -> T.StructType:
+    """Declared shape of the unit dimension for a tree whose levels above the leaves have ``labels``."""
+    shape = T.StructType.fromDDL(
+        "facility_uid string, facility_name string, facility_type string, facility_level int, path string"
+    )
+    for label in labels:
+        shape = shape.add(f"{label}_uid", "string").add(f"{label}_name", "string")
+    return shape

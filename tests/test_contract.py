@@ -97,3 +97,11 @@ def test_raise_or_not(spark):
     assert_contract(frames.fact(spark, {}), FACT_CONTRACT)
     with pytest.raises(ContractViolation, match="de_uid"):
         assert_contract(frames.fact(spark, {"de_uid": None}), FACT_CONTRACT)
+
+
+def test_a_rule_without_a_condition_is_no_pass(spark):
+    contract = {"table": "t", "columns": {}, "checks": [{"name": "prose", "type": "custom"}]}
+    row = contract_checks(spark.createDataFrame([(1,)], "a int"), contract).first()
+    assert (row.violations, row.passed) == (None, None) and row.detail.startswith("not evaluated")
+    report = validate_contract(spark.createDataFrame([(1,)], "a int"), contract)
+    assert not report.passed

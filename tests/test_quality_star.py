@@ -126,12 +126,12 @@ def test_score_is_capped(spark):
     assert ("F3", None) in frames.rows(got, "orgUnit", "completeness_score")
 
 
-def flow(spark, hot_rows, seed=5):
+def flow(spark, hot_rows, seed=5, periods=("202401", "202402")):
     rng = random.Random(seed)
     rows = [
         (
             rng.choice("aaaabx"),
-            rng.choice(["202401", "202402"]),
+            rng.choice(periods),
             rng.choice(["F1"] * 8 + ["F2", "F3", "ghost"]),
             rng.choice("cd"),
             rng.choice(["0", "5", None]),
@@ -167,6 +167,14 @@ def test_hot_units_give_the_same_rows(spark):
     assert frames.rows(flow(spark, 1)[0], *columns) == plain
 
 
+def test_null_periods_are_scored_whatever_the_size(spark):
+    columns = sorted(flow(spark, None)[0].columns)
+    runs = [frames.rows(flow(spark, hot, periods=("202401", None, None))[0], *columns) for hot in (None, 1, 20)]
+    assert runs[0] == runs[1] == runs[2]
+    at = columns.index("completeness_score"), columns.index("period")
+    assert any(r[at[0]] is not None and r[at[1]] is None for r in runs[0])
+
+
 def test_one_shuffle_of_the_values(spark, capsys):
     flow(spark, None)[0].explain()
     plan = capsys.readouterr().out
@@ -209,7 +217,7 @@ def test_dimensions(spark):
         ("b", None),
     ]
     units = star.dim_org_unit(flatten_hierarchy(frames.units(spark, *TREE)))
-    assert units.count() == 3 and "district_uid" not in units.columns
+    assert units.count() == 3 and {r.district_uid for r in units.collect()} == {None}
     periods = frames.values(
         spark, ("e", "202402", "u", "c", "1", None), ("e", "202402", "v", "c", "1", None)
     )

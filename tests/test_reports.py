@@ -119,6 +119,25 @@ def test_calendar_mean_by_brute_force(spark, hot_rows):
     ) == sorted(expected, key=repr)
 
 
+def test_null_keys_give_the_same_rows_whatever_the_size(spark):
+    fact, _ = random_fact(spark, n=300)
+    fact = fact.withColumns(
+        {
+            "ou_uid": F.when(F.col("month") % 2 == 0, F.col("ou_uid")),
+            "de_uid": F.when(F.col("month") % 3 != 0, F.col("de_uid")),
+            "coc_uid": F.monotonically_increasing_id().cast("string"),  # a total order
+        }
+    )
+    fact = fact.sparkSession.createDataFrame(fact.collect(), fact.schema)
+    for report in (
+        lambda hot: trends.rolling_avg(fact, hot_rows=hot),
+        lambda hot: trends.rolling_avg(fact, by_calendar=True, hot_rows=hot),
+        lambda hot: anomaly.sigma_anomalies(fact, sigmas=1.5, hot_rows=hot),
+    ):
+        runs = [frames.rows(report(hot)) for hot in (None, 1, 20)]
+        assert runs[0] and runs[0] == runs[1] == runs[2]
+
+
 @pytest.mark.parametrize("hot_rows", [None, 1])
 @pytest.mark.parametrize("current", [True, False])
 def test_anomalies_by_brute_force(spark, hot_rows, current):

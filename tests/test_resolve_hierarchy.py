@@ -4,7 +4,7 @@ from tallymart.operators.hierarchy import (
     enrich_with_hierarchy,
     flatten_hierarchy,
 )
-from tallymart.operators.resolve import GHOST_ELEMENT, GHOST_UNIT, resolve_keys
+from tallymart.operators.resolve import resolve_keys
 
 TREE = [
     ("K", "Kenya", "/K", ["Country"]),
@@ -38,10 +38,10 @@ def test_resolve(spark):
         ("2", "E", "HIV", True),
         ("6", "Bare", None, False),
     ]
-    assert frames.rows(got.rejects, "value", "quarantine_reason") == [
-        ("3", GHOST_ELEMENT),
-        ("4", GHOST_UNIT),
-        ("5", GHOST_UNIT),
+    assert frames.rows(got.rejects, "value", "unknown_key") == [
+        ("3", "dataElement"),
+        ("4", "orgUnit"),
+        ("5", "orgUnit"),
     ]
     assert got.rows.count() + got.rejects.count() == values.count()
 

@@ -19,7 +19,7 @@ def sides(spark):
 
 def test_hot_keys(sides):
     left, _ = sides
-    assert frames.rows(hot_keys(left, ["k"], 40), "_hot_k") == [("hot",), (None,)]
+    assert frames.rows(hot_keys(left, ["k"], 40).keys, "_hot_k") == [("hot",), (None,)]
     assert hot_keys(left, ["k"], 400) is None and hot_keys(left, ["k"], None) is None
     cold, hot = split_hot(left, ["k"], hot_keys(left, ["k"], 40))
     assert frames.rows(cold.unionByName(hot)) == frames.rows(left)

@@ -46,8 +46,8 @@ def test_nothing_is_lost_without_a_trace(spark, tmp_path):
     loaded = exports.load_data_values(spark, str(tmp_path), layout="line")
     assert loaded.rows.count() == 1
     assert frames.rows(loaded.rejects, "quarantine_reason") == [
-        ("Null value in critical field(s): dataElement, period, orgUnit",),
-        ("Null value in critical field(s): period, orgUnit",),
+        ("missing: dataElement, period, orgUnit",),
+        ("missing: period, orgUnit",),
     ]
     assert [t for t, in frames.rows(loaded.lost_documents, "lost_text")] == sorted(
         [lines[1], lines[2], lines[4]], key=lambda t: repr((t,))
