@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import decontaminate, fingerprints, htmldiff, langid, neardup, packing, pii, sharding, toxicity, warc
+from tallymart.llm import decontaminate, fingerprints, htmldiff, langid, neardup, oracle, packing, pii, sharding, toxicity, warc
 from tallymart.llm.storage import landed, shared_folder
 
 
@@ -88,4 +88,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()

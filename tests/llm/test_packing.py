@@ -30,7 +30,7 @@ def test_pieces_are_those_of_the_tokenizer(spark):
 def test_cache_is_forgotten_and_learnt_again(monkeypatch):
     monkeypatch.setattr(packing, "_CACHE", 3)
     tokenizer, plain = packing.WordTokenizer(PATH), Tokenizer.from_file(PATH)
-    for text in ("one two", "three four five", "one six seven eight nine", "", "two"):
+    for text in ("one two", "three four five", "one six seven eight nine", "", "two", "a<b <|endoftext|>", "b"):
         data = np.frombuffer(text.encode(), np.uint8)
         ids, sizes = tokenizer.encode(data, np.array([0, len(data)]))
         assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids and sizes.tolist() == [len(ids)]
