@@ -13,17 +13,19 @@ from tallymart.llm import decontaminate, langid, neardup, pii
 from tallymart.llm.queries import packed, table
 from tallymart.llm.storage import landed
 
-#: Bits that a plain byte costs; a text that no language codes in fewer is in none of them.
-PLAIN_BYTE = 8.0
+#: Bits by which the best language's code must exceed plain bytes of 8 bits to speak against every language.
+EXCESS_BITS = 200.0
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language, with ``lang`` as predicted.
 
-    Rejected are texts without a letter, and those that no language's model codes in fewer than 8 bits a byte.
+    Rejected are texts without a letter, and those whose code in every language is ``EXCESS_BITS`` longer than
+    their plain bytes.
     """
     found = langid.identify(docs, langid.train(docs))
-    kept = found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("bits_per_byte") < PLAIN_BYTE))
+    excess = (F.col("bits_per_byte") - 8) * F.octet_length("text")
+    kept = found.filter((F.col("lang_pred") != langid.UNKNOWN) & (excess < EXCESS_BITS))
     return kept.withColumn("lang", F.col("lang_pred")).select(docs.columns)
 
 
