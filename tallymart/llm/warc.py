@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -105,7 +106,7 @@ class _Target:
         self.system, base = _opened(folder)
         self.system.create_dir(base, recursive=True)
         self.path = f"{base}/{name}"
-        self.unfinished = f"{base}/.{name}.{hashlib.sha1(repr(id(self)).encode()).hexdigest()[:12]}"
+        self.unfinished = f"{base}/.{name}.{uuid.uuid4().hex}"
         self.stream = self.system.open_output_stream(self.unfinished, compression=None)
         self.size = 0
 
@@ -116,6 +117,9 @@ class _Target:
 
     def done(self) -> None:
         self.stream.close()
+        # Of a repeated task's files the last one stays; all of them are alike.
+        if self.system.get_file_info(self.path).type != pyarrow.fs.FileType.NotFound:
+            self.system.delete_file(self.path)
         self.system.move(self.unfinished, self.path)
 
 
