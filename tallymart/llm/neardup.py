@@ -2,14 +2,17 @@
 
 A document is the set of its distinct five-word shingles.  Every one of ``trees`` independent trees
 branches the sets by minwise tokens: the root of a tree takes one coordinate of the minwise sketch,
-and every node of more than ``small`` sets takes ``branch`` coordinates of its own, chosen from the
-node's path; a set goes to the child of its value.  Nodes of at most ``small`` sets are compared
-exhaustively, sketches first, then full sets.  Nodes still larger at ``depth`` are compared whole
-too, block against block.
-
-Recall of a pair of similarity s >= 0.75: it meets in one tree with probability s in a small node and
-at least 0.667 below large ones (r = 1 - (1 - s r)^2), so 14 trees miss it with probability below
-3e-7; the sketch filter adds less than 1e-6.  Links are confirmed on full sets of 64-bit shingle hashes.
+and every node of more than ``small`` sets takes one or two coordinates of its own, 4/3 on average (one
+over the similarity asked for), chosen by the node's path; a set goes to the child of its value.  Nodes
+of at most ``small`` sets are compared exhaustively, sketches first, then full sets.  Nodes still larger
+at ``depth`` are compared whole too, block against block.
+
+Trees run in two rounds.  The second leaves out what the first has already connected: only pairs from
+different components are compared, so a large group of near copies is not compared again.
+
+Recall of a pair of similarity 0.75, with 20 trees: it meets in one tree with probability 0.75 in a small
+node, 0.52 two levels down and 0.33 six levels down, so it is missed with probability 1e-12, 5e-7 and 4e-4;
+the sketch filter adds less than 1e-6.  Links are confirmed on full sets of 64-bit shingle hashes.
 """
 
 from __future__ import annotations
@@ -102,13 +105,13 @@ def _tokens(column: pa.Array) -> np.ndarray:
     return data.view(np.uint32).reshape(-1, COORDINATES)
 
 
-def _roots(sets: DataFrame, trees: int) -> DataFrame:
+def _roots(sets: DataFrame, trees: range) -> DataFrame:
     """``(node, id)``: every set in the root child of its minwise token, tree by tree."""
 
     def run(batches):
         for batch in batches:
             tokens, ids = _tokens(batch.column("mh")), batch.column("id").to_numpy()
-            for t in range(trees):
+            for t in trees:
                 at = np.full(len(ids), t, np.uint64)
                 node = words.combine(at, tokens[:, t].astype(np.uint64))
                 yield pa.record_batch({"node": node.view(np.int64), "id": ids})
@@ -116,18 +119,20 @@ def _roots(sets: DataFrame, trees: int) -> DataFrame:
     return sets.select("id", "mh").mapInArrow(run, "node long, id long")
 
 
-def _children(large: DataFrame, branch: int) -> DataFrame:
+def _children(large: DataFrame) -> DataFrame:
     """``(node, id)`` one level below; which coordinates a node takes follows from its path."""
 
     def run(batches):
         for batch in batches:
             tokens, ids = _tokens(batch.column("mh")), batch.column("id").to_numpy()
             node = batch.column("node").to_numpy().view(np.uint64)
-            for j in range(branch):
-                chosen = words.combine(node, np.full(len(ids), j, np.uint64)) % np.uint64(COORDINATES)
-                value = tokens[np.arange(len(ids)), chosen.astype(np.int64)].astype(np.uint64)
-                child = words.combine(node, np.full(len(ids), j, np.uint64), value)
-                yield pa.record_batch({"node": child.view(np.int64), "id": ids})
+            for j in range(2):
+                drawn = words.combine(node, np.full(len(ids), j, np.uint64))
+                own = slice(None) if j == 0 else np.flatnonzero(drawn >> np.uint64(32) < (1 << 32) // 3)
+                chosen = (drawn[own] % np.uint64(COORDINATES)).astype(np.int64)
+                value = tokens[own][np.arange(len(chosen)), chosen].astype(np.uint64)
+                child = words.combine(drawn[own], value)
+                yield pa.record_batch({"node": child.view(np.int64), "id": ids[own]})
 
     return large.select("node", "id", "mh").mapInArrow(run, "node long, id long")
 
@@ -137,7 +142,7 @@ def _sized_nodes(members: DataFrame) -> DataFrame:
     return landed(members.join(sizes, "node"), "nodes")
 
 
-def small_nodes(sets: DataFrame, trees: int, branch: int, depth: int, small: int) -> DataFrame:
+def small_nodes(sets: DataFrame, trees: range, depth: int, small: int) -> DataFrame:
     """``(node, id)`` of nodes of 2 to about ``small`` sets, which together hold every pair of a leaf."""
     level = _sized_nodes(_roots(sets, trees))
     leaves = [level.filter(F.col("size") <= small).select("node", "id")]
@@ -146,7 +151,7 @@ def small_nodes(sets: DataFrame, trees: int, branch: int, depth: int, small: int
         large = level.filter(F.col("size") > small)
         if large.isEmpty():
             return _union(leaves)
-        level = _sized_nodes(_children(large.join(tokens, "id"), branch))
+        level = _sized_nodes(_children(large.join(tokens, "id")))
         leaves.append(level.filter(F.col("size") <= small).select("node", "id"))
     large = level.filter(F.col("size") > small)
     if not large.isEmpty():
@@ -189,33 +194,40 @@ def _joined(adjacent: np.ndarray) -> np.ndarray:
 def _alike_by_sketch(nodes: DataFrame, least_equal: int, percent: int) -> DataFrame:
     """``(cluster, id)``: within a node, sets that sketches and sizes may link, chains included.
 
-    ``cluster`` is a hash of the members, so that a cluster found in several trees is one.
+    Pairs of one ``component`` count as linked already.  ``cluster`` is a hash of the members, so that
+    a cluster found in several trees is one.
     """
 
     def run(batches):
         for table in groups(batches, "node"):
-            if table.num_rows < 2:
-                continue
             ids, at = np.unique(table.column("id").to_numpy(), return_index=True)
+            part = table.column("component").to_numpy()[at]
+            if (part == part[0]).all():
+                continue
             size = table.column("n").to_numpy()[at]
             data, _ = words.column_bytes(table.column("sketch"))
             tokens = data.reshape(-1, COORDINATES)[at]
-            near = 100 * np.minimum.outer(size, size) >= percent * np.maximum.outer(size, size)
-            near &= (tokens[:, None, :] == tokens[None, :, :]).sum(2) >= least_equal
-            np.fill_diagonal(near, False)
+            near = np.zeros((len(ids), len(ids)), bool)
+            for a in range(0, len(ids), 64):
+                near[a : a + 64] = (tokens[a : a + 64, None, :] == tokens[None, :, :]).sum(2) >= least_equal
+            near &= 100 * np.minimum.outer(size, size) >= percent * np.maximum.outer(size, size)
+            near &= part[:, None] != part[None, :]
             label = _joined(near)
             for root in np.unique(label[near.any(axis=1)]):
                 own = ids[label == root]
                 mixed = words.mix(own.view(np.uint64))
                 cluster = words.combine(mixed.sum(keepdims=True), np.bitwise_xor.reduce(mixed, keepdims=True))
-                yield pa.record_batch({"cluster": np.repeat(cluster.view(np.int64), len(own)), "id": own})
+                yield pa.record_batch(
+                    {"cluster": np.repeat(cluster.view(np.int64), len(own)), "id": own, "component": part[label == root]}
+                )
 
-    rows = nodes.select("node", "id", "n", "sketch").repartition("node").sortWithinPartitions("node")
-    return rows.mapInArrow(run, "cluster long, id long").repartition("cluster").dropDuplicates(["cluster", "id"])
+    rows = nodes.select("node", "id", "component", "n", "sketch").repartition("node").sortWithinPartitions("node")
+    found = rows.mapInArrow(run, "cluster long, id long, component long")
+    return found.repartition("cluster").dropDuplicates(["cluster", "id"])
 
 
-def _intersections(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all pairwise intersections, from the values that more than one set has."""
+def _intersections(sets: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of ``rows`` with all sets, from the values that more than one set has."""
     values = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     order = np.argsort(values, kind="stable")
@@ -224,7 +236,7 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
     column = np.cumsum(new) - 1
     shared = np.bincount(column)[column] > 1
     column, owner = column[shared], owner[shared]
-    out = np.zeros((len(sets), len(sets)))
+    out = np.zeros((len(rows), len(sets)))
     if not len(column):
         return out
     column = np.cumsum(np.concatenate([[0], column[1:] != column[:-1]]))
@@ -233,27 +245,33 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
         lo, hi = np.searchsorted(column, [a, a + step])
         have = np.zeros((len(sets), step), np.float32)
         have[owner[lo:hi], column[lo:hi] - a] = 1
-        out += have @ have.T
+        out += have[rows] @ have.T
     return out
 
 
 def _confirmed(clusters: DataFrame, percent: int) -> DataFrame:
-    """``(a, b)``: links confirmed on full sets, as many as connect what a cluster links."""
+    """``(a, b)``: components that links confirmed on full sets connect, one row less than they are.
+
+    Compared are all sets outside the cluster's largest component with all of the cluster.
+    """
 
     def run(batches):
         for table in groups(batches, "cluster"):
-            ids = table.column("id").to_numpy()
+            names, part = np.unique(table.column("component").to_numpy(), return_inverse=True)
             data, offsets = words.column_bytes(table.column("values"))
             sets = [data[a:b].view(np.uint64) for a, b in zip(offsets, offsets[1:])]
-            both = _intersections(sets)
             size = np.array([len(s) for s in sets])
-            linked = 100 * both >= percent * (np.add.outer(size, size) - both)
+            rows = np.flatnonzero(part != np.bincount(part).argmax())
+            both = _intersections(sets, rows)
+            i, j = np.nonzero(100 * both >= percent * (np.add.outer(size[rows], size) - both))
+            linked = np.zeros((len(names), len(names)), bool)
+            linked[part[rows[i]], part[j]] = linked[part[j], part[rows[i]]] = True
             label = _joined(linked)
-            rest = np.flatnonzero(label != np.arange(len(ids)))
+            rest = np.flatnonzero(label != np.arange(len(names)))
             if len(rest):
-                yield pa.record_batch({"a": ids[rest], "b": ids[label[rest]]})
+                yield pa.record_batch({"a": names[rest], "b": names[label[rest]]})
 
-    rows = clusters.select("cluster", "id", "values").repartition("cluster").sortWithinPartitions("cluster")
+    rows = clusters.select("cluster", "component", "values").repartition("cluster").sortWithinPartitions("cluster")
     return rows.mapInArrow(run, "a long, b long")
 
 
@@ -273,10 +291,9 @@ def near_duplicates(
     documents: DataFrame,
     width: int = 5,
     percent: int = 75,
-    trees: int = 14,
-    branch: int = 2,
-    depth: int = 6,
-    small: int = 256,
+    trees: int = 20,
+    depth: int = 8,
+    small: int = 1024,
     least_equal: int | None = None,
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``documents(doc_id, text)``.
@@ -296,19 +313,28 @@ def near_duplicates(
     sets = landed(
         own.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("id"), F.first("mh").alias("mh")), "sets"
     )
-    nodes = small_nodes(sets, trees, branch, depth, small)
 
     def short(batches):
         for batch in batches:
             low = (_tokens(batch.column("mh")) & 255).astype(np.uint8)
-            yield pa.record_batch(
-                {"id": batch.column("id"), "n": batch.column("n"), "sketch": _ragged(low.ravel(), np.full(len(low), COORDINATES))}
-            )
+            sketch = _ragged(low.ravel(), np.full(len(low), COORDINATES))
+            yield pa.record_batch({"id": batch.column("id"), "n": batch.column("n"), "sketch": sketch})
 
     brief = sets.select("id", "n", "mh").mapInArrow(short, "id long, n long, sketch binary")
-    clusters = landed(_alike_by_sketch(nodes.join(brief, "id"), least, percent), "clusters")
-    full = _full_sets(documents, clusters.select("id").distinct(), width)
-    labels = components(_confirmed(clusters.join(full, "id"), percent))
+    labels = None
+    for part in (range(min(3, trees)), range(min(3, trees), trees)):
+        nodes = small_nodes(sets, part, depth, small).join(brief, "id")
+        if labels is None:
+            nodes = nodes.withColumn("component", F.col("id"))
+        else:
+            nodes = nodes.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        clusters = landed(_alike_by_sketch(nodes, least, percent), "clusters")
+        full = _full_sets(documents, clusters.select("id").distinct(), width)
+        links = _confirmed(clusters.join(full, "id"), percent)
+        if labels is not None:
+            known = labels.filter("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+            links = links.unionByName(known)
+        labels = components(links)
     classes = sets.select("n", "s1", "s2", F.col("id").alias("first_id")).join(
         labels.withColumnRenamed("id", "first_id"), "first_id", "left"
     )
