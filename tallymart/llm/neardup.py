@@ -2,7 +2,7 @@
 
 A document is the set of its distinct five-word shingles.  Every one of ``trees`` independent trees
 branches the sets by minwise tokens: the root of a tree takes one coordinate of the minwise sketch,
-and every node of more than ``small`` sets takes one or two coordinates of its own, 4/3 on average (one
+and every node of more than ``small`` sets (see below) takes one or two coordinates of its own, 4/3 on average (one
 over the similarity asked for), chosen by the node's path; a set goes to the child of its value.  Nodes
 of at most ``small`` sets are compared exhaustively, sketches first, then full sets.  Nodes still larger
 at ``depth`` are compared whole too, block against block.
@@ -32,6 +32,8 @@ from tallymart.llm.storage import landed
 COORDINATES = 64
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 2**64, COORDINATES, dtype=np.uint64) | np.uint64(1)
 _PART = 1 << 21
+#: Members of clusters, and documents they are, up to which their list is broadcast: about 40 MB.
+MEMBERS = 1_000_000
 
 
 def _ragged(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -106,54 +108,62 @@ def _tokens(column: pa.Array) -> np.ndarray:
 
 
 def _roots(sets: DataFrame, trees: range) -> DataFrame:
-    """``(node, id)``: every set in the root child of its minwise token, tree by tree."""
+    """``(node, id, component)``: every set in the root child of its minwise token, tree by tree."""
 
     def run(batches):
         for batch in batches:
-            tokens, ids = _tokens(batch.column("mh")), batch.column("id").to_numpy()
+            tokens, ids = _tokens(batch.column("mh")), batch.column("id")
             for t in trees:
                 at = np.full(len(ids), t, np.uint64)
                 node = words.combine(at, tokens[:, t].astype(np.uint64))
-                yield pa.record_batch({"node": node.view(np.int64), "id": ids})
+                yield pa.record_batch({"node": node.view(np.int64), "id": ids, "component": batch.column("component")})
 
-    return sets.select("id", "mh").mapInArrow(run, "node long, id long")
+    return sets.select("id", "component", "mh").mapInArrow(run, "node long, id long, component long")
 
 
 def _children(large: DataFrame) -> DataFrame:
-    """``(node, id)`` one level below; which coordinates a node takes follows from its path."""
+    """``(node, id, component)`` one level below; which coordinates a node takes follows from its path."""
 
     def run(batches):
         for batch in batches:
             tokens, ids = _tokens(batch.column("mh")), batch.column("id").to_numpy()
             node = batch.column("node").to_numpy().view(np.uint64)
+            component = batch.column("component").to_numpy()
             for j in range(2):
                 drawn = words.combine(node, np.full(len(ids), j, np.uint64))
                 own = slice(None) if j == 0 else np.flatnonzero(drawn >> np.uint64(32) < (1 << 32) // 3)
                 chosen = (drawn[own] % np.uint64(COORDINATES)).astype(np.int64)
                 value = tokens[own][np.arange(len(chosen)), chosen].astype(np.uint64)
                 child = words.combine(drawn[own], value)
-                yield pa.record_batch({"node": child.view(np.int64), "id": ids[own]})
+                yield pa.record_batch({"node": child.view(np.int64), "id": ids[own], "component": component[own]})
 
-    return large.select("node", "id", "mh").mapInArrow(run, "node long, id long")
+    return large.select("node", "id", "component", "mh").mapInArrow(run, "node long, id long, component long")
 
 
-def _sized_nodes(members: DataFrame) -> DataFrame:
-    sizes = members.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
-    return landed(members.join(sizes, "node"), "nodes")
+def _sized_nodes(members: DataFrame, small: int) -> DataFrame:
+    """Members of nodes of more than one component, with ``size`` and whether the node is ``large``."""
+    parts = members.groupBy("node", "component").agg(F.count("*").alias("n"))
+    sizes = parts.groupBy("node").agg(F.sum("n").alias("size"), F.max("n").alias("most")).filter("size > most")
+    large = ((F.col("size") - F.col("most")) * F.col("size") > small * small) | (F.col("size") > 4 * small)
+    return landed(members.join(sizes.select("node", "size", large.alias("large")), "node"), "nodes")
 
 
 def small_nodes(sets: DataFrame, trees: range, depth: int, small: int) -> DataFrame:
-    """``(node, id)`` of nodes of 2 to about ``small`` sets, which together hold every pair of a leaf."""
-    level = _sized_nodes(_roots(sets, trees))
-    leaves = [level.filter(F.col("size") <= small).select("node", "id")]
+    """``(node, id, component)`` of small nodes, which together hold every pair of a leaf.
+
+    ``sets(id, component, mh)``: pairs of one component need not be held.
+    """
+    level = _sized_nodes(_roots(sets, trees), small)
+    columns = "node", "id", "component"
+    leaves = [level.filter("not large").select(*columns)]
     tokens = sets.select("id", "mh")
     for _ in range(depth):
-        large = level.filter(F.col("size") > small)
+        large = level.filter("large")
         if large.isEmpty():
             return _union(leaves)
-        level = _sized_nodes(_children(large.join(tokens, "id")))
-        leaves.append(level.filter(F.col("size") <= small).select("node", "id"))
-    large = level.filter(F.col("size") > small)
+        level = _sized_nodes(_children(large.join(tokens, "id")), small)
+        leaves.append(level.filter("not large").select(*columns))
+    large = level.filter("large")
     if not large.isEmpty():
         leaves.append(_block_pairs(large, small))
     return _union(leaves)
@@ -171,55 +181,61 @@ def _block_pairs(large: DataFrame, small: int) -> DataFrame:
     blocks = F.ceil(F.col("size") * 2 / small).cast("long")
     block = F.pmod(F.xxhash64("id", "node"), blocks)
     pairs = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other")
-    return large.select("node", "id", block.alias("own"), pairs).select(
-        F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "id"
+    return large.select("node", "id", "component", block.alias("own"), pairs).select(
+        F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "id", "component"
     )
 
 
-def _joined(adjacent: np.ndarray) -> np.ndarray:
-    """Label of every row of a symmetric boolean matrix: the smallest row it is connected with."""
-    label = np.arange(len(adjacent))
-    for row in range(len(adjacent)):
-        if label[row] == row:
-            reached, new = adjacent[row].copy(), adjacent[row]
-            while new.any():
-                grown = adjacent[new].any(axis=0) & ~reached
-                reached |= grown
-                new = grown
-            reached[row] = True
-            label[reached] = np.minimum(label[reached], row)
+def _labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Label of each of ``n`` things: the smallest one that links ``i``-``j`` connect it with."""
+    label = np.arange(n)
+    while len(i):
+        low = np.minimum(label[i], label[j])
+        np.minimum.at(label, label[i], low)
+        np.minimum.at(label, label[j], low)
+        while (label[label] != label).any():
+            label = label[label]
+        apart = label[i] != label[j]
+        i, j = i[apart], j[apart]
     return label
 
 
 def _alike_by_sketch(nodes: DataFrame, least_equal: int, percent: int) -> DataFrame:
-    """``(cluster, id)``: within a node, sets that sketches and sizes may link, chains included.
+    """``(cluster, id, component)``: within a node, sets that sketches and sizes may link, chains included.
 
-    Pairs of one ``component`` count as linked already.  ``cluster`` is a hash of the members, so that
-    a cluster found in several trees is one.
+    Pairs of one component count as linked already.  ``cluster`` is a hash of the members, so that a
+    cluster found in several trees is one.
     """
 
     def run(batches):
         for table in groups(batches, "node"):
             ids, at = np.unique(table.column("id").to_numpy(), return_index=True)
-            part = table.column("component").to_numpy()[at]
-            if (part == part[0]).all():
+            component = table.column("component").to_numpy()[at]
+            names, part = np.unique(component, return_inverse=True)
+            if len(names) < 2:
                 continue
             size = table.column("n").to_numpy()[at]
             data, _ = words.column_bytes(table.column("sketch"))
             tokens = data.reshape(-1, COORDINATES)[at]
-            near = np.zeros((len(ids), len(ids)), bool)
-            for a in range(0, len(ids), 64):
-                near[a : a + 64] = (tokens[a : a + 64, None, :] == tokens[None, :, :]).sum(2) >= least_equal
-            near &= 100 * np.minimum.outer(size, size) >= percent * np.maximum.outer(size, size)
-            near &= part[:, None] != part[None, :]
-            label = _joined(near)
-            for root in np.unique(label[near.any(axis=1)]):
-                own = ids[label == root]
-                mixed = words.mix(own.view(np.uint64))
+            rows = np.flatnonzero(part != np.bincount(part).argmax())
+            i, j = [], []
+            step = max(1, 65_536 // len(ids))
+            for a in range(0, len(rows), step):
+                own = rows[a : a + step]
+                near = (tokens[own, None, :] == tokens[None, :, :]).sum(2) >= least_equal
+                near &= 100 * np.minimum.outer(size[own], size) >= percent * np.maximum.outer(size[own], size)
+                near &= part[own, None] != part[None, :]
+                x, y = np.nonzero(near)
+                i.append(own[x])
+                j.append(y)
+            i, j = np.concatenate(i), np.concatenate(j)
+            label = _labels(len(ids), i, j)
+            for root in np.unique(label[i]):
+                mine = label == root
+                mixed = words.mix(ids[mine].view(np.uint64))
                 cluster = words.combine(mixed.sum(keepdims=True), np.bitwise_xor.reduce(mixed, keepdims=True))
-                yield pa.record_batch(
-                    {"cluster": np.repeat(cluster.view(np.int64), len(own)), "id": own, "component": part[label == root]}
-                )
+                cluster = np.repeat(cluster.view(np.int64), mine.sum())
+                yield pa.record_batch({"cluster": cluster, "id": ids[mine], "component": component[mine]})
 
     rows = nodes.select("node", "id", "component", "n", "sketch").repartition("node").sortWithinPartitions("node")
     found = rows.mapInArrow(run, "cluster long, id long, component long")
@@ -264,9 +280,7 @@ def _confirmed(clusters: DataFrame, percent: int) -> DataFrame:
             rows = np.flatnonzero(part != np.bincount(part).argmax())
             both = _intersections(sets, rows)
             i, j = np.nonzero(100 * both >= percent * (np.add.outer(size[rows], size) - both))
-            linked = np.zeros((len(names), len(names)), bool)
-            linked[part[rows[i]], part[j]] = linked[part[j], part[rows[i]]] = True
-            label = _joined(linked)
+            label = _labels(len(names), part[rows[i]], part[j])
             rest = np.flatnonzero(label != np.arange(len(names)))
             if len(rest):
                 yield pa.record_batch({"a": names[rest], "b": names[label[rest]]})
@@ -275,16 +289,29 @@ def _confirmed(clusters: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _full_sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+def _with_sets(clusters: DataFrame, documents: DataFrame, width: int) -> DataFrame:
+    """``clusters`` with the full sets of their members, as ``values``.
+
+    A list of members counted to be short goes to the texts; otherwise texts and members meet by id.
+    """
+
     def run(batches):
         for batch in batches:
             for a, b, values, sizes in _sets(batch.column("text"), width):
-                yield pa.record_batch(
-                    {"id": batch.column("id").slice(a, b - a), "values": _ragged(values, sizes)}
+                own = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays(
+                    [own.column("id"), own.column("in"), _ragged(values, sizes)], ["id", "in", "values"]
                 )
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    return rows.mapInArrow(run, "id long, values binary")
+    member = F.struct("cluster", "component").alias("in")
+    members = landed(clusters.groupBy("id").agg(F.collect_list(member).alias("in")), "members")
+    small = members.agg(F.count("*"), F.sum(F.size("in"))).first()
+    if small[0] + (small[1] or 0) <= MEMBERS:
+        members = F.broadcast(members)
+    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text").join(members, "id")
+    kinds = "id long, in array<struct<cluster:bigint,component:bigint>>, values binary"
+    found = texts.mapInArrow(run, kinds.replace("in array", "`in` array"))
+    return found.select("values", F.explode("in").alias("m")).select("m.cluster", "m.component", "values")
 
 
 def near_duplicates(
@@ -323,17 +350,16 @@ def near_duplicates(
     brief = sets.select("id", "n", "mh").mapInArrow(short, "id long, n long, sketch binary")
     labels = None
     for part in (range(min(3, trees)), range(min(3, trees), trees)):
-        nodes = small_nodes(sets, part, depth, small).join(brief, "id")
         if labels is None:
-            nodes = nodes.withColumn("component", F.col("id"))
+            known = sets.withColumn("component", F.col("id"))
         else:
-            nodes = nodes.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+            known = sets.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        nodes = small_nodes(known, part, depth, small).join(brief, "id")
         clusters = landed(_alike_by_sketch(nodes, least, percent), "clusters")
-        full = _full_sets(documents, clusters.select("id").distinct(), width)
-        links = _confirmed(clusters.join(full, "id"), percent)
+        links = _confirmed(_with_sets(clusters, documents, width), percent)
         if labels is not None:
-            known = labels.filter("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
-            links = links.unionByName(known)
+            old = labels.filter("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+            links = links.unionByName(old)
         labels = components(links)
     classes = sets.select("n", "s1", "s2", F.col("id").alias("first_id")).join(
         labels.withColumnRenamed("id", "first_id"), "first_id", "left"
