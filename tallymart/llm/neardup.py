@@ -144,7 +144,9 @@ def _sized_nodes(members: DataFrame, small: int) -> DataFrame:
     """Members of nodes of more than one component, with ``size`` and whether the node is ``large``."""
     parts = members.groupBy("node", "component").agg(F.count("*").alias("n"))
     sizes = parts.groupBy("node").agg(F.sum("n").alias("size"), F.max("n").alias("most")).filter("size > most")
-    large = ((F.col("size") - F.col("most")) * F.col("size") > small * small) | (F.col("size") > 4 * small)
+    apart = F.col("size") - F.col("most")
+    pairs = apart * F.col("size") - F.floor(apart * (apart + 1) / 2)  # those outside, with one another and with all
+    large = (pairs > small * small) | (F.col("size") > 4 * small)
     return landed(members.join(sizes.select("node", "size", large.alias("large")), "node"), "nodes")
 
 
