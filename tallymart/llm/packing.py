@@ -15,6 +15,8 @@ about ``group_tokens`` tokens whatever the size of the corpus.
 
 from __future__ import annotations
 
+import os
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,61 +26,116 @@ from pyspark.sql import functions as F
 from tallymart.llm import words
 from tallymart.llm.grouped import groups
 
-_CACHE = 400_000
-_PART = 1 << 20
+#: Chunks whose ids a worker keeps; about 100 MB.
+_CACHE = 1_500_000
+_SLOTS = 1 << 22
+_PART = 1 << 22
 
 
 class WordTokenizer:
     """Ids of whole texts by a tokenizer that never joins across white space.
 
     Every distinct chunk between ASCII white space is encoded once by the tokenizer and kept under
-    its hash, until ``_CACHE`` chunks are held.
+    its hash, in an open-addressed table, until ``_CACHE`` chunks are held.  New chunks go to the
+    tokenizer as one text, parted by one of its special tokens.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        special = [(k, t.content) for k, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized]
+        self.mark = max(special, default=None)
         self._forget()
 
     def _forget(self) -> None:
-        self.known = np.zeros(0, np.uint64)
-        self.first = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.keys = np.zeros(_SLOTS, np.uint64)
+        self.places = np.full(_SLOTS, -1, np.int32)
+        self.first, self.size = np.zeros((2, _CACHE), np.int64)
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.held = self.used = 0
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of each chunk among those held, or -1."""
+        at = (hashes >> np.uint64(42)).astype(np.int64)
+        place = self.places[at]
+        other = np.flatnonzero((place >= 0) & (self.keys[at] != hashes))
+        while len(other):
+            at[other] = (at[other] + 1) & (_SLOTS - 1)
+            place[other] = self.places[at[other]]
+            other = other[(place[other] >= 0) & (self.keys[at[other]] != hashes[other])]
+        return place
+
+    def _encoded(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after another, number of each chunk's)."""
+        texts = [c.decode() for c in chunks]
+        if self.mark is None or any("<" in t for t in texts):  # may hold a special token of its own
+            found = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            sizes = np.array([len(f) for f in found], np.int64)
+            return np.concatenate([np.zeros(0, np.uint32), *[np.array(f, np.uint32) for f in found]]), sizes
+        whole = self.tokenizer.encode_batch_fast([self.mark[1].join(texts)], add_special_tokens=False)[0]
+        ids = np.array(whole.ids, np.uint32)
+        marks = np.flatnonzero(ids == self.mark[0])
+        sizes = np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1
+        return np.delete(ids, marks), sizes
 
     def _learn(self, hashes: np.ndarray, chunks: list[bytes]) -> None:
-        if len(self.known) + len(hashes) > _CACHE:
-            self._forget()
-        found = [e.ids for e in self.tokenizer.encode_batch([c.decode() for c in chunks], add_special_tokens=False)]
-        sizes = np.array([len(f) for f in found], np.int64)
-        order = np.argsort(np.concatenate([self.known, hashes]), kind="stable")
-        known = np.concatenate([self.known, hashes])[order]
-        old = np.diff(self.first)
-        sizes = np.concatenate([old, sizes])
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        ids = np.concatenate([self.ids, *[np.array(f, np.uint32) for f in found]])
-        self.known, self.first = known, np.concatenate([[0], np.cumsum(sizes[order])])
-        self.ids = ids[_spread(starts[order], sizes[order])]
+        plain = [k for k, c in enumerate(chunks) if b"<" not in c]
+        odd = [k for k, c in enumerate(chunks) if b"<" in c]
+        for part in (plain, odd):
+            if not part:
+                continue
+            ids, sizes = self._encoded([chunks[k] for k in part])
+            own = np.arange(len(part)) + self.held
+            while self.used + len(ids) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            self.ids[self.used : self.used + len(ids)] = ids
+            self.first[own] = self.used + np.cumsum(sizes) - sizes
+            self.size[own] = sizes
+            self.held += len(part)
+            self.used += len(ids)
+            key = hashes[part]
+            at = (key >> np.uint64(42)).astype(np.int64)
+            while len(own):
+                free = self.places[at] < 0
+                self.places[at[free]], self.keys[at[free]] = own[free], key[free]
+                lost = self.places[at] != own
+                own, key, at = own[lost], key[lost], (at[lost] + 1) & (_SLOTS - 1)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, one after another; number of each text's)."""
         hashes, first, end, counts = words.word_hashes(data, offsets, words.NOT_SPACE, lower=False)
-        every, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        place = np.searchsorted(self.known, every)
-        place[place == len(self.known)] = 0
-        new = np.flatnonzero(self.known[place] != every) if len(self.known) else np.arange(len(every))
-        if len(self.known) + len(new) > _CACHE:
-            self._forget()
-            new = np.arange(len(every))
-        if len(new):
+        place = self._find(hashes)
+        missing = np.flatnonzero(place < 0)
+        if len(missing):
+            new, at = np.unique(hashes[missing], return_index=True)
+            if self.held + len(new) > _CACHE:
+                self._forget()
+                missing = np.arange(len(hashes))
+                new, at = np.unique(hashes, return_index=True)
+                if len(new) > _CACHE:  # one text of very many distinct chunks
+                    return self._encoded_whole(data, offsets)
+            at = missing[at]
             raw = data.tobytes()
-            self._learn(every[new], [raw[first[k] : end[k]] for k in at[new].tolist()])
-        place = np.searchsorted(self.known, every)[inverse]
-        sizes = np.diff(self.first)[place]
+            self._learn(new, [raw[a:b] for a, b in zip(first[at].tolist(), end[at].tolist())])
+            place[missing] = self._find(hashes[missing])
+        sizes = self.size[place]
         ids = self.ids[_spread(self.first[place], sizes)]
         doc = np.repeat(np.arange(len(counts)), counts)
         return ids, np.bincount(doc, sizes, minlength=len(counts)).astype(np.int64)
 
+    def _encoded_whole(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = data.tobytes()
+        found = [self.tokenizer.encode(raw[a:b].decode(), add_special_tokens=False).ids for a, b in zip(offsets, offsets[1:])]
+        return np.concatenate([np.array(f, np.uint32) for f in found]), np.array([len(f) for f in found], np.int64)
+
+
+@lru_cache(1)
+def _tokenizer(path: str) -> WordTokenizer:
+    """One for all tasks of a worker, so that what it has learnt serves them all."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    return WordTokenizer(path)
+
 
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Indices start, start + 1, ... of every run."""
@@ -95,7 +152,9 @@ def pieces(documents: DataFrame, tokenizer_path: str, capacity: int = 4096, end_
     """
 
     def run(batches):
-        tokenizer = WordTokenizer(tokenizer_path)
+        from tallymart.llm import packing
+
+        tokenizer = packing._tokenizer(tokenizer_path)  # that of the worker's own module
         for batch in batches:
             data, offsets = words.column_bytes(batch.column("text"))
             a, n = 0, len(offsets) - 1
