@@ -355,7 +355,8 @@ def near_duplicates(
         if labels is None:
             known = sets.withColumn("component", F.col("id"))
         else:
-            known = sets.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+            joined = sets.select("id", "mh").join(labels, "id", "left")
+            known = landed(joined.withColumn("component", F.coalesce("component", "id")), "known")
         nodes = small_nodes(known, part, depth, small).join(brief, "id")
         clusters = landed(_alike_by_sketch(nodes, least, percent), "clusters")
         links = _confirmed(_with_sets(clusters, documents, width), percent)
