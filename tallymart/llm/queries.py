@@ -3,23 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.llm import decontaminate, fingerprints, htmldiff, langid, neardup, oracle, packing, pii, sharding, toxicity, warc
-from tallymart.llm.storage import landed, shared_folder
-
-
-_ROOT = str(Path(__file__).resolve().parents[2])
+from tallymart.llm.storage import landed, prepared, shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The named table.  Python workers of a local session find this package where it lies."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def held_out() -> Column:

@@ -3,9 +3,25 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_ROOT = str(Path(__file__).resolve().parents[2])
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session, set up for texts.
+
+    Batches of rows for Python workers become smaller than Spark's usual 10,000, since a row is a whole
+    text; a number the user has set stays.  Workers of a local session find this package where it lies.
+    """
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, "1000")
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+    return spark
+
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``; below the warehouse where that is unset."""
