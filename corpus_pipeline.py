@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallymart.llm import decontaminate, langid, neardup, pii
 from tallymart.llm.queries import packed, table
-from tallymart.llm.storage import landed
+from tallymart.llm.storage import landed, prepared
 
 #: Bits by which the best language's code must exceed plain bytes of 8 bits to speak against every language.
 EXCESS_BITS = 200.0
@@ -23,6 +23,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rejected are texts without a letter, and those whose code in every language is ``EXCESS_BITS`` longer than
     their plain bytes.
     """
+    prepared(spark)
     found = langid.identify(docs, langid.train(docs))
     excess = (F.col("bits_per_byte") - 8) * F.octet_length("text")
     kept = found.filter((F.col("lang_pred") != langid.UNKNOWN) & (excess < EXCESS_BITS))
