@@ -26,9 +26,10 @@ from pyspark.sql import functions as F
 from tallymart.llm import words
 from tallymart.llm.grouped import groups
 
-#: Chunks whose ids a worker keeps; about 100 MB.
-_CACHE = 1_500_000
-_SLOTS = 1 << 22
+#: Chunks whose ids a worker keeps between tasks; about 45 MB.
+_CACHE = 700_000
+_SLOT_BITS = 21
+_SLOTS = 1 << _SLOT_BITS
 _PART = 1 << 22
 
 
@@ -36,8 +37,8 @@ class WordTokenizer:
     """Ids of whole texts by a tokenizer that never joins across white space.
 
     Every distinct chunk between ASCII white space is encoded once by the tokenizer and kept under
-    its hash, in an open-addressed table, until ``_CACHE`` chunks are held.  New chunks go to the
-    tokenizer as one text, parted by one of its special tokens.
+    its hash, in an open-addressed table of ``_CACHE`` chunks; what does not fit is encoded again each
+    time.  New chunks go to the tokenizer as one text, parted by one of its special tokens.
     """
 
     def __init__(self, path: str) -> None:
@@ -46,18 +47,15 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         special = [(k, t.content) for k, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized]
         self.mark = max(special, default=None)
-        self._forget()
-
-    def _forget(self) -> None:
         self.keys = np.zeros(_SLOTS, np.uint64)
         self.places = np.full(_SLOTS, -1, np.int32)
-        self.first, self.size = np.zeros((2, _CACHE), np.int64)
+        self.first, self.size = np.zeros((2, _CACHE), np.int32)
         self.ids = np.zeros(1 << 16, np.uint32)
         self.held = self.used = 0
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
         """Number of each chunk among those held, or -1."""
-        at = (hashes >> np.uint64(42)).astype(np.int64)
+        at = (hashes >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
         place = self.places[at]
         other = np.flatnonzero((place >= 0) & (self.keys[at] != hashes))
         while len(other):
@@ -79,56 +77,56 @@ class WordTokenizer:
         sizes = np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1
         return np.delete(ids, marks), sizes
 
-    def _learn(self, hashes: np.ndarray, chunks: list[bytes]) -> None:
-        plain = [k for k, c in enumerate(chunks) if b"<" not in c]
-        odd = [k for k, c in enumerate(chunks) if b"<" in c]
-        for part in (plain, odd):
-            if not part:
-                continue
-            ids, sizes = self._encoded([chunks[k] for k in part])
-            own = np.arange(len(part)) + self.held
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.first[own] = self.used + np.cumsum(sizes) - sizes
-            self.size[own] = sizes
-            self.held += len(part)
-            self.used += len(ids)
-            key = hashes[part]
-            at = (key >> np.uint64(42)).astype(np.int64)
-            while len(own):
-                free = self.places[at] < 0
-                self.places[at[free]], self.keys[at[free]] = own[free], key[free]
-                lost = self.places[at] != own
-                own, key, at = own[lost], key[lost], (at[lost] + 1) & (_SLOTS - 1)
+    def _new(self, hashes: np.ndarray, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hashes in another order, ids one after another, number of each chunk's)."""
+        odd = np.array([b"<" in c for c in chunks], bool)
+        order = np.argsort(odd, kind="stable")
+        cut = len(chunks) - int(odd.sum())
+        parts = [self._encoded([chunks[k] for k in own]) for own in (order[:cut], order[cut:]) if len(own)]
+        return hashes[order], np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    def _keep(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        own = np.arange(len(hashes)) + self.held
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.first[own] = self.used + np.cumsum(sizes) - sizes
+        self.size[own] = sizes
+        self.held += len(hashes)
+        self.used += len(ids)
+        at = (hashes >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+        while len(own):
+            free = self.places[at] < 0
+            self.places[at[free]], self.keys[at[free]] = own[free], hashes[free]
+            lost = self.places[at] != own
+            own, hashes, at = own[lost], hashes[lost], (at[lost] + 1) & (_SLOTS - 1)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, one after another; number of each text's)."""
         hashes, first, end, counts = words.word_hashes(data, offsets, words.NOT_SPACE, lower=False)
         place = self._find(hashes)
+        first_of, size_of, known = self.first, self.size, self.ids
         missing = np.flatnonzero(place < 0)
         if len(missing):
             new, at = np.unique(hashes[missing], return_index=True)
-            if self.held + len(new) > _CACHE:
-                self._forget()
-                missing = np.arange(len(hashes))
-                new, at = np.unique(hashes, return_index=True)
-                if len(new) > _CACHE:  # one text of very many distinct chunks
-                    return self._encoded_whole(data, offsets)
-            at = missing[at]
-            raw = data.tobytes()
-            self._learn(new, [raw[a:b] for a, b in zip(first[at].tolist(), end[at].tolist())])
-            place[missing] = self._find(hashes[missing])
-        sizes = self.size[place]
-        ids = self.ids[_spread(self.first[place], sizes)]
+            at, raw = missing[at], data.tobytes()
+            chunks = [raw[a:b] for a, b in zip(first[at].tolist(), end[at].tolist())]
+            new, ids, sizes = self._new(new, chunks)
+            if self.held + len(new) <= _CACHE:
+                self._keep(new, ids, sizes)
+                place[missing] = self._find(hashes[missing])
+                first_of, size_of, known = self.first, self.size, self.ids
+            else:  # the table is full of chunks seen earlier, mostly frequent ones; these serve this once
+                order = np.argsort(new)
+                place[missing] = self.held + order[np.searchsorted(new[order], hashes[missing])]
+                first_of = np.concatenate([self.first[: self.held], self.used + np.cumsum(sizes) - sizes])
+                size_of = np.concatenate([self.size[: self.held], sizes])
+                known = np.concatenate([self.ids[: self.used], ids])
+        sizes = size_of[place].astype(np.int64)
+        ids = known[_spread(first_of[place].astype(np.int64), sizes)]
         doc = np.repeat(np.arange(len(counts)), counts)
         return ids, np.bincount(doc, sizes, minlength=len(counts)).astype(np.int64)
 
-    def _encoded_whole(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        raw = data.tobytes()
-        found = [self.tokenizer.encode(raw[a:b].decode(), add_special_tokens=False).ids for a, b in zip(offsets, offsets[1:])]
-        return np.concatenate([np.array(f, np.uint32) for f in found]), np.array([len(f) for f in found], np.int64)
-
 
 @lru_cache(1)
 def _tokenizer(path: str) -> WordTokenizer:

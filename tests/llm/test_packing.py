@@ -27,7 +27,7 @@ def test_pieces_are_those_of_the_tokenizer(spark):
         assert sorted(got[k]) == want
 
 
-def test_cache_is_forgotten_and_learnt_again(monkeypatch):
+def test_chunks_beyond_the_table(monkeypatch):
     monkeypatch.setattr(packing, "_CACHE", 3)
     tokenizer, plain = packing.WordTokenizer(PATH), Tokenizer.from_file(PATH)
     for text in ("one two", "three four five", "one six seven eight nine", "", "two", "a<b <|endoftext|>", "b"):
