@@ -7,8 +7,8 @@ character of the result the span of the source it stands for:
     digits        spelled digits in a row become digits
     at and dot    ``(at)``, ``[dot]``, `` at `` ... `` dot `` become ``@`` and ``.``
 
-Identifiers found in the rewritten text are mapped back.  One that touches a plain one of its kind
-is left out, so plain spans stay as they are.
+Identifiers found in the rewritten text are mapped back and added beside the plain ones, which stay
+as they are; one that lies within a plain one of its kind tells nothing new and is left out.
 """
 
 from __future__ import annotations
@@ -183,7 +183,7 @@ def find(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     base = list(plain(text or ""))
     spans = set(base)
     for span in disguised(text or ""):
-        if not any(span[0] == k and span[1] < b and a < span[2] for k, a, b in base):
+        if not any(span[0] == k and a <= span[1] and span[2] <= b for k, a, b in base):
             spans.add(span)
     return base, sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 

@@ -63,6 +63,31 @@ def test_disguises_map_back_to_the_source(text, kind, found):
     assert [(k, text[a:b]) for k, a, b in spans] == [(kind, found)]
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "plain", "whole"),
+    [
+        ("to jоhn@example.com now", "email", "hn@example.com", "jоhn@example.com"),  # only the local part is disguised
+        ("to john [dot] smith@example.com now", "email", "smith@example.com", "john [dot] smith@example.com"),
+        ("to john@mail.exаmple.com now", "email", "john@mail.ex", "john@mail.exаmple.com"),
+        ("at 1２3.4.5.6 now", "ip", "3.4.5.6", "1２3.4.5.6"),
+        ("call +49 30 1234567 eight nine now", "phone", "+49 30 1234567", "+49 30 1234567 eight nine"),
+        ("at 1.２.3.4.5.6 now", "ip", "3.4.5.6", "1.２.3.4"),
+    ],
+)
+def test_disguises_with_a_plain_part_are_found_whole(text, kind, plain, whole):
+    base, spans = pii.find(text)
+    assert base == brute(text)
+    assert [(k, text[a:b]) for k, a, b in base] == [(kind, plain)]
+    assert sorted((k, text[a:b]) for k, a, b in spans) == sorted([(kind, plain), (kind, whole)])
+    first, last = text.split()[0], text.split()[-1]
+    assert pii.hidden(text) == f"{first} [{kind.upper()}] {last}"
+
+
+def test_plain_spans_beside_a_disguise_come_once():
+    text = "mail a@b.co- or call +49 30 1234567, аnd 10.0.0.1"
+    assert pii.find(text) == (brute(text), brute(text))
+
+
 @pytest.mark.parametrize(
     "text", ["look at it", "meet at noon.Then go", "one two three four", "the dot is at the end", "naïve façade, at any rate.", "Привет мир"]
 )
