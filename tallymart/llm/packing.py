@@ -9,8 +9,9 @@ open sequence, among those in which all three fit, with the best score:
 
 Resources are shares of the capacity.  Without room anywhere, a new sequence is opened.
 
-Pieces are dealt to groups by a hash of their id; groups are packed apart, each in one task, and hold
-about ``group_tokens`` tokens whatever the size of the corpus.
+Pieces are dealt to groups by a hash of their id, checksum and place in the table; groups are packed
+apart, each in one task, and hold about ``group_tokens`` tokens whatever the size of the corpus and
+however often an id occurs.
 """
 
 from __future__ import annotations
@@ -237,14 +238,16 @@ def pack(
     """``rows`` with ``sequence_id`` and ``offset``: pieces with a ``length`` packed into sequences.
 
     A sequence holds at most ``capacity`` tokens, ``max_documents`` pieces and ``max_attention``
-    squared tokens.  Rows need ``doc_id``, ``piece`` and ``length``, and should be a written table, as
+    squared tokens; by default the last two never bind, as pieces have a token at least.  Rows need ``doc_id``, ``piece`` and ``length``, and should be a written table, as
     they are read twice; other columns pass through.  Repeated rows are packed each for itself; ties
     of length go by ``doc_id``, ``piece`` and arrival.  Sequence ids are unique, not consecutive.
     """
     total = rows.agg(F.sum("length")).first()[0] or 0
     count = max(1, -(-int(total) // group_tokens))
     taken = [c for c in rows.columns if c not in ("sequence_id", "offset")]
-    group = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(count))
+    # The row's place in the table parts rows that are alike in all else.
+    known = [c for c in ("doc_id", "piece", "ids_crc32") if c in rows.columns]
+    group = F.pmod(F.xxhash64(*known, F.monotonically_increasing_id()), F.lit(count))
 
     def run(batches):
         for table in groups(batches, "__group"):

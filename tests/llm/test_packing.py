@@ -75,6 +75,16 @@ def test_groups_and_odd_rows(spark):
     assert packing.pack(table.filter("false")).collect() == []
 
 
+def test_rows_of_one_id_are_dealt_to_all_groups(spark):
+    rows = [(None, 0, 10, 7)] * 600 + [(1, 0, 10, k) for k in range(600)]
+    table = spark.createDataFrame(rows, "doc_id long, piece int, length long, ids_crc32 long")
+    got = packing.pack(table, capacity=100, group_tokens=1500).collect()
+    assert len(got) == len(rows)
+    for doc_id in (None, 1):
+        groups = [r.sequence_id >> 32 for r in got if r.doc_id == doc_id]
+        assert len(set(groups)) == 8 and max(map(groups.count, groups)) < 200
+
+
 def test_checksum(spark):
     rows = packing.pieces(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), PATH)
     ids = rows.first().ids
