@@ -76,9 +76,77 @@ from payloads
 """
 
 
+def _field(value: str) -> str:
+    text = f"cast({value} as varchar)"
+    return f"coalesce(cast(strlen({text}) as varchar) || ':' || {text}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree(name: str, levels: int) -> str:
+    """Tables of a tree over ``<name>0(g, i, c, d)``: its levels, and every node's siblings left and right."""
+    parts = []
+    for k in range(levels):
+        run = "over (partition by g, i // 16 order by i rows between"
+        parts.append(f"""
+{name}_near{k} as (
+  select g, i, c > 1 as several, coalesce(string_agg(d, '') {run} unbounded preceding and 1 preceding), '') as l,
+         coalesce(string_agg(d, '') {run} 1 following and unbounded following), '') as r from {name}{k}),
+{name}{k + 1} as (
+  select g, i // 16 as i, (any_value(c) + 15) // 16 as c,
+         case when any_value(c) > 1 then sha256(string_agg(d, '' order by i)) else any_value(d) end as d
+  from {name}{k} group by g, i // 16)""")
+    return ",".join(parts)
+
+
+def _climbed(rows: str, name: str, levels: int, tree: str, number: str) -> tuple[str, str]:
+    """Tables that carry ``own`` and ``proof`` of ``rows`` up a tree, and the name of the last one."""
+    parts = []
+    for k in range(levels):
+        parts.append(f"""
+{rows}_{name}{k} as (
+  select a.* replace (case when n.several then sha256(n.l || own || n.r) else own end as own, proof || n.l || n.r as proof)
+  from {rows if k == 0 else f"{rows}_{name}{k - 1}"} a
+       join {name}_near{k} n on n.g = {tree} and n.i = {number} // {16**k})""")
+    return ",".join(parts), f"{rows}_{name}{levels - 1}"
+
+
+def _merkle(levels: int = 6, top_levels: int = 4) -> str:
+    """For sources of at most 16^levels documents, and 16^top_levels sources."""
+    lower = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    digits = "list_transform(string_split(cast(doc_id as varchar), ''), lambda c: ascii(c))"
+    shift = "case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end"  # the CRC-32 polynomial, reversed
+    in_source, climbed = _climbed("docs", "node", levels, "a.g", "a.i")
+    to_root, done = _climbed(climbed, "top", top_levels, "0", "a.g")
+    return f"""
+with bytes_(t) as (
+  select list(c order by k) from (
+    select k, list_reduce([cast(k as bigint)] || [0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: {shift}) as c from range(256) b(k))),
+read_ as (
+  select doc_id, source, {_leaf("text")} as leaf, {_leaf(lower)} as lowered,
+         xor(list_reduce([cast(4294967295 as bigint)] || {digits},
+             lambda a, b: xor(a // 256, t[cast(xor(a % 256, b) as int) + 1])), 4294967295) % 5 = 0 as chosen
+  from documents, bytes_),
+docs as (
+  select doc_id, leaf, case when chosen then lowered else leaf end as own, '' as proof,
+         dense_rank() over (order by source nulls first) - 1 as g,
+         row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as i,
+         count(*) over (partition by source) as c from read_),
+node0 as (select g, i, c, leaf as d from docs),{_tree("node", levels)},
+top0 as (select 0 as g, g as i, count(*) over () as c, d from node{levels}),{_tree("top", top_levels)},
+{in_source.lstrip()},{to_root}
+select a.doc_id, a.leaf, s.d as subroot, r.d as root, sha256(a.proof) as proof_sha256, a.own as folded_root,
+       a.own = r.d as verified
+from {done} a join node{levels} s on s.g = a.g, top{top_levels} r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_minhash_near_dedup": NEAR_DUPLICATES,
         "op6_benchmark_decontamination": CONTAMINATION,
         "op7_warc": WARC,
+        "op13_merkle_manifest": _merkle(),
     }
