@@ -143,10 +143,52 @@ from {done} a join node{levels} s on s.g = a.g, top{top_levels} r
 """
 
 
+def _codes(rounds: int = 2, parts: int = 16, entries: int = 64) -> str:
+    """Parts as lists; every round's assignments and codebooks in full."""
+    apart = "list_sum(list_transform(list_zip(p.v, e.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+near{k} as (
+  select r, part, min(row(far, entry)) as best
+  from (select p.r, p.part, e.entry, cast({apart} as bigint) as far from parts p join book{k} e on e.part = p.part)
+  group by r, part)""")
+        if k < rounds:
+            steps.append(f"""
+means{k} as (
+  select part, entry, list(cast(floor(total / n) as bigint) order by j) as v
+  from (select n.part, n.best[2] as entry, u.j, sum(p.v[u.j]) as total, count(*) as n
+        from near{k} n join parts p on p.r = n.r and p.part = n.part, (select unnest(range(1, width + 1)) as j from shape) u
+        group by all)
+  group by part, entry),
+book{k + 1} as (
+  select b.part, b.entry, coalesce(m.v, b.v) as v from book{k} b left join means{k} m on m.part = b.part and m.entry = b.entry)""")
+    return f"""
+with whole as (
+  select vec_id, label, list_transform(embedding, lambda x: cast(floor(cast(x as double) * 256) as bigint)) as v
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+rows_ as (select *, row_number() over (order by vec_id nulls last, v) as r from whole),
+shape as (select len(v) // {parts} as width from rows_ where r = 1),
+parts as (
+  select r, part, v[part * width + 1:(part + 1) * width] as v
+  from rows_, shape, (select unnest(range({parts})) as part) where len(v) = {parts} * width),
+book0 as (select part, r - 1 as entry, v from parts where r <= {entries}),{",".join(steps)},
+coded as (
+  select r, string_agg(lpad(lower(to_hex(best[2])), 2, '0'), '' order by part) as code, cast(sum(best[1]) as bigint) as error
+  from near{rounds} group by r),
+digest as (
+  select sha256(string_agg(array_to_string(v, ','), ',' order by part, entry)) as codebooks_sha256 from book{rounds})
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from rows_ join coded using (r), digest
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_minhash_near_dedup": NEAR_DUPLICATES,
         "op6_benchmark_decontamination": CONTAMINATION,
         "op7_warc": WARC,
+        "op12_vector_code_compression": _codes(),
         "op13_merkle_manifest": _merkle(),
     }

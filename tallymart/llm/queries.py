@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import decontaminate, fingerprints, htmldiff, langid, merkle, neardup, oracle, packing, pii, sharding, toxicity, warc
+from tallymart.llm import codes, decontaminate, fingerprints, htmldiff, langid, merkle, neardup, oracle, packing, pii, sharding, toxicity, warc
 from tallymart.llm.storage import landed, prepared, shared_folder
 
 
@@ -77,6 +77,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmldiff.main_text(table(spark, sf_dir, "pages"))
 
 
+def op12_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
