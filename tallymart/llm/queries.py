@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import codes, decontaminate, fingerprints, htmldiff, langid, merkle, neardup, oracle, packing, pii, sharding, toxicity, warc
+from tallymart.llm import codes, decontaminate, factors, fingerprints, htmldiff, langid, merkle, neardup, oracle, packing, pii, sharding, toxicity, warc
 from tallymart.llm.storage import landed, prepared, shared_folder
 
 
@@ -77,6 +77,14 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmldiff.main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    labels = table(spark, sf_dir, "labels").filter(~held).select("doc_id", "quality")
+    found = factors.score(documents, factors.train(documents, labels))
+    return found.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def op12_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(table(spark, sf_dir, "embeddings"))
 

@@ -1,0 +1,136 @@
+"""The factorisation machine against the sum over pairs, differences as slopes, and rows held out."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+
+from tallymart.llm import factors
+
+
+def texts(n, seed):
+    """(id, text, label): label 0 for stuttering, shouting, columns and garbled marks."""
+    rng = random.Random(seed)
+    out = []
+    for k in range(n):
+        own = [f"{rng.choice('abcdefgh')}{rng.randrange(400)}o" for _ in range(rng.randrange(8, 60))]
+        label = int(rng.random() > 0.3)
+        if not label:
+            kind = rng.randrange(4)
+            if kind == 0:
+                own = [w for w in own[:6] for _ in range(9)]
+            elif kind == 1:
+                own = [w.upper() + "!!" for w in own]
+            else:
+                own = [w + " |" if kind == 2 else w + rng.choice(["%%%", "&&&"]) for w in own]
+        out.append((k, " ".join(own), label))
+    return out
+
+
+def frames(spark, rows, **declared):
+    documents = spark.createDataFrame([(i, t, len(t or ""), 7.0) for i, t, _ in rows], "doc_id long, text string, n_chars long, score double")
+    return documents, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+
+
+def features(rows, declared):
+    ((a, b, row, ids, values),) = factors._features(pa.array(rows, pa.string()), pa.array(declared, pa.int64()))
+    assert (a, b) == (0, len(rows)) and (np.diff(row) >= 0).all()
+    return row, ids, values
+
+
+def test_scores_equal_the_sum_over_pairs():
+    rng = np.random.default_rng(3)
+    machine = factors.Machine(rng.normal(size=factors.SIZE), rng.normal(size=(factors.SIZE, factors.RANK)), 0.3)
+    row, ids, values = features(["Some words, some more.", "", None, "x | y | z"], [22, 0, None, 5])
+    score, _ = machine.score(row, ids, values, 4)
+    for k in range(4):
+        own = [(int(i), x) for r, i, x in zip(row, ids, values) if r == k]
+        want = machine.bias + sum(machine.w[i] * x for i, x in own)
+        want += sum(machine.v[i] @ machine.v[j] * x * y for p, (i, x) in enumerate(own) for j, y in own[p + 1 :])
+        assert np.isclose(score[k], want)
+
+
+def test_a_step_goes_down_the_slope_of_the_loss():
+    row, ids, values = features(["one two three"], [13])
+    rng = np.random.default_rng(1)
+    examples = [(1, ids, values), (0, ids[:4], values[:4])]
+    fresh = factors.Machine.fresh()
+    after = factors.fitted(examples, epochs=1, batch=2, decay=0.0)
+
+    def loss(machine):
+        total = 0
+        for label, i, x in examples:
+            p = factors.probability(machine.score(np.zeros(len(i), int), i, x, 1)[0])[0]
+            total -= np.log(p if label else 1 - p) / 2
+        return total
+
+    used = np.unique(ids)
+    for i in rng.choice(used, 8, replace=False):
+        for f in range(factors.RANK):
+            ahead = factors.Machine(fresh.w.copy(), fresh.v.copy())
+            ahead.v[i, f] += 1e-6
+            slope = (loss(ahead) - loss(fresh)) / 1e-6
+            step = after.v[i, f] - fresh.v[i, f]
+            assert abs(slope) < 1e-6 or np.sign(step) == -np.sign(slope)
+    untouched = np.setdiff1d(np.arange(factors.SIZE), used)
+    assert (after.v[untouched] == fresh.v[untouched]).all() and loss(after) < loss(fresh)
+
+
+def test_statistics_by_hand():
+    text = "Go go GO | a1 a1 x%%%\nend."
+    data = np.frombuffer(text.encode(), np.uint8)
+    got = dict(zip(factors.STATISTICS, factors.statistics(data, np.array([0, len(data)]))[0]))
+    want = {
+        "words": np.log2(8) / 20, "mean word": (2 + 2 + 2 + 1 + 2 + 2 + 4 + 4) / 8 / 32, "repeated neighbours": 1 / 8, "distinct words": 7 / 8,
+        "capitals": 3 / 14, "digits": 2 / 14, "marks within words": 1 / 8, "lone marks": 1 / 8, "line words": np.log2(8 / 2 + 1) / 12,
+        "bytes beyond ASCII": 0.0, "other marks": 2 / 8,
+    }
+    assert got.keys() == want.keys() and all(np.isclose(got[k], want[k]) for k in want), (got, want)
+
+
+def test_texts_in_parts_have_the_features_of_whole_columns(monkeypatch):
+    rows = [t for _, t, _ in texts(40, 5)] + ["", None, "é" * 5000, "word " * 3000]
+    row, ids, values = features(rows, [1] * len(rows))
+    monkeypatch.setattr(factors, "_PART", 300)
+    parts = list(factors._features(pa.array(rows), pa.array([1] * len(rows))))
+    assert len(parts) > 5 and [p[0] for p in parts] == [0, *[p[1] for p in parts[:-1]]]
+    assert (np.concatenate([p[2] + p[0] for p in parts]) == row).all()
+    assert (np.concatenate([p[3] for p in parts]) == ids).all() and np.allclose(np.concatenate([p[4] for p in parts]), values)
+
+
+def test_rows_held_out_are_told_apart(spark):
+    rows = texts(1200, 4)
+    documents, labels = frames(spark, rows)
+    machine = factors.train(documents, labels.filter("doc_id < 800").unionByName(spark.createDataFrame([(1, None), (None, 1)], labels.schema)))
+    got = {r.doc_id: r for r in factors.score(documents, machine).collect()}
+    assert len(got) == 1200 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in got.values())
+    assert np.mean([got[i].predicted == y for i, _, y in rows if i >= 800]) > 0.97
+
+
+def test_odd_rows_and_labels(spark):
+    odd = [(1, None), (2, ""), (3, "?!"), (4, "word " * 200_000), (1, None), (None, "x"), (5, "\n\n"), (6, "Ünï " * 9)]
+    documents = spark.createDataFrame(odd, "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert [r.score for r in factors.score(documents, factors.train(documents, none)).collect()] == [0.5] * 8
+    one = spark.createDataFrame([(4, 1), (6, 1)], "doc_id long, quality int")
+    assert all(r.predicted == 1 for r in factors.score(documents, factors.train(documents, one)).collect())
+    both = spark.createDataFrame([(4, 0), (6, 1), (6, 0)], "doc_id long, quality int")
+    got = {r.text: r.score for r in factors.score(documents, factors.train(documents, both)).collect()}
+    assert got["word " * 200_000] < 0.5 < got["Ünï " * 9]
+    assert factors.score(documents.filter("false"), factors.train(documents.filter("false"), both)).collect() == []
+
+
+def test_equal_texts_have_equal_scores_and_rows_of_one_id_count_once(spark):
+    rows = texts(200, 8)
+    documents, labels = frames(spark, rows)
+    repeated = documents.unionByName(documents.filter("doc_id = 3").crossJoin(spark.range(500)).drop("id"))
+    first, second = (factors.train(d, labels, epochs=2) for d in (documents, repeated))
+    assert (first.w == second.w).all() and (first.v == second.v).all()
+    assert len({r.score for r in factors.score(repeated.filter("doc_id = 3"), first).collect()}) == 1
+
+
+def test_the_sample_is_bounded_by_rows(spark):
+    documents, labels = frames(spark, texts(300, 9))
+    few = factors.train(documents, labels, max_rows=40, epochs=1)
+    all_ = factors.train(documents, labels, epochs=1)
+    assert 0 < np.count_nonzero(few.w) < np.count_nonzero(all_.w)
