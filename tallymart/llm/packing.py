@@ -26,12 +26,15 @@ from pyspark.sql import functions as F
 
 from tallymart.llm import words
 from tallymart.llm.grouped import groups
+from tallymart.llm.storage import trimmed
 
 #: Chunks whose ids a worker keeps between tasks; about 45 MB.
 _CACHE = 700_000
 _SLOT_BITS = 21
 _SLOTS = 1 << _SLOT_BITS
-_PART = 1 << 22
+_PART = 1 << 21
+#: New chunks that go to the tokenizer as one text; what it returns takes some 100 bytes a token.
+_ONCE = 20_000
 
 
 class WordTokenizer:
@@ -39,7 +42,7 @@ class WordTokenizer:
 
     Every distinct chunk between ASCII white space is encoded once by the tokenizer and kept under
     its hash, in an open-addressed table of ``_CACHE`` chunks; what does not fit is encoded again each
-    time.  New chunks go to the tokenizer as one text, parted by one of its special tokens.
+    time.  New chunks go to the tokenizer in long texts, parted by one of its special tokens.
     """
 
     def __init__(self, path: str) -> None:
@@ -83,7 +86,8 @@ class WordTokenizer:
         odd = np.array([b"<" in c for c in chunks], bool)
         order = np.argsort(odd, kind="stable")
         cut = len(chunks) - int(odd.sum())
-        parts = [self._encoded([chunks[k] for k in own]) for own in (order[:cut], order[cut:]) if len(own)]
+        steps = [own[a : a + _ONCE] for own in (order[:cut], order[cut:]) for a in range(0, len(own), _ONCE)]
+        parts = [self._encoded([chunks[k] for k in own]) for own in steps]
         return hashes[order], np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
     def _keep(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
@@ -106,25 +110,28 @@ class WordTokenizer:
         """(ids of all texts, one after another; number of each text's)."""
         hashes, first, end, counts = words.word_hashes(data, offsets, words.NOT_SPACE, lower=False)
         place = self._find(hashes)
-        first_of, size_of, known = self.first, self.size, self.ids
         missing = np.flatnonzero(place < 0)
         if len(missing):
             new, at = np.unique(hashes[missing], return_index=True)
-            at, raw = missing[at], data.tobytes()
-            chunks = [raw[a:b] for a, b in zip(first[at].tolist(), end[at].tolist())]
-            new, ids, sizes = self._new(new, chunks)
+            at = missing[at]
+            chunks = [data[a:b].tobytes() for a, b in zip(first[at].tolist(), end[at].tolist())]
+            new, own, own_sizes = self._new(new, chunks)
             if self.held + len(new) <= _CACHE:
-                self._keep(new, ids, sizes)
+                self._keep(new, own, own_sizes)
                 place[missing] = self._find(hashes[missing])
-                first_of, size_of, known = self.first, self.size, self.ids
-            else:  # the table is full of chunks seen earlier, mostly frequent ones; these serve this once
-                order = np.argsort(new)
-                place[missing] = self.held + order[np.searchsorted(new[order], hashes[missing])]
-                first_of = np.concatenate([self.first[: self.held], self.used + np.cumsum(sizes) - sizes])
-                size_of = np.concatenate([self.size[: self.held], sizes])
-                known = np.concatenate([self.ids[: self.used], ids])
-        sizes = size_of[place].astype(np.int64)
-        ids = known[_spread(first_of[place].astype(np.int64), sizes)]
+                missing = missing[:0]
+        known = np.flatnonzero(place >= 0)
+        sizes = np.zeros(len(hashes), np.int64)
+        sizes[known] = self.size[place[known]]
+        if len(missing):  # the table is full of chunks seen earlier, mostly frequent ones; these serve this once
+            order = np.argsort(new)
+            used = order[np.searchsorted(new[order], hashes[missing])]
+            sizes[missing] = own_sizes[used]
+        starts = np.cumsum(sizes) - sizes
+        ids = np.empty(int(sizes.sum()), np.uint32)
+        ids[_spread(starts[known], sizes[known])] = self.ids[_spread(self.first[place[known]].astype(np.int64), sizes[known])]
+        if len(missing):
+            ids[_spread(starts[missing], sizes[missing])] = own[_spread((np.cumsum(own_sizes) - own_sizes)[used], sizes[missing])]
         doc = np.repeat(np.arange(len(counts)), counts)
         return ids, np.bincount(doc, sizes, minlength=len(counts)).astype(np.int64)
 
@@ -153,6 +160,7 @@ def pieces(documents: DataFrame, tokenizer_path: str, capacity: int = 4096, end_
     def run(batches):
         from tallymart.llm import packing
 
+        trimmed()  # of what other tasks of this worker left
         tokenizer = packing._tokenizer(tokenizer_path)  # that of the worker's own module
         for batch in batches:
             data, offsets = words.column_bytes(batch.column("text"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -35,3 +37,14 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def trimmed() -> None:
+    """Give memory that a Python worker has freed back to the system, where the C library can do so.
+
+    Workers serve the tasks of many stages, and keep what the largest of them needed.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
