@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.functions.skew import hot_keys, join_around
 from tallymart.llm import words
 from tallymart.llm.components import components
 from tallymart.llm.grouped import groups
@@ -75,7 +76,7 @@ def minwise(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def sketches(documents: DataFrame, width: int = 5) -> DataFrame:
-    """``(doc_id, n, s1, s2, mh)``: set size, 128 bits that tell sets apart, minwise tokens."""
+    """``(doc_id, t, n, s1, s2, mh)``: the text's hash, set size, 128 bits that tell sets apart, minwise tokens."""
 
     def run(batches):
         for batch in batches:
@@ -90,6 +91,7 @@ def sketches(documents: DataFrame, width: int = 5) -> DataFrame:
                 yield pa.record_batch(
                     {
                         "doc_id": batch.column("doc_id").slice(a, b - a),
+                        "t": batch.column("t").slice(a, b - a),
                         "n": pa.array(sizes),
                         "s1": pa.array(s1.view(np.int64)),
                         "s2": pa.array(s2.view(np.int64)),
@@ -97,8 +99,8 @@ def sketches(documents: DataFrame, width: int = 5) -> DataFrame:
                     }
                 )
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n long, s1 long, s2 long, mh binary"
+    return documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("t"), "text").mapInArrow(
+        run, "doc_id long, t long, n long, s1 long, s2 long, mh binary"
     )
 
 
@@ -291,10 +293,12 @@ def _confirmed(clusters: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _with_sets(clusters: DataFrame, documents: DataFrame, width: int) -> DataFrame:
+def _with_sets(clusters: DataFrame, sets: DataFrame, rows: DataFrame, documents: DataFrame, width: int) -> DataFrame:
     """``clusters`` with the full sets of their members, as ``values``.
 
-    A list of members counted to be short goes to the texts; otherwise texts and members meet by id.
+    A set is read from one text, found by the id and the hash that the set was given; of equal rows one is
+    taken.  A list of members counted to be short goes to the texts; otherwise texts and members meet by
+    id and hash.
     """
 
     def run(batches):
@@ -306,17 +310,24 @@ def _with_sets(clusters: DataFrame, documents: DataFrame, width: int) -> DataFra
                 )
 
     member = F.struct("cluster", "component").alias("in")
-    members = landed(clusters.groupBy("id").agg(F.collect_list(member).alias("in")), "members")
+    members = clusters.groupBy("id").agg(F.collect_list(member).alias("in"))
+    members = landed(members.join(sets.select("id", "doc_id", "t"), "id"), "members")
     small = members.agg(F.count("*"), F.sum(F.size("in"))).first()
-    if small[0] + (small[1] or 0) <= MEMBERS:
-        members = F.broadcast(members)
-    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text").join(members, "id")
+    short = small[0] + (small[1] or 0) <= MEMBERS
+    place = members.select("doc_id", "t", "id")
+    again = rows.select("doc_id", "t").join(F.broadcast(place) if short else place, ["doc_id", "t"])
+    again = landed(again.groupBy("id").count().filter("count > 1").select("id"), "again")
+    members = members.join(again.withColumn("repeated", F.lit(True)), "id", "left")
+    texts = documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("t"), "text")
+    texts = texts.join(F.broadcast(members) if short else members, ["doc_id", "t"])
+    one = texts.filter("repeated").dropDuplicates(["id"])
+    texts = texts.filter("repeated is null").unionByName(one).select("id", "in", "text")
     kinds = "id long, in array<struct<cluster:bigint,component:bigint>>, values binary"
     found = texts.mapInArrow(run, kinds.replace("in array", "`in` array"))
     return found.select("values", F.explode("in").alias("m")).select("m.cluster", "m.component", "values")
 
 
-def near_duplicates(
+def classes(
     documents: DataFrame,
     width: int = 5,
     percent: int = 75,
@@ -325,23 +336,19 @@ def near_duplicates(
     small: int = 1024,
     least_equal: int | None = None,
 ) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``documents(doc_id, text)``.
-
-    Documents are linked if 100 * intersection >= percent * union of their shingle sets;
-    ``component_id`` is the smallest ``doc_id`` reachable over links, and ``kept`` tells that it is
-    the document's own.  ``least_equal`` equal minwise tokens of 64 are asked for before sets are
-    compared (by default 5.2 standard deviations below what ``percent`` lets expect).
+    """``(doc_id, t, n, component, component_id)``, one row per row of ``documents(doc_id, text)``.
 
-    Null, empty or blank text: no shingles, linked with nothing.  Rows of one ``doc_id`` are one
-    document; a null ``doc_id`` takes part in no link and is never kept.  Other columns are ignored.
+    ``t`` is the hash of the text.  Rows are in one ``component`` if links lead from one to the other;
+    ``component_id`` is its smallest ``doc_id``.  Both are null for rows without shingles or id.  Equal sets are
+    one, with a number of its own: work does not depend on how ids repeat.
     """
     spread = (COORDINATES * percent / 100 * (1 - percent / 100)) ** 0.5
     least = least_equal if least_equal is not None else int(COORDINATES * percent / 100 - 5.2 * spread)
     rows = landed(sketches(documents, width), "sketches")
     own = rows.filter("n > 0 and doc_id is not null")
-    sets = landed(
-        own.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("id"), F.first("mh").alias("mh")), "sets"
-    )
+    one = F.min(F.struct("doc_id", "t")).alias("one")
+    sets = own.groupBy("n", "s1", "s2").agg(one, F.first("mh").alias("mh"))
+    sets = landed(sets.select("n", "s1", "s2", "one.*", "mh", F.monotonically_increasing_id().alias("id")), "sets")
 
     def short(batches):
         for batch in batches:
@@ -359,21 +366,44 @@ def near_duplicates(
             known = landed(joined.withColumn("component", F.coalesce("component", "id")), "known")
         nodes = small_nodes(known, part, depth, small).join(brief, "id")
         clusters = landed(_alike_by_sketch(nodes, least, percent), "clusters")
-        links = _confirmed(_with_sets(clusters, documents, width), percent)
+        links = _confirmed(_with_sets(clusters, sets, own, documents, width), percent)
         if labels is not None:
             old = labels.filter("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
             links = links.unionByName(old)
         labels = components(links)
-    classes = sets.select("n", "s1", "s2", F.col("id").alias("first_id")).join(
-        labels.withColumnRenamed("id", "first_id"), "first_id", "left"
+    labels = landed(labels.join(sets.select("id", "doc_id"), "id"), "labels")
+    first = labels.groupBy(F.col("component").alias("of")).agg(F.min("doc_id").alias("component_id"))
+    named = join_around(labels, first, [("component", "of")], hot_keys(labels, ["component"]), "inner")
+    named = sets.select("n", "s1", "s2", "id", F.col("doc_id").alias("first_id")).join(
+        named.select("id", "component", "component_id"), "id", "left"
     )
-    found = rows.select("doc_id", "n", "s1", "s2").join(
-        classes.select("n", "s1", "s2", F.coalesce("component", "first_id").alias("component_id")),
+    found = rows.select("doc_id", "t", "n", "s1", "s2").join(
+        named.select(
+            "n", "s1", "s2", F.coalesce("component", "id").alias("component"), F.coalesce("component_id", "first_id").alias("component_id")
+        ),
         ["n", "s1", "s2"],
         "left",
     )
+    there = F.col("doc_id").isNotNull()
+    ours = [F.when(there, F.col(c)).alias(c) for c in ("component", "component_id")]
+    return found.select("doc_id", "t", "n", *ours)
+
+
+def near_duplicates(documents: DataFrame, **options: int | None) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``documents(doc_id, text)``.
+
+    Documents are linked if 100 * intersection >= percent * union of their shingle sets;
+    ``component_id`` is the smallest ``doc_id`` reachable over links, and ``kept`` tells that it is
+    the document's own.  ``options`` are those of :func:`classes`: ``width`` and ``percent``, and how the
+    join goes; ``least_equal`` equal minwise tokens of 64 are asked for before sets are compared (by default
+    5.2 standard deviations below what ``percent`` lets expect).
+
+    Null, empty or blank text: no shingles, linked with nothing.  Rows that share a ``doc_id`` are documents
+    of their own, linked if their sets are; a null ``doc_id`` takes part in no link and is never kept.
+    Other columns are ignored.
+    """
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return found.select(
+    return classes(documents, **options).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),

@@ -1,9 +1,10 @@
 import random
 import re
+import time
 from collections import defaultdict
 
 from tallymart.llm.components import components
-from tallymart.llm.neardup import near_duplicates
+from tallymart.llm.neardup import classes, near_duplicates
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -95,3 +96,35 @@ def test_components_of_a_chain_and_a_hub(spark):
     links = spark.createDataFrame([*chain, *hub, (7, 7), (None, 3)], "a long, b long")
     found = {r.id: r.component for r in components(links).collect()}
     assert found == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 160)}}
+
+
+def test_a_hub_goes_around(spark):
+    links = [(100, k) for k in range(101, 200)] + [(k, k + 1) for k in range(40)] + [(k, 500) for k in range(300, 340)]
+    found = components(spark.createDataFrame(links, "a long, b long"), hot_links=5).collect()
+    want = {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 200)}, **{k: 300 for k in [*range(300, 340), 500]}}
+    assert {r.id: r.component for r in found} == want
+
+
+def test_unlike_texts_of_one_id_are_documents_of_their_own(spark, docs):
+    rows = texts(5, 60)
+    want = brute(rows)
+    shared = near_duplicates(docs([(0, t) for _, t in rows] + [(0, rows[0][1])] * 30)).collect()
+    assert len(shared) == 90 and all(r.component_id == 0 and r.kept for r in shared)
+    groups = defaultdict(set)
+    for i, (_, component, _) in want.items():
+        groups[component].add(rows[i][1])
+    component = {}
+    for r in classes(docs([(7, t) for _, t in rows])).collect():
+        component.setdefault(r.component, set()).add(r.t)
+    assert sorted(map(len, component.values())) == sorted(len(g) for g in groups.values())
+
+
+def test_many_unlike_texts_of_one_id_cost_what_others_do(spark, docs):
+    rng = random.Random(8)
+    text = [" ".join(f"w{rng.randrange(5000)}" for _ in range(12)) for _ in range(4000)]
+    seconds = []
+    for ids in (range(4000), [0] * 4000):
+        started = time.time()
+        assert near_duplicates(docs(list(zip(ids, text)))).count() == 4000
+        seconds.append(time.time() - started)
+    assert seconds[1] < 2 * seconds[0] + 5
