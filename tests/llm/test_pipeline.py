@@ -46,3 +46,19 @@ def test_run_equals_its_stages(spark):
     got = corpus_pipeline.run(spark, SMALL).collect()
     assert {r.doc_id for r in got} == kept
     assert sum(r.length for r in got) > 0
+
+
+def test_unlike_texts_of_one_id_stay_and_equal_rows_go(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, t long, rest string"
+    rivers = " ".join(f"river{k}" for k in range(40))
+    law = " ".join(f"law{k}" for k in range(40))
+    rows = [
+        (1, rivers, "en", "b", 1), (1, law, "en", "a", 1), (1, rivers, "en", "a", 1), (2, rivers + " more", "en", "a", 1), (2, "quite another text of its own", "en", "a", 1),
+        (3, law + " end", "en", "a", 1), (None, rivers, "en", "a", 1), (None, rivers, "en", "a", 1), (4, None, "en", "a", 1), (4, None, "en", "a", 1),
+    ]
+    docs = spark.createDataFrame([(*r, 5, "x") for r in rows], schema)
+    got = corpus_pipeline.near_dedup(spark, docs, SMALL)
+    assert got.columns == docs.columns
+    kept = sorted((r.doc_id or 0, r.text or "", r.source) for r in got.collect())
+    want = [(0, rivers, "a")] * 2 + [(1, law, "a"), (1, rivers, "a"), (2, "quite another text of its own", "a")] + [(4, "", "a")] * 2
+    assert kept == sorted(want)
