@@ -31,20 +31,25 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest ``doc_id``.
+    """One document of each group of near duplicates: that with the smallest ``doc_id``, then hash of the text.
 
-    Of rows that repeat that id one stays, the first in the order of its columns, text first; rows
-    without an id are in no group and all stay.
+    Of rows of that id and text one stays, the first in the order of its other columns.  Unlike texts that
+    share an id are in groups of their own; rows without an id or a word are in no group and all stay.
     """
-    found = landed(neardup.near_duplicates(docs).filter("doc_id is not null").groupBy("doc_id").agg(
-        F.max("kept").alias("kept"), F.count("*").alias("rows")
-    ), "copies")
-    aside = decontaminate.if_small(landed(found.filter("not kept or rows > 1").select("doc_id"), "aside"))
-    single = docs.join(aside, "doc_id", "left_anti").select(docs.columns)
-    repeated = docs.join(found.filter("kept and rows > 1").select("doc_id"), "doc_id", "left_semi")
-    rest = F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    one = repeated.groupBy("doc_id").agg(F.min(rest).alias("rest")).select("doc_id", "rest.*")
-    return single.unionByName(one.select(docs.columns))
+    found = neardup.classes(docs).filter("component is not null").groupBy("component", "doc_id", "t").agg(F.count("*").alias("n"))
+    found = landed(found, "copies")
+    one = F.min(F.struct("doc_id", "t", "n")).alias("one")
+    first = landed(found.groupBy("component").agg(one).select("one.*"), "first")
+    key = ["_id", "_t"]
+    names = [F.col("doc_id").alias("_id"), F.col("t").alias("_t")]
+    aside = found.select(*names).join(first.select(*names), key, "left_anti")
+    again = first.filter("n > 1").select(*names)
+    aside, again = (decontaminate.if_small(landed(df, name)) for df, name in ((aside, "aside"), (again, "again")))
+    rows = docs.select("*", F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_t"))
+    rest = F.struct("doc_id", "text", *[c for c in docs.columns if c not in ("doc_id", "text")])
+    single = rows.join(aside, key, "left_anti").join(again, key, "left_anti").select(docs.columns)
+    repeated = rows.join(again, key, "left_semi").groupBy(*key).agg(F.min(rest).alias("rest")).select("rest.*")
+    return single.unionByName(repeated.select(docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
