@@ -40,12 +40,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = landed(found, "copies")
     one = F.min(F.struct("doc_id", "t", "n")).alias("one")
     first = landed(found.groupBy("component").agg(one).select("one.*"), "first")
-    key = ["_id", "_t"]
-    names = [F.col("doc_id").alias("_id"), F.col("t").alias("_t")]
+    key = ["__dedup_id", "__dedup_hash"]
+    names = [F.col("doc_id").alias("__dedup_id"), F.col("t").alias("__dedup_hash")]
     aside = found.select(*names).join(first.select(*names), key, "left_anti")
     again = first.filter("n > 1").select(*names)
     aside, again = (decontaminate.if_small(landed(df, name)) for df, name in ((aside, "aside"), (again, "again")))
-    rows = docs.select("*", F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_t"))
+    rows = docs.select("*", F.col("doc_id").cast("long").alias("__dedup_id"), F.xxhash64("text").alias("__dedup_hash"))
     rest = F.struct("doc_id", "text", *[c for c in docs.columns if c not in ("doc_id", "text")])
     single = rows.join(aside, key, "left_anti").join(again, key, "left_anti").select(docs.columns)
     repeated = rows.join(again, key, "left_semi").groupBy(*key).agg(F.min(rest).alias("rest")).select("rest.*")
