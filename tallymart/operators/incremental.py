@@ -7,13 +7,17 @@ from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymart.functions.sizing import BROADCAST_BYTES
-from tallymart.functions.skew import lookup_join
-from tallymart.schemas import FACT, FACT_PARTITIONS
+from tallymart.functions.keys import first_per_key
+from tallymart.functions.scratch import written
+from tallymart.functions.sizing import BROADCAST_BYTES, sized
+from tallymart.functions.skew import HOT_ROWS, lookup_join
+from tallymart.operators.quality import completeness
+from tallymart.schemas import FACT, FACT_KEY, FACT_PARTITIONS
+from tallymart.sources.commits import live, log, read_committed
 
 
 _PARTITIONS = T.StructType([FACT[name] for name in FACT_PARTITIONS])
@@ -28,8 +32,12 @@ class Increment(NamedTuple):
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
     """The fact with its declared schema, so that ``year_month`` stays text.
 
-    A path that does not exist reads as an empty fact.
+    Where ``publish_fact`` has written it, the rows of the last commit.  A path that does not exist reads as an
+    empty fact.
     """
+    committed = read_committed(spark, path)
+    if committed is not None:
+        return committed
     try:
         return spark.read.schema(FACT).parquet(path).select(*FACT.names)
     except AnalysisException as error:
@@ -39,7 +47,12 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
 
 
 def loaded_partitions(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct (health_area, year_month) in the fact, from the names of its files alone."""
+    """Distinct (health_area, year_month) in the fact, from its log of commits.
+
+    A fact written without a log is told by the names of its files, which all come to the driver.
+    """
+    if log(spark, path) is not None:
+        return live(spark, path).select(*FACT_PARTITIONS)
     found = set()
     for name in read_fact(spark, path).inputFiles():
         steps = dict(step.split("=", 1) for step in name.split("/") if "=" in step)
@@ -77,8 +90,9 @@ def load_incremental(
 ) -> Increment:
     """Values of periods not yet in the fact, whether there was anything before, and the other rows.
 
-    Write the result with ``write_fact(..., replace="partitions")``: the default replaces only
-    the partitions written, so what was loaded earlier stays.
+    Write the result with ``publish_fact(..., replace="partitions")``: the default replaces only
+    the partitions written, so what was loaded earlier stays.  The other rows may be late ones and corrections:
+    :func:`merge_late` puts them to the stored ones.
     """
     loaded = loaded_partitions(spark, fact_path)
     if loaded.isEmpty():
@@ -87,3 +101,54 @@ def load_incremental(
     on = [("period", "_loaded_year_month")]
     skipped = lookup_join(values, periods, on, "left_semi", bound=broadcast_bytes)
     return Increment(filter_new(values, loaded, broadcast_bytes=broadcast_bytes), True, skipped)
+
+
+class Merge(NamedTuple):
+    rows: DataFrame  # the changed partitions, whole
+    partitions: DataFrame  # their names; one without rows has lost them all
+
+
+def _signatures(fact: DataFrame) -> DataFrame:
+    """Per partition what tells two sets of rows apart: their number and two sums of their hashes."""
+    first, second = F.xxhash64(*FACT.names), F.xxhash64(F.lit(1), *FACT.names)
+    return fact.groupBy(*FACT_PARTITIONS).agg(
+        F.count("*").alias("n"), F.sum(first.cast("decimal(38,0)")).alias("a"), F.sum(second.cast("decimal(38,0)")).alias("b")
+    )
+
+
+def merge_late(
+    stored: DataFrame,
+    late: DataFrame,
+    programs: DataFrame,
+    facilities: DataFrame,
+    tie_break: Sequence[Column] = (),
+    strict: bool = False,
+    hot_rows: int | None = HOT_ROWS,
+) -> Merge:
+    """What rows for months already loaded make of the stored fact: as if all had been loaded at once.
+
+    Of the months that occur in ``late`` all stored rows are read, no others.  Per natural key the latest stamp wins,
+    be it the stored one; equal stamps go by ``tie_break``, columns of the fact, and then the stored row stays.
+    Scores of units and periods are taken anew, since they count all rows.  Partitions that come out as they
+    were are left out, so their files stay.
+    """
+    months = [r.year_month for r in late.select("year_month").distinct().collect()]  # a name a month
+    wanted = F.col("year_month").isin([m for m in months if m is not None])
+    old = stored.filter(wanted | F.col("year_month").isNull() if None in months else wanted)
+    both = old.withColumn("_late", F.lit(0)).unionByName(late.select(*FACT.names).withColumn("_late", F.lit(1)))
+    order = [F.desc_nulls_last("last_updated"), *tie_break, F.asc("_late")]
+    names = {"ou_uid": "orgUnit", "de_uid": "dataElement", "raw_value": "value"}
+    rows = first_per_key(both, FACT_KEY, order).drop("_late", "completeness_score").withColumnsRenamed(names)
+    rows = completeness(rows, programs, facilities, strict=strict, hot_rows=hot_rows)
+    merged = written(rows.withColumnsRenamed({new: name for name, new in names.items()}).select(*FACT.names), "merged")
+
+    before = _signatures(old).select(*[F.col(c).alias(f"_{c}") for c in (*FACT_PARTITIONS, "n", "a", "b")])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in FACT_PARTITIONS]
+    compared = _signatures(merged).join(before, same[0] & same[1], "full")
+    differs = ~(F.col("n").eqNullSafe(F.col("_n")) & F.col("a").eqNullSafe(F.col("_a")) & F.col("b").eqNullSafe(F.col("_b")))
+    changed = compared.filter(differs).select(
+        *[F.when(F.col("n").isNull(), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in FACT_PARTITIONS]
+    )
+    changed = written(changed, "changed")
+    few = sized(changed.select(*[F.col(c).alias(f"_{c}") for c in FACT_PARTITIONS]))
+    return Merge(merged.join(few, same[0] & same[1], "left_semi"), changed)

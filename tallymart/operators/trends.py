@@ -14,6 +14,7 @@ from tallymart.functions.periods import (
     period_quarter,
     period_year,
 )
+from tallymart.functions.scratch import written
 from tallymart.functions.sizing import BROADCAST_BYTES, sized
 from tallymart.functions.skew import HOT_ROWS, hot_keys, join_around
 from tallymart.operators.framing import with_row_frame
@@ -184,7 +185,8 @@ def top_underreporting(fact: DataFrame, top: int = 5) -> DataFrame:
         .agg(F.count_if(F.coalesce(value != 0, F.lit(False))).alias("_active"))
         .filter(F.col("_active") == 0)
     )
-    counted = silent.groupBy(*facility).agg(F.count(F.lit(1)).alias("zero_periods"))
+    # Written, since it is read for the ranks, for their size, and for the report.
+    counted = written(silent.groupBy(*facility).agg(F.count(F.lit(1)).alias("zero_periods")), "silent")
     above = (
         Window.partitionBy("_area").orderBy(F.col("_periods").desc()).rowsBetween(
             Window.unboundedPreceding, -1

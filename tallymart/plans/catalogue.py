@@ -25,7 +25,7 @@ from tallymart.plans import fixture
 from tallymart.plans.oracle import CUTOFF
 from tallymart.functions.casting import typed_number
 from tallymart.functions.scratch import scratch_path, written
-from tallymart.sources import documents, exports, sinks
+from tallymart.sources import commits, documents, exports, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -175,6 +175,33 @@ def ingest_split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.filter(F.col("status") == documents.CLEAN).select(*schemas.DATA_VALUE.names)
 
 
+def ingest_split_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above, with objects and arrays inside the elements, and braces and quotes inside the values."""
+    path = scratch_path(spark, "nested_values")
+    odd = F.when(F.col("ok") % 3 == 0, F.concat("storedBy", F.lit(' a}b\\"]{"dataValues":[{')))
+    inner = F.struct(F.lit("}{").alias("note"), F.array(F.struct(F.col("ok"), F.lit('\\"').alias("mark"))).alias("dataValues"))
+    rows = fixture.reports(spark, sf_dir).withColumn("storedBy", F.coalesce(odd, "storedBy"))
+    rows = rows.select(inner.alias("detail"), *schemas.DATA_VALUE.names, F.array("ln", "ok").alias("numbers"))
+    fixture.packed_documents(
+        rows, {"responseType": "dataValues", "version": '"}]'}, "dataValues", 50_000
+    ).write.option("maxRecordsPerFile", 1).text(path)
+    tagged = exports.tagged_export(spark, exports.DATA_VALUES, path, layout="split")
+    return tagged.filter(F.col("status") == documents.CLEAN).select(*schemas.DATA_VALUE.names)
+
+
+def ingest_split_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A nested export of one document a file, every column of it, nested ones too."""
+    path = scratch_path(spark, "split_units")
+    fixture.packed_documents(org_units(spark, sf_dir), {"date": "x", "version": "1"}, "organisationUnits", 100_000).write.option(
+        "maxRecordsPerFile", 1
+    ).text(path)
+    rows = exports.load_export(spark, exports.ORG_UNITS, path, layout="split").rows
+    group = F.transform("groups", lambda g: F.concat_ws(":", g["id"], g["name"]))
+    return rows.select(
+        "id", "name", "level", "path", F.col("parent.id").alias("parent"), F.array_join(group, ",").alias("groups")
+    )
+
+
 def ingest_file_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of one document each, every one read whole by one task."""
     path = scratch_path(spark, "data_values")
@@ -518,10 +545,35 @@ def rejects_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def loaded_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "fact")
-    sinks.write_fact(fact(spark, sf_dir), path, replace="table")
+    commits.publish_fact(fact(spark, sf_dir), path, replace="table")
     return incremental.loaded_partitions(spark, path)
 
 
+def commit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live partitions after a whole load, a second load of half its months without zeros, and a third of one area."""
+    path = scratch_path(spark, "fact")
+    whole = written(fact(spark, sf_dir), "offered")
+    commits.publish_fact(whole, path, replace="table")
+    commits.publish_fact(whole.filter((F.col("month") > 6) & ~F.col("is_explicit_zero")), path)
+    commits.publish_fact(whole.filter("health_area = 'A'").limit(0), path, ended=whole.filter("health_area = 'A'"))
+    counted = incremental.read_fact(spark, path).groupBy("health_area", "year_month").agg(F.count("*").alias("n_read"))
+    live = commits.live(spark, path).select("health_area", "year_month", "version", "rows")
+    return live.join(counted, ["health_area", "year_month"], "left")
+
+
+def incremental_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows stamped on every third day come in a second load, late and as corrections, for the same months."""
+    path = scratch_path(spark, "fact")
+    second = F.substring("lastUpdated", 9, 2).cast("int") % 3 == 0
+    values = written(resolved(spark, sf_dir).rows, "values")
+    commits.publish_fact(fact(spark, sf_dir, values=values.filter(~second)), path, replace="table")
+    late = written(fact(spark, sf_dir, values=values.filter(second)), "late")
+    stored = incremental.read_fact(spark, path)
+    merge = incremental.merge_late(stored, late, programs(spark, sf_dir), facilities(spark, sf_dir))
+    commits.publish_fact(merge.rows, path, ended=merge.partitions)
+    return incremental.read_fact(spark, path)
+
+
 def filter_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = fact(spark, sf_dir).filter(F.col("year_month") < CUTOFF).select("year_month")
     return incremental.filter_new(fixture.reports(spark, sf_dir), loaded.distinct()).select(
@@ -552,13 +604,13 @@ def incremental_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _load_twice(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
     whole = written(fact(spark, sf_dir), "offered")
-    sinks.write_fact(whole.filter(F.col("period") < CUTOFF), path)
+    commits.publish_fact(whole.filter(F.col("period") < CUTOFF), path)
     offered = whole.withColumn("stored_by", F.lit("second"))
     increment = incremental.load_incremental(spark, path, offered)
     if not increment.is_incremental:
         raise RuntimeError("the first load is not seen")
     new, skipped = written(increment.values, "new"), written(increment.skipped, "skipped")
-    sinks.write_fact(new, path)
+    commits.publish_fact(new, path)
     return skipped
 
 
@@ -566,6 +618,8 @@ def queries() -> dict[str, Query]:
     return {
         "ingest_documents": ingest_documents,
         "ingest_split_documents": ingest_split_documents,
+        "ingest_split_nested": ingest_split_nested,
+        "ingest_split_units": ingest_split_units,
         "ingest_file_documents": ingest_file_documents,
         "ingest_quarantine": ingest_quarantine,
         "ingest_lost_documents": ingest_lost_documents,
@@ -633,6 +687,8 @@ def queries() -> dict[str, Query]:
         "report_csv_roundtrip": report_csv_roundtrip,
         "rejects_csv_roundtrip": rejects_csv_roundtrip,
         "loaded_partitions": loaded_partitions,
+        "commit_log": commit_log,
+        "incremental_corrections": incremental_corrections,
         "filter_new": filter_new,
         "filter_new_by_area": filter_new_by_area,
         "incremental_union": incremental_union,

@@ -8,6 +8,7 @@ from typing import Any, NamedTuple
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tallymart.functions.sizing import sized
 from tallymart.functions.skew import HOT_ROWS
 from tallymart.operators.anomaly import sigma_anomalies
 from tallymart.operators.contract import (
@@ -17,7 +18,12 @@ from tallymart.operators.contract import (
     validate_contract,
 )
 from tallymart.operators.hierarchy import enrich_with_hierarchy, flatten_hierarchy
-from tallymart.operators.incremental import load_incremental, loaded_partitions, read_fact
+from tallymart.operators.incremental import (
+    load_incremental,
+    loaded_partitions,
+    merge_late,
+    read_fact,
+)
 from tallymart.operators.quality import dq_gate, gate_failures, run_dq
 from tallymart.operators.resolve import resolve_keys
 from tallymart.operators.star import (
@@ -28,9 +34,10 @@ from tallymart.operators.star import (
     dim_program,
 )
 from tallymart.plans.reports import run_aggregation, run_analytics
+from tallymart.sources.commits import publish_fact
 from tallymart.sources.documents import LOST
 from tallymart.sources.exports import ingest_all
-from tallymart.sources.sinks import write_dims, write_fact, write_rejects, write_report
+from tallymart.sources.sinks import write_dims, write_rejects, write_report
 
 
 class Mart(NamedTuple):
@@ -58,15 +65,20 @@ def build_mart(
     tie_break: Sequence[str] = VALUE_TIE_BREAK,
     layouts: Mapping[str, str] | None = None,
     hot_rows: int | None = HOT_ROWS,
+    late: str = "aside",
 ) -> Mart | None:
     """Ingest, resolve, enrich, score, write the star schema, check it, and write the reports.
 
     The fact is staged and its contract checked before the target is touched; with
     ``on_violation="raise"`` a violation ends the run there, ``"warn"`` goes on and reports it.  Copies of
     equal stamp are ordered by the ``tie_break`` columns, descending.  The reports read the written
-    fact.  An incremental run loads the periods the fact does not have yet and returns ``None``
-    when there are none.
+    fact, which is published in one commit.  An incremental run loads the periods the fact does not have yet.
+    Rows of the others are kept ``"aside"``, or with ``late="merge"`` put to the stored ones: the fact is then
+    as if all had been loaded at once, but that of copies of equal stamp and value the stored one stays.
+    Without rows to load the result is ``None``.
     """
+    if late not in ("aside", "merge"):
+        raise ValueError("late must be 'aside' or 'merge'")
     if on_violation not in ("warn", "raise"):
         raise ValueError("on_violation must be 'warn' or 'raise'")
     out = output_dir.rstrip("/")
@@ -76,7 +88,13 @@ def build_mart(
     values, is_incremental = source.values, False
     n_values = source.counts["data_values"]["clean"]
     n_skipped = 0
-    if incremental:
+    loaded = None
+    if incremental and late == "merge":
+        loaded = _landed(loaded_partitions(spark, target), f"{staging}/loaded")
+        is_incremental = not loaded.isEmpty()
+        if not n_values:
+            return None
+    elif incremental:
         values, is_incremental, skipped = load_incremental(spark, target, values)
         # Landed: "not loaded yet" has to mean before this run also once the target is written.
         values = _landed(values, f"{staging}/increment")
@@ -117,7 +135,17 @@ def build_mart(
     report = validate_contract(built, contract)
     if on_violation == "raise" and not report.passed:
         raise ContractViolation(str(report))
-    write_fact(built, target, replace="partitions" if incremental else "table")
+    if is_incremental and loaded is not None:
+        months = sized(loaded.select("year_month").distinct().withColumnRenamed("year_month", "_month"))
+        known = F.col("year_month").eqNullSafe(F.col("_month"))
+        order = [F.desc_nulls_last("raw_value"), F.desc_nulls_last("stored_by")]
+        merge = merge_late(
+            read_fact(spark, target), built.join(months, known, "left_semi"), source.programs, facilities, order, hot_rows=hot_rows
+        )
+        new = built.join(months, known, "left_anti").unionByName(merge.rows)
+        publish_fact(new, target, ended=merge.partitions)
+    else:
+        publish_fact(built, target, replace="partitions" if incremental else "table")
 
     fact = read_fact(spark, target)
     fresh = fact

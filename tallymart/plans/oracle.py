@@ -396,6 +396,11 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         "ingest_documents": f"select {VALUE_COLUMNS} from reports",
         "ingest_split_documents": f"select {VALUE_COLUMNS} from reports",
+        "ingest_split_nested": f"""
+          select {VALUE_COLUMNS} from (
+            select * replace (case when ok % 3 = 0 then "storedBy" || ' a}}b\\"]{{"dataValues":[{{' else "storedBy" end as "storedBy")
+            from reports)
+        """,
         "ingest_file_documents": f"select {VALUE_COLUMNS} from reports",
         "ingest_quarantine": """
           select * exclude (reason), case when reason is null then 'clean' else 'rejected' end as status,
@@ -495,6 +500,22 @@ def oracle_sql() -> dict[str, str]:
                  '/R' || n_regionkey || '/R' || n_regionkey || 'G' || (n_nationkey % 2)
                    || '/N' || n_nationkey from nation
         """,
+        "ingest_split_units": """
+          select id, name, cast(len(string_split(path, '/')) - 1 as int) as level, path,
+                 nullif(list_extract(string_split(path, '/'), -2), '') as parent, groups
+          from (
+            select 'R' || r_regionkey as id, r_name as name, '/R' || r_regionkey as path, 'L1:Country' as groups from region
+            union all select distinct 'R' || n_regionkey || 'G' || (n_nationkey % 2),
+                   r_name || ' half ' || (n_nationkey % 2),
+                   '/R' || n_regionkey || '/R' || n_regionkey || 'G' || (n_nationkey % 2), 'L2:Region'
+                   from nation join region on r_regionkey = n_regionkey
+            union all select 'N' || n_nationkey, n_name,
+                   '/R' || n_regionkey || '/R' || n_regionkey || 'G' || (n_nationkey % 2) || '/N' || n_nationkey, 'L3:District'
+                   from nation
+            union all select 'S' || s_suppkey, s_name,
+                   '/R' || n_regionkey || '/R' || n_regionkey || 'G' || (n_nationkey % 2) || '/N' || n_nationkey || '/S' || s_suppkey, 'L4:Facility' || case when s_suppkey % 5 = 0 then '' else ',T' || (s_suppkey % 3) || ':Type ' || (s_suppkey % 3) end
+                   from supplier join nation on s_nationkey = n_nationkey where s_suppkey % 25 <> 7)
+        """,
         "hierarchy_enrich": """
           select r."dataElement", r."orgUnit", r.ok, r.ln, r.px, f.* exclude (facility_uid),
                  f.facility_uid is null as is_non_leaf
@@ -637,6 +658,15 @@ def oracle_sql() -> dict[str, str]:
           union all select 'N' || n_nationkey, 3, '[{"id":"L3","name":"District"}]' from nation
         """,
         "loaded_partitions": "select distinct health_area, year_month from fact",
+        "commit_log": """
+          select health_area, year_month, n as rows, n as n_read, cast(version as bigint) as version from (
+            select health_area, year_month, any_value(month) > 6 and count(*) filter (not is_explicit_zero) > 0 as second,
+                   case when second then 2 else 1 end as version,
+                   case when second then count(*) filter (not is_explicit_zero) else count(*) end as n
+            from fact group by all)
+          where health_area is distinct from 'A'
+        """,
+        "incremental_corrections": f"select {FACT_COLUMNS} from fact",
         "filter_new": f"""
           select {VALUE_COLUMNS}, ok, ln, px from reports
           where period not in (select year_month from fact where year_month < '{CUTOFF}')

@@ -1,4 +1,5 @@
 import json
+import random
 from pathlib import Path
 
 import pytest
@@ -181,9 +182,69 @@ def test_split_layout_uses_many_tasks_and_mixes_files(spark, tmp_path):
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "256KB")
         spark.conf.set("spark.sql.files.openCostInBytes", "1KB")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         tagged = exports.tagged_export(spark, exports.DATA_VALUES, str(tmp_path / "in"), "split")
         assert tagged.select(F.spark_partition_id().alias("p")).distinct().count() > 3
         assert tagged_rows(spark, tmp_path / "in", "split") == whole
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def odd_text(rng):
+    return "".join(rng.choice(["a", "}", "{", "[", "]", '"', "\\", ",", ":", " ", "é", '"dataValues":[', "null", "\n"]) for _ in range(rng.randrange(9)))
+
+
+def nested(rng, depth=0):
+    kind = rng.randrange(5 if depth < 3 else 2)
+    if kind < 2:
+        return rng.choice([None, 7, True, odd_text(rng)])
+    if kind == 2:
+        return [nested(rng, depth + 1) for _ in range(rng.randrange(3))]
+    return {odd_text(rng) if rng.random() < 0.5 else "dataValues": nested(rng, depth + 1) for _ in range(rng.randrange(3))}
+
+
+def random_document(rng):
+    """A document whose elements hold nested objects, and strings that look like structure."""
+    items = []
+    for k in range(rng.randrange(1, 40)):
+        item = {"extra": nested(rng), **VALUE, "value": odd_text(rng), "storedBy": str(k)}
+        items.append(None if rng.random() < 0.1 else item if rng.random() < 0.8 else {**item, "orgUnit": None})
+    around = {odd_text(rng) + "x": nested(rng) for _ in range(rng.randrange(3))}
+    after = {odd_text(rng) + "y": nested(rng) for _ in range(rng.randrange(3))}
+    text = json.dumps({**around, "dataValues": items, **after}, indent=rng.choice([None, 1]), ensure_ascii=False)
+    state = rng.random()
+    return text[: rng.randrange(len(text))] if state < 0.15 else text + "\n" * rng.randrange(2) if state < 0.9 else text + "}"
+
+
+@pytest.mark.parametrize("block", ["300", "128MB"])
+def test_elements_across_the_borders_of_blocks(spark, tmp_path, block):
+    rng = random.Random(block)
+    for k in range(6):
+        write(tmp_path / f"in/{k}.json", random_document(rng))
+    write(tmp_path / "in/empty.json", "")
+    columns = [*schemas.DATA_VALUE.names, "source", "status", "quarantine_reason"]
+    whole = exports.tagged_export(spark, exports.DATA_VALUES, str(tmp_path / "in"), "file")
+    # A text that whole parsing takes up to its end, though more follows, is no sound document in pieces.
+    ended = {str(p) for p in (tmp_path / "in").iterdir() if not p.read_text().endswith("}}")}
+    sources = [f"file://{p}" for p in ended] + [f"file:{p}" for p in ended]
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        got = exports.tagged_export(spark, exports.DATA_VALUES, str(tmp_path / "in"), "split").filter(F.col("source").isin(sources))
+        kept = got.filter("status <> 'lost'")
+        name = F.regexp_replace("source", "^.*/", "")
+        texts = {}
+        for r in got.filter("status = 'lost'").select(name.alias("s"), "lost_text").collect():
+            texts[r.s] = texts.get(r.s, 0) + len(r.lost_text)
+        mine = frames.rows(kept.withColumn("source", name), *columns)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    whole = whole.filter(F.col("source").isin(sources)).withColumn("source", name)
+    assert mine == frames.rows(whole.filter("status <> 'lost'"), *columns) and len(mine) > 20
+    lost = {r.source: len(r.lost_text) for r in whole.filter("status = 'lost'").collect()}
+    assert texts == {**lost, "empty.json": 0}  # a whole text of no byte is no row
