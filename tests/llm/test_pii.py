@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 import pytest
 
@@ -83,6 +85,35 @@ def test_disguises_with_a_plain_part_are_found_whole(text, kind, plain, whole):
     assert pii.hidden(text) == f"{first} [{kind.upper()}] {last}"
 
 
+def test_spans_are_those_of_the_patterns_on_random_texts():
+    rng = random.Random(8)
+    for alphabet in ("ab.@-+ ", "12.@ a", "0.+()- 1", "41 -"):
+        for _ in range(1500):
+            text = "".join(rng.choices(alphabet, k=rng.randrange(40)))
+            assert list(pii.plain(text)) == brute(text), text
+
+
+def test_disguised_addresses_are_those_of_one_pattern():
+    part = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+"
+    whole = re.compile(rf"{part}(?:{pii._DOT}[A-Za-z0-9_%+-]+)*(?:{pii._REST.pattern})", re.I)
+    rng = random.Random(9)
+    for _ in range(20_000):
+        text = "".join(rng.choices(["a", "b.c", " dot ", " at ", "[dot]", "(at)", "@", " @ ", " ", ".", "x-"], k=rng.randrange(16)))
+        assert list(pii._mails(text)) == [m.span() for m in whole.finditer(text)], text
+
+
+@pytest.mark.parametrize(
+    "run",
+    ["a", "1", "1.", "+", "+1", "4 ", "a.", "a@", "@", "1.1.1.1 ", "a@b.c ", "a dot ", "a dot b.c at ", "[at]", "one ", "1 "],
+)
+def test_runs_of_a_million_characters_take_no_longer_than_their_length(run):
+    text = "\u0430 one @ at dot (at) +1 1.1 " + run * (1_000_000 // len(run)) + "!"
+    start = time.process_time()
+    base, spans = pii.find(text)
+    assert time.process_time() - start < 8
+    assert set(base) <= set(spans)
+
+
 def test_plain_spans_beside_a_disguise_come_once():
     text = "mail a@b.co- or call +49 30 1234567, аnd 10.0.0.1"
     assert pii.find(text) == (brute(text), brute(text))
