@@ -19,6 +19,7 @@ from tallymart.operators import (
     quality,
     resolve,
     star,
+    states,
     trends,
 )
 from tallymart.plans import fixture
@@ -26,6 +27,7 @@ from tallymart.plans.oracle import CUTOFF
 from tallymart.functions.casting import typed_number
 from tallymart.functions.scratch import scratch_path, written
 from tallymart.sources import commits, documents, exports, sinks
+from tallymart.sources.states import read_states
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -508,9 +510,12 @@ def _rate(densify: bool) -> Query:
 
 
 def coverage_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosscut.coverage_matrix(fact(spark, sf_dir), _countries(spark, sf_dir))
+
+
+def _countries(spark: SparkSession, sf_dir: str) -> list[str]:
     top = org_units(spark, sf_dir).filter(F.col("level") == 1).select("name")
-    countries = sorted(row["name"] for row in top.collect())
-    return crosscut.coverage_matrix(fact(spark, sf_dir), countries)
+    return sorted(row["name"] for row in top.collect())
 
 
 def contract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -563,15 +568,38 @@ def commit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows stamped on every third day come in a second load, late and as corrections, for the same months."""
+    return incremental.read_fact(spark, _corrected(spark, sf_dir, with_states=False))
+
+
+def _corrected(spark: SparkSession, sf_dir: str, with_states: bool) -> str:
+    """The path of a fact loaded in two steps; with its states computed in between."""
     path = scratch_path(spark, "fact")
     second = F.substring("lastUpdated", 9, 2).cast("int") % 3 == 0
     values = written(resolved(spark, sf_dir).rows, "values")
     commits.publish_fact(fact(spark, sf_dir, values=values.filter(~second)), path, replace="table")
+    if with_states:
+        read_states(spark, path)
     late = written(fact(spark, sf_dir, values=values.filter(second)), "late")
     stored = incremental.read_fact(spark, path)
     merge = incremental.merge_late(stored, late, programs(spark, sf_dir), facilities(spark, sf_dir))
     commits.publish_fact(merge.rows, path, ended=merge.partitions)
-    return incremental.read_fact(spark, path)
+    return path
+
+
+_states_of: dict[tuple[str, str], str] = {}
+
+
+def _on_states(operator: Callable[..., DataFrame], **options) -> Query:
+    """A report merged from states, part of them of the first load and part of the partitions that the second changed."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _states_of:
+            _states_of[key] = _corrected(spark, sf_dir, with_states=True)
+        extra = {k: v(spark, sf_dir) if callable(v) else v for k, v in options.items()}
+        return operator(read_states(spark, _states_of[key]), **extra)
+
+    return query
 
 
 def filter_new(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -689,6 +717,13 @@ def queries() -> dict[str, Query]:
         "loaded_partitions": loaded_partitions,
         "commit_log": commit_log,
         "incremental_corrections": incremental_corrections,
+        "states_mom_pct_change": _on_states(states.mom_pct_change),
+        "states_reporting_rate": _on_states(states.reporting_rate, facilities=facilities),
+        "states_top_underreporting": _on_states(states.top_underreporting),
+        "states_volumes_by_quarter": _on_states(states.volumes_by_quarter),
+        "states_completeness_comparison": _on_states(states.completeness_comparison),
+        "states_coverage_matrix": _on_states(states.coverage_matrix, countries=_countries),
+        "states_low_runs": _on_states(states.low_runs, threshold=0.36),
         "filter_new": filter_new,
         "filter_new_by_area": filter_new_by_area,
         "incremental_union": incremental_union,

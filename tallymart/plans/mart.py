@@ -38,6 +38,7 @@ from tallymart.sources.commits import publish_fact
 from tallymart.sources.documents import LOST
 from tallymart.sources.exports import ingest_all
 from tallymart.sources.sinks import write_dims, write_rejects, write_report
+from tallymart.sources.states import read_states
 
 
 class Mart(NamedTuple):
@@ -71,8 +72,9 @@ def build_mart(
 
     The fact is staged and its contract checked before the target is touched; with
     ``on_violation="raise"`` a violation ends the run there, ``"warn"`` goes on and reports it.  Copies of
-    equal stamp are ordered by the ``tie_break`` columns, descending.  The reports read the written
-    fact, which is published in one commit.  An incremental run loads the periods the fact does not have yet.
+    equal stamp are ordered by the ``tie_break`` columns, descending.  The fact is published in one
+    commit.  Reports merge the states of its partitions, of which only those written are computed; the rolling
+    mean and the anomalies read the rows.  An incremental run loads the periods the fact does not have yet.
     Rows of the others are kept ``"aside"``, or with ``late="merge"`` put to the stored ones: the fact is then
     as if all had been loaded at once, but that of copies of equal stamp and value the stored one stays.
     Without rows to load the result is ``None``.
@@ -170,8 +172,9 @@ def build_mart(
     lost = sum(counts[LOST] for counts in source.counts.values())
     failures = gate_failures(dq_gate(fresh, source.quarantine_rate, ghost_rate, lost_documents=lost))
     if not failures:
-        run_analytics(fact, facilities, out, hot_rows)
-        run_aggregation(fact, out)
+        states = read_states(spark, target)
+        run_analytics(fact, facilities, out, hot_rows, states)
+        run_aggregation(fact, out, states)
         write_report(
             sigma_anomalies(fact, hot_rows=hot_rows),
             f"{out}/anomalies",

@@ -687,4 +687,9 @@ def oracle_sql() -> dict[str, str]:
     sql["incremental_skipped"] = f"""
       select period, count(*) as skipped from fact where year_month < '{CUTOFF}' group by period
     """
+    for name in (
+        "mom_pct_change", "reporting_rate", "top_underreporting", "volumes_by_quarter", "completeness_comparison",
+        "coverage_matrix", "low_runs",
+    ):
+        sql[f"states_{name}"] = sql[name]  # from states or from rows, a report is the same
     return {name: f"with {VIEWS}\n{body}" for name, body in sql.items()}

@@ -13,6 +13,7 @@ each partition keeps the entry with the higher version, then run.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,7 +37,7 @@ LOG = T.StructType(
 )
 
 
-def _found(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+def found(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
@@ -47,7 +48,7 @@ def _found(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame |
 
 def log(spark: SparkSession, path: str) -> DataFrame | None:
     """All entries, or ``None`` where there is no log."""
-    return _found(spark, f"{path.rstrip('/')}/_log", LOG)
+    return found(spark, f"{path.rstrip('/')}/_log", LOG)
 
 
 def _last(entries: DataFrame) -> DataFrame:
@@ -94,6 +95,16 @@ def read_committed(spark: SparkSession, path: str) -> DataFrame | None:
     return fact.select(*FACT.names)
 
 
+def read_runs(spark: SparkSession, path: str, partitions: Sequence[tuple[str | None, str | None, str]]) -> DataFrame:
+    """Rows, with their ``run``, of these ``(health_area, year_month, run)`` alone; no other files are opened."""
+    data = f"{path.rstrip('/')}/_data"
+    schema = T.StructType([*FACT.fields, T.StructField("run", T.StringType())])
+    runs = sorted({run for *_, run in partitions})
+    rows = spark.read.schema(schema).option("basePath", data).parquet(*[f"{data}/run={run}" for run in runs])
+    keys = sorted("\u0001".join([run, *["\u0000" if c is None else c for c in names]]) for *names, run in partitions)
+    return rows.filter(_key("run", *FACT_PARTITIONS).isin(keys))
+
+
 def publish_fact(fact: DataFrame, path: str, replace: str = "partitions", ended: DataFrame | None = None) -> int:
     """Write ``fact`` and switch readers over to it; the number of the commit.
 

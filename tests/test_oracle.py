@@ -31,6 +31,7 @@ NAMES = [
     "rolling_avg_calendar_null_keys_split_groups",
     "cast_values_odd_text",
     "dq_gate",
+    "states_volumes_by_quarter",
 ]
 
 
