@@ -22,10 +22,12 @@ BROADCAST_KEYS = 100_000
 
 
 class Hot(NamedTuple):
-    """Keys with many rows: a written table with ``_hot_<key>`` columns, and how many there are."""
+    """Keys with many rows: a written table with ``_hot_<key>`` columns, how many there are, and
+    how many rows they have together."""
 
     keys: DataFrame
     count: int
+    rows: int
 
     def hinted(self, df: DataFrame) -> DataFrame:
         """A table of at most one row for each hot key, with the join hint that its size allows."""
@@ -49,9 +51,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int | None = HOT_ROWS) -
     if limit is None:
         return None
     counted = df.groupBy(*[F.col(k).alias(_hot(k)) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
-    keys_found = written(counted.filter(F.col("n") > limit).drop("n"), "hot_keys")
-    n = keys_found.count()
-    return Hot(keys_found, n) if n else None
+    found = written(counted.filter(F.col("n") > limit), "hot_keys")
+    n, rows = found.agg(F.count(F.lit(1)), F.sum("n")).first()
+    return Hot(found.drop("n"), n, rows) if n else None
 
 
 def split_hot(

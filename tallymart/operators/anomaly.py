@@ -32,8 +32,7 @@ def sigma_anomalies(
     framed = with_row_frame(
         fact.filter(value.isNotNull() & (value > 0) & ~F.col("is_missing_value")),
         ["ou_uid", "de_uid"],
-        chunk="period",
-        then=["coc_uid"],
+        order=["period", "coc_uid"],
         frame=(-(rows - 1), 0) if include_current else (-rows, -1),
         inputs=["numeric_value"],
         aggregates={

@@ -1,7 +1,7 @@
 """Sliding row frames that stay distributed when one group holds a large share of the rows.
 
 A window function puts a whole group into one task.  Groups above a measured size are therefore cut
-into chunks along the order, and each chunk gets the few rows before it that its first frames reach
+into pieces along their order, and each piece gets the few rows before it that its first frames reach
 back to.  The values equal those of the plain window: nothing is dropped or approximated.
 """
 
@@ -12,79 +12,87 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymart.functions.scratch import written
 from tallymart.functions.skew import HOT_ROWS, hot_keys, split_hot
 
+
 def with_row_frame(
     df: DataFrame,
     keys: Sequence[str],
-    chunk: str,
-    then: Sequence[str],
+    order: Sequence[str],
     frame: tuple[int, int],
     inputs: Sequence[str],
     aggregates: Mapping[str, Column],
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Add ``aggregates`` over the rows ``frame`` of each group, ordered by ``chunk`` and ``then``.
+    """Add ``aggregates`` over the rows ``frame`` of each group, by ``order``, nulls first.
 
     ``frame`` is (start, end) in rows with start < 0 and end <= 0.  ``inputs`` are the columns the
-    aggregates read.  ``chunk`` is the leading order column and the unit by which a hot group is
-    cut.  ``hot_rows`` bounds the size of a group left to one task; ``None`` skips the check.
+    aggregates read.  ``hot_rows`` bounds the size of a group left to one task; ``None`` skips the
+    check.  Rows that agree in all of ``order`` have no defined order among each other, and a larger
+    group is cut anywhere but between them.
     """
     start, end = frame
     if not start < 0 or not start <= end <= 0:
         raise ValueError("frame has to look back: start < 0 and start <= end <= 0")
-    order = [chunk, *then]
 
     def plain(rows: DataFrame, by: Sequence[str]) -> DataFrame:
         window = Window.partitionBy(*by).orderBy(*order).rowsBetween(start, end)
         return rows.withColumns({name: agg.over(window) for name, agg in aggregates.items()})
 
-    cold, hot = split_hot(df, keys, hot_keys(df, keys, hot_rows))
+    found = hot_keys(df, keys, hot_rows)
+    cold, hot = split_hot(df, keys, found)
     if hot is None:
         return plain(cold, keys)
-    return plain(cold, keys).unionByName(
-        _chunked(hot, keys, chunk, then, -start, inputs, plain)
-    )
+    pieces = _pieces(hot, keys, order, found.rows // max(hot_rows, 1) + 1)
+    halo = _halo(pieces, keys, order, -start, inputs)
+    both = pieces.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
+    framed = plain(both, [*keys, "_piece"]).filter(~F.col("_halo")).drop("_piece", "_halo")
+    return plain(cold, keys).unionByName(framed)
 
 
-def _chunked(
-    df: DataFrame,
-    keys: Sequence[str],
-    chunk: str,
-    then: Sequence[str],
-    reach: int,
-    inputs: Sequence[str],
-    plain,
+def _pieces(hot: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """The rows with a ``_piece``, one of about ``n`` numbers that rise along the order of a group.
+
+    Spark's range exchange takes its bounds from a sample of all the keys and order columns together,
+    so a group of many rows lies in many pieces, a single period of it too.  Where the bounds fall
+    decides no value.  The rows are written, since bounds sampled anew need not be the same.
+    """
+    ranged = hot.repartitionByRange(n, *keys, *order)
+    return written(ranged.withColumn("_piece", F.spark_partition_id()), "pieces")
+
+
+def _halo(
+    pieces: DataFrame, keys: Sequence[str], order: Sequence[str], reach: int, inputs: Sequence[str]
 ) -> DataFrame:
-    carried = [chunk, *then, *[c for c in inputs if c != chunk and c not in then]]
-    backwards = Window.partitionBy(*keys, chunk).orderBy(*[F.col(c).desc() for c in then])
-    # The last rows of each chunk: all that a later chunk can reach.
+    """For every piece of a group, the ``reach`` rows before it."""
+    carried = [*order, *[c for c in inputs if c not in order]]
+    backwards = Window.partitionBy(*keys, "_piece").orderBy(
+        *[F.col(c).desc_nulls_last() for c in order]
+    )
+    # The last rows of each piece: all that a later piece can reach.
     tails = (
-        df.select(*keys, *carried)
+        pieces.select(*keys, "_piece", *carried)
         .withColumn("_back", F.row_number().over(backwards))
         .filter(F.col("_back") <= reach)
-        .groupBy(*keys, chunk)
+        .groupBy(*keys, "_piece")
         .agg(
             F.reverse(
                 F.array_sort(F.collect_list(F.struct(F.col("_back"), F.struct(*carried).alias("r"))))
             ).alias("_tail")
         )
     )
-    # Every chunk has a row, so the chunks just before suffice.
-    before = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(-reach, -1)
-    reached = F.flatten(F.collect_list("_tail").over(before))
-    halo = (
-        tails.select(*keys, F.col(chunk).alias("_chunk"), reached.alias("_rows"))
+    # A piece that a group has, has a row of it, so the ``reach`` pieces just before suffice.
+    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(-reach, -1)
+    return (
+        tails.select(*keys, "_piece", F.flatten(F.collect_list("_tail").over(before)).alias("_rows"))
         .select(
             *keys,
-            "_chunk",
+            "_piece",
             F.explode(
                 F.slice("_rows", F.greatest(F.size("_rows") - reach + 1, F.lit(1)), reach)
             ).alias("_row"),
         )
-        .select(*keys, "_chunk", *[F.col(f"_row.r.{c}").alias(c) for c in carried])
+        .select(*keys, "_piece", *[F.col(f"_row.r.{c}").alias(c) for c in carried])
         .withColumn("_halo", F.lit(True))
     )
-    own = df.withColumn("_chunk", F.col(chunk)).withColumn("_halo", F.lit(False))
-    both = own.unionByName(halo, allowMissingColumns=True)
-    return plain(both, [*keys, "_chunk"]).filter(~F.col("_halo")).drop("_chunk", "_halo")

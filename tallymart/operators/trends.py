@@ -77,8 +77,7 @@ def rolling_avg(
         framed = with_row_frame(
             fact,
             keys,
-            chunk="period",
-            then=["coc_uid"],
+            order=["period", "coc_uid"],
             frame=(-(months - 1), 0),
             inputs=["numeric_value"],
             aggregates={name: F.avg("numeric_value")},

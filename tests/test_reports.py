@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import frames
 from tallymart.operators import anomaly, crosscut, trends
-from tallymart.operators.framing import with_row_frame
+from tallymart.operators.framing import _pieces, with_row_frame
 
 
 def month(i):
@@ -170,7 +170,27 @@ def test_three_sigma_needs_eleven_rows(spark):
 
 def test_frame_has_to_look_back(spark):
     with pytest.raises(ValueError):
-        with_row_frame(spark.range(1), ["id"], "id", [], (0, 0), ["id"], {"n": F.count("id")})
+        with_row_frame(spark.range(1), ["id"], ["id"], (0, 0), ["id"], {"n": F.count("id")})
+
+
+def test_a_group_with_most_rows_in_one_month_is_cut_within_it(spark):
+    # Half of all rows are of one unit, nine tenths of them in one month.
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise((F.col("id") % 300).cast("string")).alias("unit"),
+        F.when(F.col("id") % 20 < 18, F.lit("202405")).otherwise((F.col("id") % 7).cast("string")).alias("period"),
+        F.hex(F.xxhash64("id")).alias("combo"),
+        (F.col("id") % 11).cast("double").alias("value"),
+    )
+    order = ["period", "combo"]
+    pieces = _pieces(rows.filter("unit = 'hot'"), ["unit"], order, 30).filter("period = '202405'")
+    sizes = [r["count"] for r in pieces.groupBy("_piece").count().collect()]
+    assert len(sizes) >= 20 and sum(sizes) == 2700 and max(sizes) < 500
+
+    def framed(hot_rows):
+        means = {"mean": F.avg("value"), "n": F.count(F.lit(1))}
+        return frames.rows(with_row_frame(rows, ["unit"], order, (-3, 0), ["value"], means, hot_rows))
+
+    assert framed(None) == framed(100)
 
 
 def test_reporting_rate(spark):
