@@ -12,6 +12,7 @@ from tallymart.functions.casting import typed_number
 from tallymart.functions.keys import first_per_key, unique_by
 from tallymart.functions.sizing import BROADCAST_BYTES, measured_bytes
 from tallymart.functions.skew import HOT_ROWS, hot_keys, join_around, lookup_join, split_hot
+from tallymart.operators.gaps import MAX_GAP, reported_spans, with_silent_months
 from tallymart.schemas import VALUE_KEY
 
 # Fixed values.
@@ -155,13 +156,15 @@ def completeness_scores(
     strict: bool = False,
     densify: bool = False,
     broadcast_bytes: int | None = BROADCAST_BYTES,
+    max_gap: int = MAX_GAP,
 ) -> DataFrame:
     """(orgUnit, period, completeness_score): indicators reported over indicators expected.
 
     Reported are the distinct indicators with a value; expected those of the country's programmes.
     The score is capped at 1 and null where the country has no programme.  By default indicators
     outside the expected set count too; ``strict=True`` leaves them out.  ``densify=True`` adds
-    score 0 for every facility and month, from first to last, in which nothing was reported.
+    score 0 for every facility and month, from first to last, in which nothing was reported; months
+    beyond a gap of more than ``max_gap`` months, and implausible ones, stretch no span.
     """
     reported = values.filter(F.col("value").isNotNull()).select("orgUnit", "period", "dataElement")
     if strict:
@@ -171,16 +174,9 @@ def completeness_scores(
         F.countDistinct("dataElement").alias("_actual")
     )
     if densify:
-        grid = facility_months(values, facilities).select(
-            F.col("facility_uid").alias("orgUnit"),
-            "period",
-            F.lit(0).cast("bigint").alias("_actual"),
-        )
-        actual = (
-            actual.unionByName(grid)
-            .groupBy("orgUnit", "period")
-            .agg(F.max("_actual").alias("_actual"))
-        )
+        everyone = facilities.select(F.col("facility_uid").alias("orgUnit"))
+        spans = reported_spans(values, max_gap=max_gap)
+        actual = with_silent_months(actual, everyone, ["orgUnit"], spans).fillna(0, ["_actual"])
     return _join_expected(actual, programs, facilities, broadcast_bytes).select(
         "orgUnit",
         "period",
@@ -251,24 +247,6 @@ def score_in_place(values: DataFrame) -> DataFrame:
     )
 
 
-def facility_months(values: DataFrame, facilities: DataFrame) -> DataFrame:
-    """Every facility with every month between the first and the last period of ``values``.
-
-    The span comes from one aggregate; the months are generated per facility.
-    """
-    index = P.period_index(F.col("period"))
-    first, last = values.agg(F.min(index), F.max(index)).first()
-    if first is None:
-        return facilities.select("facility_uid").distinct().withColumn("period", F.lit("")).limit(0)
-    months = F.explode(F.sequence(F.lit(first), F.lit(last)))
-    return (
-        facilities.select("facility_uid")
-        .distinct()
-        .select("facility_uid", months.alias("_index"))
-        .select("facility_uid", P.period_of_index(F.col("_index")).alias("period"))
-    )
-
-
 def run_dq(
     values: DataFrame,
     programs: DataFrame,

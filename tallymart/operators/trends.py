@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tallymart.functions.periods import (
     period_index,
     period_month,
-    period_of_index,
     period_quarter,
     period_year,
 )
@@ -18,6 +17,7 @@ from tallymart.functions.scratch import written
 from tallymart.functions.sizing import BROADCAST_BYTES, sized
 from tallymart.functions.skew import HOT_ROWS, hot_keys, join_around
 from tallymart.operators.framing import with_row_frame
+from tallymart.operators.gaps import MAX_GAP, reported_spans, with_silent_months
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -121,11 +121,13 @@ def reporting_rate(
     facilities: DataFrame,
     densify: bool = False,
     broadcast_bytes: int | None = BROADCAST_BYTES,
+    max_gap: int = MAX_GAP,
 ) -> DataFrame:
     """Share of a country's facilities that reported a number, or an explicit zero, per period.
 
     A country without any report in a period has no row there; ``densify=True`` adds it with
-    rate 0, for every month from the first to the last.
+    rate 0, for every month from the first to the last; months beyond a gap of more than ``max_gap``
+    months, and implausible ones, stretch no span.
     """
     expected = facilities.groupBy("country_name").agg(
         F.countDistinct("facility_uid").alias("expected_facilities")
@@ -137,31 +139,16 @@ def reporting_rate(
         .agg(F.countDistinct("ou_uid").alias("actual_facilities"))
     )
     if densify:
-        index = period_index(F.col("period"))
-        first, last = fact.agg(F.min(index), F.max(index)).first()
-        if first is not None:
-            p = F.col("period")
-            empty = (
-                expected.select(
-                    "country_name", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("_index")
-                )
-                .withColumn("period", period_of_index(F.col("_index")))
-                .withColumns(
-                    {
-                        "year_month": p,
-                        "quarter": period_quarter(p),
-                        "year": period_year(p),
-                        "month": period_month(p),
-                        "actual_facilities": F.lit(0).cast("bigint"),
-                    }
-                )
-                .select(*by, "actual_facilities")
-            )
-            actual = (
-                actual.unionByName(empty)
-                .groupBy(*by)
-                .agg(F.max("actual_facilities").alias("actual_facilities"))
-            )
+        p = F.col("period")
+        spans = reported_spans(fact, max_gap=max_gap)
+        dense = with_silent_months(actual, expected, ["country_name"], spans)
+        calendar = {
+            "year_month": p, "quarter": period_quarter(p), "year": period_year(p), "month": period_month(p)
+        }
+        added = F.col("actual_facilities").isNull()
+        actual = dense.withColumns(
+            {c: F.when(added, made).otherwise(F.col(c)) for c, made in calendar.items()}
+        ).fillna(0, ["actual_facilities"])
     return actual.join(sized(expected, broadcast_bytes), "country_name", "left").withColumn(
         "reporting_rate_pct",
         percent(

@@ -14,6 +14,7 @@ from tallymart.operators import (
     anomaly,
     contract,
     crosscut,
+    gaps,
     hierarchy,
     incremental,
     quality,
@@ -417,6 +418,28 @@ def _scores(**options: bool) -> Query:
     return query
 
 
+def _strayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of which two months lie far off, one of them in no plausible year."""
+    p = F.col("period")
+    off = F.when(p == "199503", "999912").when(p == "199504", "198001").otherwise(p)
+    return latest(spark, sf_dir).withColumn("period", off)
+
+
+def completeness_dense_stray(spark: SparkSession, sf_dir: str) -> DataFrame:
+    units = facilities(spark, sf_dir)
+    return quality.completeness_scores(
+        _strayed(spark, sf_dir), programs(spark, sf_dir), units, densify=True
+    )
+
+
+def silent_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gaps.silent_runs(latest(spark, sf_dir), facilities(spark, sf_dir))
+
+
+def silent_runs_stray(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gaps.silent_runs(_strayed(spark, sf_dir), facilities(spark, sf_dir))
+
+
 def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rates from one aggregate each: of the rows with gaps, and of the rows by status of their keys."""
     gaps = documents.missing_reason(exports.DATA_VALUES.critical)
@@ -669,6 +692,9 @@ def queries() -> dict[str, Query]:
         "completeness": _scores(),
         "completeness_strict": _scores(strict=True),
         "completeness_dense": _scores(densify=True),
+        "completeness_dense_stray": completeness_dense_stray,
+        "silent_runs": silent_runs,
+        "silent_runs_stray": silent_runs_stray,
         "dq_gate": dq_gate,
         "dim_element": dim_element,
         "dim_unit": dim_unit,

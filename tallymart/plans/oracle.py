@@ -200,6 +200,41 @@ _MONTH_SPAN = """
 """
 
 
+_STRAYED = """
+  (select * replace (case period when '199503' then '999912' when '199504' then '198001'
+                     else period end as period) from flagged)
+"""
+
+
+def _spans(table: str) -> str:
+    """Facilities and months (``i`` the index) of the spans of a table, as ``grid``."""
+    return f"""
+      strayed as (select * from {table}),
+      stretches as (
+        select min(i) as f, max(i) as l from (
+          select *, sum(case when i - before <= 25 then 0 else 1 end) over (order by i) as g from (
+            select i, lag(i) over (order by i) as before from (
+              select distinct {_index()} as i from strayed where period between '190001' and '210012')))
+        group by g),
+      grid as (
+        select *, lpad(cast(i // 12 as varchar), 4, '0') || lpad(cast(i % 12 + 1 as varchar), 2, '0') as period
+        from (select facility_uid, country_name, unnest(range(f, l + 1)) as i from facilities, stretches))
+    """
+
+
+def _silent_runs(table: str) -> str:
+    return f"""
+      select facility_uid, min(period) as first_period, max(period) as last_period,
+             cast(count(*) as int) as months
+      from (with {_spans(table)}
+            select *, i - row_number() over (partition by facility_uid order by i) as island
+            from grid g where not exists (
+              select 1 from strayed s where s."orgUnit" = g.facility_uid and s.period = g.period
+                and s.value is not null))
+      group by facility_uid, island
+    """
+
+
 def _mom(gap_aware: bool) -> str:
     lag = "lag(total_value) over w"
     if gap_aware:
@@ -566,6 +601,24 @@ def oracle_sql() -> dict[str, str]:
           left join expected x on x.country = u.country_name
           left join scores s on s."orgUnit" = u.facility_uid and s.period = m.period
         """,
+        "completeness_dense_stray": f"""
+          select coalesce(g.facility_uid, s."orgUnit") as "orgUnit",
+                 coalesce(g.period, s.period) as period,
+                 case when x.expected_count > 0 then coalesce(s.completeness_score, 0.0)
+                   else s.completeness_score end as completeness_score
+          from (with {_spans(_STRAYED)} select * from grid) g
+          full join (
+            select f."orgUnit", f.period,
+                   case when any_value(x.expected_count) > 0 then
+                     least(cast(count(distinct f."dataElement") as double)
+                           / cast(any_value(x.expected_count) as double), 1.0) end as completeness_score
+            from {_STRAYED} f left join expected x on x.country = f.country_name
+            where f.value is not null group by f."orgUnit", f.period) s
+          on s."orgUnit" = g.facility_uid and s.period = g.period
+          left join expected x on x.country = g.country_name
+        """,
+        "silent_runs": _silent_runs("flagged"),
+        "silent_runs_stray": _silent_runs(_STRAYED),
         "dq_gate": """
           select 'quarantine_rate' as check_name, q.n as observed, 0.1::double as threshold,
                  q.n <= 0.1 as passed from (

@@ -18,6 +18,8 @@ NAMES = [
     "ingest_split_documents",
     "resolve_rejects",
     "completeness_dense",
+    "completeness_dense_stray",
+    "silent_runs_stray",
     "fact_split_groups",
     "mom_pct_change_gap_aware",
     "rolling_avg_split_groups",
