@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from tallymart.operators import (
     states,
     trends,
 )
-from tallymart.plans import fixture
+from tallymart.plans import fixture, reports
 from tallymart.plans.oracle import CUTOFF
 from tallymart.functions.casting import typed_number
 from tallymart.functions.scratch import scratch_path, written
@@ -561,6 +562,65 @@ def report_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(report.schema).csv(path, header=True)
 
 
+def _together(tables: dict[str, DataFrame]) -> DataFrame:
+    """All rows of all tables by name of column, with the table's name in ``report``."""
+    named = [df.withColumn("report", F.lit(name)) for name, df in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+
+
+def dims_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the four dimensions' files."""
+    dims = {
+        "dim_element": dim_element(spark, sf_dir),
+        "dim_unit": dim_unit(spark, sf_dir),
+        "dim_period": dim_period(spark, sf_dir),
+        "dim_program": dim_program(spark, sf_dir),
+    }
+    out = scratch_path(spark, "dims")
+    sinks.write_dims(dims, out)
+    return _together({name: spark.read.parquet(f"{out}/{name}") for name in dims})
+
+
+def analytics_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the files of all programme reports, from one run over the fact."""
+    out, rows, units = scratch_path(spark, "mart"), written(fact(spark, sf_dir), "fact"), facilities(spark, sf_dir)
+    reports.run_analytics(rows, units, out)
+    none = rows.limit(0)
+    alike = {
+        "mom_pct_change": trends.mom_pct_change(none),
+        "rolling_avg_3m": trends.rolling_avg(none, hot_rows=None),
+        "reporting_rate": trends.reporting_rate(none, units),
+        "top5_underreporting": trends.top_underreporting(none),
+    }
+    return _read_reports(spark, f"{out}/analytics", alike)
+
+
+def aggregation_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the files of all reports across countries, from one run over the fact."""
+    out, rows = scratch_path(spark, "mart"), written(fact(spark, sf_dir), "fact")
+    reports.run_aggregation(rows, out)
+    none = rows.limit(0)
+    alike = {
+        "volumes_by_quarter": crosscut.volumes_by_quarter(none),
+        "completeness_comparison": crosscut.completeness_comparison(none),
+        "coverage_matrix": crosscut.coverage_matrix(none, _countries(spark, sf_dir)),
+        "low_completeness_countries": crosscut.low_runs(none),
+    }
+    return _read_reports(spark, f"{out}/cross_country", alike)
+
+
+def _read_reports(spark: SparkSession, folder: str, alike: dict[str, DataFrame]) -> DataFrame:
+    """The reports below a folder; a header that does not name the columns expected is an error."""
+    return _together(
+        {
+            name: spark.read.schema(df.schema).csv(
+                f"{folder}/{name}", header=True, escape='"', enforceSchema=False
+            )
+            for name, df in alike.items()
+        }
+    )
+
+
 def rejects_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested columns come back as JSON text."""
     path = scratch_path(spark, "rejects")
@@ -739,6 +799,9 @@ def queries() -> dict[str, Query]:
         ),
         "fact_roundtrip": fact_roundtrip,
         "report_csv_roundtrip": report_csv_roundtrip,
+        "dims_written": dims_written,
+        "analytics_written": analytics_written,
+        "aggregation_written": aggregation_written,
         "rejects_csv_roundtrip": rejects_csv_roundtrip,
         "loaded_partitions": loaded_partitions,
         "commit_log": commit_log,

@@ -351,6 +351,12 @@ def _anomalies(sigmas: float, include_current: bool = True) -> str:
     """
 
 
+def _together(queries: dict[str, str]) -> str:
+    return " union all by name ".join(
+        f"select '{name}' as report, * from ({query})" for name, query in queries.items()
+    )
+
+
 def _matrix() -> str:
     names = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
     cells = ", ".join(
@@ -745,4 +751,21 @@ def oracle_sql() -> dict[str, str]:
         "coverage_matrix", "low_runs",
     ):
         sql[f"states_{name}"] = sql[name]  # from states or from rows, a report is the same
+    sql["dims_written"] = _together({d: sql[d] for d in ("dim_element", "dim_unit", "dim_period", "dim_program")})
+    sql["analytics_written"] = _together(
+        {
+            "mom_pct_change": sql["mom_pct_change"],
+            "rolling_avg_3m": sql["rolling_avg_3m"],
+            "reporting_rate": sql["reporting_rate"],
+            "top5_underreporting": sql["top_underreporting"],
+        }
+    )
+    sql["aggregation_written"] = _together(
+        {
+            "volumes_by_quarter": sql["volumes_by_quarter"],
+            "completeness_comparison": sql["completeness_comparison"],
+            "coverage_matrix": sql["coverage_matrix"],
+            "low_completeness_countries": _runs(0.8),
+        }
+    )
     return {name: f"with {VIEWS}\n{body}" for name, body in sql.items()}

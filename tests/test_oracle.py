@@ -32,6 +32,9 @@ NAMES = [
     "fact_null_periods_split_groups",
     "rolling_avg_calendar_null_keys_split_groups",
     "cast_values_odd_text",
+    "dims_written",
+    "analytics_written",
+    "aggregation_written",
     "dq_gate",
     "states_volumes_by_quarter",
 ]
