@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -252,8 +252,13 @@ def contract_checks(
     ``violations`` is the number of rows, or 1 for a rule about the schema.  A rule that cannot be
     evaluated has null in ``violations`` and ``passed``; it is not a pass.
     """
-    rules = contract_rules(df, contract, strict_columns)
-    measures, rows = [], []
+    measures, rows = _measured(contract_rules(df, contract, strict_columns))
+    return df.agg(*measures).select(F.inline(F.array(*rows)))
+
+
+def _measured(rules: list[Rule]) -> tuple[list[Column], list[Column]]:
+    """(aggregates over the data, a row for each rule from their results)."""
+    measures, rows = [F.count(F.lit(1)).alias("_rows")], []
     for i, rule in enumerate(rules):
         detail = rule.detail
         if rule.violated is None:
@@ -276,15 +281,47 @@ def contract_checks(
                 F.when(count.isNull() | (count > 0), detail).alias("detail"),
             )
         )
-    counted = df.agg(F.count(F.lit(1)).alias("_rows"), *measures)
-    return counted.select(F.inline(F.array(*rows)))
+    return measures, rows
+
+
+class ObservedContract:
+    """A contract counted in a write that happens anyway.
+
+    Write ``rows``, once, and ask for ``checks()`` or ``report()`` afterwards: the rules have seen every
+    row that the write did, and no job reads the data again.  ``rows`` has to go straight into the write,
+    since a shuffle in between could run, and count, a lost task's rows twice.
+    """
+
+    def __init__(self, df: DataFrame, contract: Mapping[str, Any], strict_columns: bool = False):
+        self._measures, self._rules = _measured(contract_rules(df, contract, strict_columns))
+        self._seen = Observation()
+        self._none = df.sparkSession.createDataFrame([], df.schema).agg(*self._measures)
+        self.rows = df.observe(self._seen, *self._measures)
+
+    def counts(self) -> dict[str, Any]:
+        """The aggregates' results, ``_rows`` among them; waits for the write."""
+        # A plan known to be empty counts nothing.
+        return self._seen.get or self._none.first().asDict()
+
+    def checks(self) -> DataFrame:
+        """As :func:`contract_checks`."""
+        counted = self._none.sparkSession.createDataFrame([self.counts()], self._none.schema)
+        return counted.select(F.inline(F.array(*self._rules)))
+
+    def report(self) -> ContractReport:
+        """As :func:`validate_contract`."""
+        return _report(self.checks())
 
 
 def validate_contract(
     df: DataFrame, contract: Mapping[str, Any], strict_columns: bool = False
 ) -> ContractReport:
     """Report of the violated rules.  Never raises over data."""
-    broken = contract_checks(df, contract, strict_columns).filter(~F.coalesce("passed", F.lit(False))).collect()
+    return _report(contract_checks(df, contract, strict_columns))
+
+
+def _report(checks: DataFrame) -> ContractReport:
+    broken = checks.filter(~F.coalesce("passed", F.lit(False))).collect()
     return ContractReport(
         [
             f"{r.rule_name}"

@@ -546,6 +546,13 @@ def contract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.contract_checks(fact(spark, sf_dir), FIXTURE_CONTRACT)
 
 
+def contract_report_in_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted while the fact is written."""
+    counted = contract.ObservedContract(fact(spark, sf_dir), FIXTURE_CONTRACT)
+    written(counted.rows, "fact")
+    return counted.checks()
+
+
 # --- sinks and increments ---------------------------------------------------------------------
 
 
@@ -789,6 +796,7 @@ def queries() -> dict[str, Query]:
             crosscut.low_runs, threshold=0.33, weight=crosscut.BY_FACILITY
         ),
         "contract_report": contract_report,
+        "contract_report_in_write": contract_report_in_write,
         "sigma_anomalies_3": _on_fact(anomaly.sigma_anomalies),
         "sigma_anomalies_2_5": _on_fact(anomaly.sigma_anomalies, sigmas=2.5),
         "sigma_anomalies_excluding_current": _on_fact(

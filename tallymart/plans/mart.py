@@ -15,7 +15,7 @@ from tallymart.operators.contract import (
     FACT_CONTRACT,
     ContractReport,
     ContractViolation,
-    validate_contract,
+    ObservedContract,
 )
 from tallymart.operators.hierarchy import enrich_with_hierarchy, flatten_hierarchy
 from tallymart.operators.incremental import (
@@ -70,7 +70,7 @@ def build_mart(
 ) -> Mart | None:
     """Ingest, resolve, enrich, score, write the star schema, check it, and write the reports.
 
-    The fact is staged and its contract checked before the target is touched; with
+    The fact is staged, and its contract counted as it is, before the target is touched; with
     ``on_violation="raise"`` a violation ends the run there, ``"warn"`` goes on and reports it.  Copies of
     equal stamp are ordered by the ``tie_break`` columns, descending.  The fact is published in one
     commit.  Reports merge the states of its partitions, of which only those written are computed; the rolling
@@ -133,8 +133,9 @@ def build_mart(
     # Ancestors' names are attached after the shuffle of the values, which need not carry them.
     named = enrich_with_hierarchy(flagged, facilities)
     built = build_fact(named, source.programs, unique_input=True)
-    built = _landed(built, f"{staging}/fact")
-    report = validate_contract(built, contract)
+    checked = ObservedContract(built, contract)
+    built = _landed(checked.rows, f"{staging}/fact")
+    report = checked.report()
     if on_violation == "raise" and not report.passed:
         raise ContractViolation(str(report))
     if is_incremental and loaded is not None:

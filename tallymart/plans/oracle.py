@@ -751,6 +751,7 @@ def oracle_sql() -> dict[str, str]:
         "coverage_matrix", "low_runs",
     ):
         sql[f"states_{name}"] = sql[name]  # from states or from rows, a report is the same
+    sql["contract_report_in_write"] = sql["contract_report"]
     sql["dims_written"] = _together({d: sql[d] for d in ("dim_element", "dim_unit", "dim_period", "dim_program")})
     sql["analytics_written"] = _together(
         {

@@ -5,6 +5,7 @@ import frames
 from tallymart.operators.contract import (
     FACT_CONTRACT,
     ContractViolation,
+    ObservedContract,
     assert_contract,
     contract_checks,
     validate_contract,
@@ -105,3 +106,33 @@ def test_a_rule_without_a_condition_is_no_pass(spark):
     assert (row.violations, row.passed) == (None, None) and row.detail.startswith("not evaluated")
     report = validate_contract(spark.createDataFrame([(1,)], "a int"), contract)
     assert not report.passed
+
+
+@pytest.mark.parametrize("n", [0, 1, 50])
+def test_counted_in_the_write_as_from_the_rows(spark, tmp_path, n):
+    changes = [{"month": i % 15, "health_area": "HIV" if i % 2 else "x", "de_uid": None} for i in range(n)]
+    rules = {
+        "columns": {**FACT_CONTRACT["columns"], "gone": {"type": "string"}},
+        "checks": [*FACT_CONTRACT["checks"], {"name": "vague", "type": "custom"}],
+    }
+    fact = frames.fact(spark, *changes).repartition(3)
+    counted = ObservedContract(fact, rules)
+    counted.rows.write.parquet(str(tmp_path / "fact"))
+    assert counted.counts()["_rows"] == n
+    assert frames.rows(counted.checks()) == frames.rows(contract_checks(fact, rules))
+    assert counted.report().violations == validate_contract(fact, rules).violations
+
+
+def test_a_plan_known_to_be_empty_is_counted_too(spark, tmp_path):
+    fact = frames.fact(spark, {})
+    empty = fact.filter("1 = 0")
+    counted = ObservedContract(empty, FACT_CONTRACT)
+    counted.rows.write.parquet(str(tmp_path / "fact"))
+    assert frames.rows(counted.checks()) == frames.rows(contract_checks(empty, FACT_CONTRACT))
+
+
+def test_the_report_reads_no_written_row(spark, tmp_path):
+    counted = ObservedContract(frames.fact(spark, {"month": 99}), FACT_CONTRACT)
+    counted.rows.write.parquet(str(tmp_path / "fact"))
+    plan = counted.checks()._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation" not in plan.replace("LocalRelation", "") and not counted.report().passed

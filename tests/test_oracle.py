@@ -26,6 +26,7 @@ NAMES = [
     "coverage_matrix",
     "low_runs_gap_aware",
     "contract_report",
+    "contract_report_in_write",
     "incremental_union",
     "incremental_skipped",
     "filter_new_by_area",
