@@ -248,3 +248,14 @@ def test_elements_across_the_borders_of_blocks(spark, tmp_path, block):
     assert mine == frames.rows(whole.filter("status <> 'lost'"), *columns) and len(mine) > 20
     lost = {r.source: len(r.lost_text) for r in whole.filter("status = 'lost'").collect()}
     assert texts == lost
+
+
+def test_rows_of_a_document_do_not_carry_the_parsed_document(spark, tmp_path):
+    items = [{"id": f"U{i}", "name": "n" * 500, "level": 4} for i in range(300)]
+    (tmp_path / "units.json").write_text(json.dumps({"organisationUnits": items}) + "\n" + '{"version": "1"}\n')
+    tagged = exports.tagged_export(spark, exports.ORG_UNITS, str(tmp_path / "units.json"), "line")
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    generates = [line for line in plan.splitlines() if "Generate " in line]
+    assert generates and not [line for line in generates if "[document#" in line]
+    found = {(r.status, r.id, r.lost_text) for r in tagged.collect()}
+    assert found == {("clean", i["id"], None) for i in items} | {("lost", None, '{"version": "1"}')}
