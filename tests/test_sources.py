@@ -259,3 +259,11 @@ def test_rows_of_a_document_do_not_carry_the_parsed_document(spark, tmp_path):
     assert generates and not [line for line in generates if "[document#" in line]
     found = {(r.status, r.id, r.lost_text) for r in tagged.collect()}
     assert found == {("clean", i["id"], None) for i in items} | {("lost", None, '{"version": "1"}')}
+
+
+def test_split_documents_are_not_scanned_again_for_each_kind_of_row(spark, tmp_path):
+    write(tmp_path / "values.json", json.dumps({"dataValues": [{**VALUE, "detail": {"a": [{}]}}, None, VALUE]}))
+    tagged = exports.tagged_export(spark, exports.DATA_VALUES, str(tmp_path / "values.json"), "split")
+    assert frames.rows(tagged, "status") == [("clean",), ("clean",), ("rejected",)]
+    plan = tagged._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
