@@ -13,7 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.functions.scratch import written
-from tallymart.functions.skew import HOT_ROWS, hot_keys, split_hot
+from tallymart.functions.skew import BROADCAST_KEYS, HOT_ROWS, hot_keys, split_hot
+
+#: Rows of a range of hot groups, at the least.
+RANGE_ROWS = 200_000
 
 
 def with_row_frame(
@@ -41,25 +44,37 @@ def with_row_frame(
         return rows.withColumns({name: agg.over(window) for name, agg in aggregates.items()})
 
     found = hot_keys(df, keys, hot_rows)
-    cold, hot = split_hot(df, keys, found)
-    if hot is None:
-        return plain(cold, keys)
-    pieces = _pieces(hot, keys, order, found.rows // max(hot_rows, 1) + 1)
+    if found is None:
+        return plain(df, keys)
+    # Where very many groups are hot, all are cut alike: telling them apart would take a sort of all rows.
+    many = found.count > BROADCAST_KEYS
+    cold, hot = (None, df) if many else split_hot(df, keys, found)
+    size = max(hot_rows, 1)
+    pieces = _pieces(hot, keys, order, (df.count() if many else found.rows) // max(size, RANGE_ROWS) + 1, size)
     halo = _halo(pieces, keys, order, -start, inputs)
     both = pieces.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
     framed = plain(both, [*keys, "_piece"]).filter(~F.col("_halo")).drop("_piece", "_halo")
-    return plain(cold, keys).unionByName(framed)
+    return framed if cold is None else plain(cold, keys).unionByName(framed)
 
 
-def _pieces(hot: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
-    """The rows with a ``_piece``, one of about ``n`` numbers that rise along the order of a group.
+def _pieces(
+    hot: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, piece_rows: int | None = None
+) -> DataFrame:
+    """The rows with a ``_piece``, numbers that rise along the order of a group.
 
-    Spark's range exchange takes its bounds from a sample of all the keys and order columns together,
-    so a group of many rows lies in many pieces, a single period of it too.  Where the bounds fall
-    decides no value.  The rows are written, since bounds sampled anew need not be the same.
+    Rows are put in about ``n`` ranges.  Spark's range exchange takes its bounds from a sample of all the keys and order columns together,
+    so a group of many rows lies in many ranges, a single period of it too.  Where the bounds fall
+    decides no value.  With ``piece_rows`` a range may hold many groups: each is cut further by rank, ties together,
+    so that the tasks grow with the rows and not with the number of pieces.  The rows are written, since bounds
+    sampled anew need not be the same.
     """
     ranged = hot.repartitionByRange(n, *keys, *order)
-    return written(ranged.withColumn("_piece", F.spark_partition_id()), "pieces")
+    if piece_rows is None:
+        return written(ranged.withColumn("_piece", F.spark_partition_id()), "pieces")
+    ranged = ranged.withColumn("_range", F.spark_partition_id())
+    place = F.rank().over(Window.partitionBy(*keys, "_range").orderBy(*order)) - 1
+    piece = F.col("_range").cast("long") * 2**32 + F.floor(place / F.lit(piece_rows)).cast("long")
+    return written(ranged.withColumn("_piece", piece).drop("_range"), "pieces")
 
 
 def _halo(

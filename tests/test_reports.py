@@ -288,3 +288,16 @@ def test_runs(spark):
     assert runs([0, 1, 3]) == [(month(0), month(3), 3, 0.5)]
     assert runs([0, 1, 3], gap_aware=True) == []
     assert runs([39, 41, 42, 43]) == [(month(41), month(43), 3, 0.5)]
+
+
+def test_tasks_of_cut_groups_do_not_grow_with_the_pieces(spark):
+    rows = spark.range(4000).select(
+        (F.col("id") % 40).alias("unit"), F.col("id").alias("at"), (F.col("id") % 7).cast("double").alias("value")
+    )
+
+    def framed(hot_rows):
+        return with_row_frame(rows, ["unit"], ["at"], (-3, 0), ["value"], {"mean": F.avg("value")}, hot_rows)
+
+    found = framed(5)
+    assert len([f for f in found.inputFiles() if "/pieces/" in f]) < 40  # 800 pieces
+    assert frames.rows(found) == frames.rows(framed(None))
