@@ -11,12 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymart.functions.keys import first_per_key
 from tallymart.functions.scratch import written
 from tallymart.functions.sizing import BROADCAST_BYTES, sized
 from tallymart.functions.skew import HOT_ROWS, lookup_join
-from tallymart.operators.quality import completeness
-from tallymart.schemas import FACT, FACT_KEY, FACT_PARTITIONS
+from tallymart.operators.quality import settled
+from tallymart.schemas import FACT, FACT_PARTITIONS
 from tallymart.sources.commits import live, log, read_committed
 
 
@@ -78,6 +77,8 @@ def filter_new(
     ``on=[("health_area", "health_area"), ("period", "year_month")]`` and values with an area.
     """
     keys = loaded.select(*[F.col(theirs).alias(f"_loaded_{theirs}") for _, theirs in on]).distinct()
+    # Written, since it is measured and joined: ``loaded`` may be dear.
+    keys = written(keys, "loaded")
     pairs = [(ours, f"_loaded_{theirs}") for ours, theirs in on]
     return lookup_join(values, keys, pairs, "left_anti", bound=broadcast_bytes)
 
@@ -92,9 +93,10 @@ def load_incremental(
 
     Write the result with ``publish_fact(..., replace="partitions")``: the default replaces only
     the partitions written, so what was loaded earlier stays.  The other rows may be late ones and corrections:
-    :func:`merge_late` puts them to the stored ones.
+    :func:`merge_late` puts them to the stored ones.  What counts as loaded is written down here, so both sets stay
+    as they are once the increment is in the fact.
     """
-    loaded = loaded_partitions(spark, fact_path)
+    loaded = written(loaded_partitions(spark, fact_path), "loaded")
     if loaded.isEmpty():
         return Increment(values, False, values.limit(0))
     periods = loaded.select(F.col("year_month").alias("_loaded_year_month")).distinct()
@@ -137,9 +139,13 @@ def merge_late(
     old = stored.filter(wanted | F.col("year_month").isNull() if None in months else wanted)
     both = old.withColumn("_late", F.lit(0)).unionByName(late.select(*FACT.names).withColumn("_late", F.lit(1)))
     order = [F.desc_nulls_last("last_updated"), *tie_break, F.asc("_late")]
-    names = {"ou_uid": "orgUnit", "de_uid": "dataElement", "raw_value": "value"}
-    rows = first_per_key(both, FACT_KEY, order).drop("_late", "completeness_score").withColumnsRenamed(names)
-    rows = completeness(rows, programs, facilities, strict=strict, hot_rows=hot_rows)
+    names = {"ou_uid": "orgUnit", "de_uid": "dataElement", "coc_uid": "categoryOptionCombo", "raw_value": "value"}
+    # Copies and scores meet by unit and period, in one shuffle of these rows.
+    rows = settled(
+        both.drop("completeness_score").withColumnsRenamed(names).withColumns({c: F.col(n) for c, n in names.items()}),
+        programs, facilities, order, strict=strict, hot_rows=hot_rows,
+    )
+    rows = rows.drop(*names)
     merged = written(rows.withColumnsRenamed({new: name for name, new in names.items()}).select(*FACT.names), "merged")
 
     before = _signatures(old).select(*[F.col(c).alias(f"_{c}") for c in (*FACT_PARTITIONS, "n", "a", "b")])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallymart.functions import periods as P
 from tallymart.functions.casting import typed_number
 from tallymart.functions.keys import first_per_key, unique_by
+from tallymart.functions.scratch import written
 from tallymart.functions.sizing import BROADCAST_BYTES, measured_bytes
 from tallymart.functions.skew import HOT_ROWS, hot_keys, join_around, lookup_join, split_hot
 from tallymart.operators.gaps import MAX_GAP, reported_spans, with_silent_months
@@ -228,13 +229,15 @@ def score_in_place(values: DataFrame) -> DataFrame:
     partitioned by unit and period.
 
     A window instead of a join with an aggregate of the same rows: no further shuffle, but the
-    rows of a unit and period are in one task.  Of the rows of an indicator the first with a value
+    rows of a unit and period are in one task.  Of the rows of an indicator with a value the first
     is marked, and the marks are summed, so the work is linear in the rows.
     """
     there = Window.partitionBy("orgUnit", "period")
     has_value = F.col("value").isNotNull()
-    of_indicator = Window.partitionBy("orgUnit", "period", "expected_element").orderBy(has_value.desc())
-    mark = has_value & F.col("expected_element").isNotNull() & (F.row_number().over(of_indicator) == 1)
+    # Ordered by what the deduplication sorted by, so the rows are not sorted again.
+    of_indicator = Window.partitionBy("orgUnit", "period", "dataElement")
+    first = F.row_number().over(of_indicator.orderBy("categoryOptionCombo")) == 1
+    mark = first & F.max(has_value).over(of_indicator) & F.col("expected_element").isNotNull()
     # Nothing reported at all gives no score, as it gives no row to the aggregate.
     return (
         values.withColumn("_mark", mark.cast("int"))
@@ -264,25 +267,50 @@ def run_dq(
     another way: copies are reduced before their shuffle, and the score is aggregated and joined.
     They are counted in ``counted``, if given: rows that include ``values`` and are cheaper to scan.
     """
+    return settled(
+        values,
+        programs,
+        facilities,
+        [F.col("lastUpdated").desc_nulls_last(), *tie_break],
+        lambda rows: rows.transform(cast_values).transform(add_dq_flags),
+        strict,
+        hot_rows,
+        counted,
+        broadcast_bytes,
+    )
+
+
+def settled(
+    values: DataFrame,
+    programs: DataFrame,
+    facilities: DataFrame,
+    order: Sequence[Column],
+    prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    strict: bool = False,
+    hot_rows: int | None = HOT_ROWS,
+    counted: DataFrame | None = None,
+    broadcast_bytes: int | None = BROADCAST_BYTES,
+) -> DataFrame:
+    """The first row of each natural key under ``order``, what ``prepare`` adds to it, and the score.
+
+    As in :func:`run_dq`: one shuffle by unit and period.  Of the hot ones the rows left by the deduplication are
+    written, since they are counted, aggregated and joined.
+    """
     place = ["orgUnit", "period"]
 
     def together(rows: DataFrame) -> DataFrame:
         return (
             rows.transform(with_expected, programs, facilities, strict, broadcast_bytes)
             .repartition(*place)
-            .transform(
-                dedup_latest, tie_break, keys=[*place, "dataElement", "categoryOptionCombo"]
-            )
-            .transform(cast_values)
-            .transform(add_dq_flags)
+            .transform(first_per_key, [*place, "dataElement", "categoryOptionCombo"], order)
+            .transform(prepare)
             .transform(score_in_place)
         )
 
     def spread(rows: DataFrame) -> DataFrame:
         return (
-            rows.transform(dedup_latest, tie_break)
-            .transform(cast_values)
-            .transform(add_dq_flags)
+            written(first_per_key(rows, VALUE_KEY, order), "hot_rows")
+            .transform(prepare)
             .transform(completeness, programs, facilities, strict, hot_rows, broadcast_bytes)
         )
 
