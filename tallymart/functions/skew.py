@@ -19,6 +19,8 @@ from tallymart.functions.sizing import BROADCAST_BYTES, measured_bytes
 HOT_ROWS = 1_000_000
 #: Hot keys up to which they, and a lookup row for each, are broadcast.
 BROADCAST_KEYS = 100_000
+#: Buckets that many-valued keys are counted in first, and the limit from which that pays.
+BUCKETS, BUCKETS_FROM = 1 << 14, 100_000
 
 
 class Hot(NamedTuple):
@@ -42,16 +44,29 @@ def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], limit: int | None = HOT_ROWS) -> Hot | None:
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], limit: int | None = HOT_ROWS, most: int | None = None, many: bool = False
+) -> Hot | None:
     """Keys with more than ``limit`` rows, or ``None`` if there are none.
 
-    There are at most rows / limit of them.  Counting is one pass over the key columns, reduced on
-    the map side, whose result is written; ``limit=None`` skips it.
+    There are at most rows / limit of them; ``most`` keeps that many of the largest.  Counting is one pass over the
+    key columns, reduced on the map side, whose result is written; ``limit=None`` skips it.  With ``many``, for keys
+    which are nearly as many as the rows, buckets of keys are counted before: a key above the limit lies in such a
+    bucket, so keys are shuffled only where there are any.
     """
     if limit is None:
         return None
+    if many and limit >= BUCKETS_FROM:
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+        full = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit)
+        buckets = [r.b for r in full.collect()]
+        if not buckets:
+            return None
+        df = df.filter(bucket.isin(buckets))
     counted = df.groupBy(*[F.col(k).alias(_hot(k)) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
     found = written(counted.filter(F.col("n") > limit), "hot_keys")
+    if most is not None and found.count() > most:
+        found = written(found.orderBy(F.desc("n")).limit(most), "hot_keys")
     n, rows = found.agg(F.count(F.lit(1)), F.sum("n")).first()
     return Hot(found.drop("n"), n, rows) if n else None
 

@@ -43,7 +43,7 @@ def with_row_frame(
         window = Window.partitionBy(*by).orderBy(*order).rowsBetween(start, end)
         return rows.withColumns({name: agg.over(window) for name, agg in aggregates.items()})
 
-    found = hot_keys(df, keys, hot_rows)
+    found = hot_keys(df, keys, hot_rows, many=True)
     if found is None:
         return plain(df, keys)
     # Where very many groups are hot, all are cut alike: telling them apart would take a sort of all rows.

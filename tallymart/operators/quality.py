@@ -12,7 +12,7 @@ from tallymart.functions.casting import typed_number
 from tallymart.functions.keys import first_per_key, unique_by
 from tallymart.functions.scratch import written
 from tallymart.functions.sizing import BROADCAST_BYTES, measured_bytes
-from tallymart.functions.skew import HOT_ROWS, hot_keys, join_around, lookup_join, split_hot
+from tallymart.functions.skew import BROADCAST_KEYS, HOT_ROWS, Hot, hot_keys, join_around, lookup_join, split_hot
 from tallymart.operators.gaps import MAX_GAP, reported_spans, with_silent_months
 from tallymart.schemas import VALUE_KEY
 
@@ -192,19 +192,25 @@ def completeness(
     strict: bool = False,
     hot_rows: int | None = HOT_ROWS,
     broadcast_bytes: int | None = BROADCAST_BYTES,
+    only: Hot | None = None,
 ) -> DataFrame:
     """Value rows with the ``completeness_score`` of their unit and period.
 
     The score side is one row per unit and period.  Units and periods with more than ``hot_rows``
-    rows are joined by broadcasting their few scores, the others as Spark sees fit.
+    rows are joined by broadcasting their few scores, the others as Spark sees fit.  ``only`` are those that
+    ``values`` have rows of, where these are known: then nothing is counted, and all scores are joined alike.
     """
     place = ["orgUnit", "period"]
     scores = completeness_scores(
         values, programs, facilities, strict=strict, broadcast_bytes=broadcast_bytes
     ).withColumnsRenamed({k: f"_{k}" for k in place})
-    hot = hot_keys(values, place, hot_rows)
     on = [(k, f"_{k}") for k in place]
-    return join_around(values, scores, on, hot, null_safe=True).drop(*[f"_{k}" for k in place])
+    if only is not None:
+        same = [F.col(k).eqNullSafe(F.col(theirs)) for k, theirs in on]
+        joined = values.join(only.hinted(scores), same[0] & same[1], "left")
+    else:
+        joined = join_around(values, scores, on, hot_keys(values, place, hot_rows), null_safe=True)
+    return joined.drop(*[f"_{k}" for k in place])
 
 
 def with_expected(
@@ -229,24 +235,22 @@ def score_in_place(values: DataFrame) -> DataFrame:
     partitioned by unit and period.
 
     A window instead of a join with an aggregate of the same rows: no further shuffle, but the
-    rows of a unit and period are in one task.  Of the rows of an indicator with a value the first
-    is marked, and the marks are summed, so the work is linear in the rows.
+    rows of a unit and period are in one task.  Indicators with a value are kept in a set, which has as many as
+    there are indicators at most, so the work is linear in the rows.
     """
     there = Window.partitionBy("orgUnit", "period")
     has_value = F.col("value").isNotNull()
-    # Ordered by what the deduplication sorted by, so the rows are not sorted again.
-    of_indicator = Window.partitionBy("orgUnit", "period", "dataElement")
-    first = F.row_number().over(of_indicator.orderBy("categoryOptionCombo")) == 1
-    mark = first & F.max(has_value).over(of_indicator) & F.col("expected_element").isNotNull()
+    of_value = F.when(has_value, F.col("expected_element"))
     # Nothing reported at all gives no score, as it gives no row to the aggregate.
     return (
-        values.withColumn("_mark", mark.cast("int"))
-        .withColumns({"_any": F.max(has_value).over(there), "_actual": F.sum("_mark").over(there)})
+        values.withColumns(
+            {"_any": F.max(has_value).over(there), "_actual": F.size(F.collect_set(of_value).over(there))}
+        )
         .withColumn(
             "completeness_score",
             F.when(F.col("_any"), _score(F.col("_actual"), F.col("expected_count"))),
         )
-        .drop("expected_count", "expected_element", "_mark", "_any", "_actual")
+        .drop("expected_count", "expected_element", "_any", "_actual")
     )
 
 
@@ -293,8 +297,9 @@ def settled(
 ) -> DataFrame:
     """The first row of each natural key under ``order``, what ``prepare`` adds to it, and the score.
 
-    As in :func:`run_dq`: one shuffle by unit and period.  Of the hot ones the rows left by the deduplication are
-    written, since they are counted, aggregated and joined.
+    As in :func:`run_dq`: one shuffle by unit and period.  Of the hot ones, the ``BROADCAST_KEYS`` largest at most, the
+    rows left by the deduplication are written, since they are aggregated and joined; so all rows are told apart by
+    a broadcast, and a unit and period that goes the common way has no more than rows / ``BROADCAST_KEYS`` or ``hot_rows``.
     """
     place = ["orgUnit", "period"]
 
@@ -311,10 +316,10 @@ def settled(
         return (
             written(first_per_key(rows, VALUE_KEY, order), "hot_rows")
             .transform(prepare)
-            .transform(completeness, programs, facilities, strict, hot_rows, broadcast_bytes)
+            .transform(completeness, programs, facilities, strict, hot_rows, broadcast_bytes, only=keys)
         )
 
-    keys = hot_keys(values if counted is None else counted, place, hot_rows)
+    keys = hot_keys(values if counted is None else counted, place, hot_rows, most=BROADCAST_KEYS, many=True)
     cold, hot = split_hot(values, place, keys)
     return together(cold) if hot is None else together(cold).unionByName(spread(hot))
 

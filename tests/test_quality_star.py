@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import frames
 from tallymart.operators import quality, star
 from tallymart.operators.hierarchy import enrich_with_hierarchy, flatten_hierarchy
+from tallymart.functions.skew import split_hot
 from tallymart.operators.resolve import resolve_keys
 
 TIE = ["value", "storedBy"]
@@ -237,3 +238,13 @@ def test_gate(spark):
         "ghost_rate",
         "fact_rows",
     ]
+
+
+def test_more_hot_units_than_can_be_broadcast_leave_the_same_rows(spark, monkeypatch):
+    columns = sorted(flow(spark, None)[0].columns)
+    plain = frames.rows(flow(spark, None)[0], *columns)
+    monkeypatch.setattr(quality, "BROADCAST_KEYS", 2)
+    found = []
+    monkeypatch.setattr(quality, "split_hot", lambda df, keys, hot: found.append(hot) or split_hot(df, keys, hot))
+    assert frames.rows(flow(spark, 2)[0], *columns) == plain
+    assert [hot.count for hot in found] == [2]  # the largest alone, and counted once

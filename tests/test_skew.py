@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import frames
+from tallymart.functions import skew
 from tallymart.functions.skew import hot_keys, lookup_join, split_hot
 
 
@@ -48,3 +49,20 @@ def test_hot_rows_are_not_shuffled_by_their_key(spark, capsys):
     plan = capsys.readouterr().out
     assert "SortMergeJoin" in plan
     assert "Union" in plan and plan.count("BroadcastHashJoin") >= 4
+
+
+def test_keys_nearly_as_many_as_the_rows_are_counted_in_buckets_first(sides, monkeypatch):
+    left, _ = sides
+    exact = frames.rows(hot_keys(left, ["k", "n"], 20).keys)
+    monkeypatch.setattr(skew, "BUCKETS_FROM", 1)
+    monkeypatch.setattr(skew, "BUCKETS", 8)  # fewer than the keys, so that cold ones share a bucket with hot ones
+    assert frames.rows(hot_keys(left, ["k", "n"], 20, many=True).keys) == exact and len(exact) > 1
+    monkeypatch.setattr(skew, "written", None)  # where no bucket is full, keys are not counted
+    assert hot_keys(left, ["k", "n"], 400, many=True) is None
+
+
+def test_the_largest_keys_are_kept(sides):
+    left, _ = sides
+    got = hot_keys(left, ["k"], 1, most=1)
+    assert frames.rows(got.keys) == [("hot",)] and got.count == 1
+    assert got.rows == left.filter("k = 'hot'").count()
