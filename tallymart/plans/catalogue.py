@@ -135,15 +135,16 @@ def fact(
     hot_rows: int | None = HOT_ROWS,
     values: DataFrame | None = None,
 ) -> DataFrame:
+    """The fact of ``values``, else of all that resolve: these are read once, so they are not written, and hot units and
+    periods are counted before their keys are resolved."""
     known = programs(spark, sf_dir)
     leaves = facilities(spark, sf_dir)
-    scored = quality.run_dq(
-        resolved(spark, sf_dir).rows if values is None else values,
-        known,
-        leaves,
-        fixture.tie_break(),
-        hot_rows=hot_rows,
-    )
+    counted = None
+    if values is None:
+        counted = fixture.reports(spark, sf_dir)
+        lookups = elements(spark, sf_dir), option_combos(spark, sf_dir), org_units(spark, sf_dir)
+        values = resolve.resolve_keys(counted, *lookups).rows
+    scored = quality.run_dq(values, known, leaves, fixture.tie_break(), hot_rows=hot_rows, counted=counted)
     # Names are attached after the shuffle, so that it does not carry them.
     named = hierarchy.enrich_with_hierarchy(scored, leaves)
     return star.build_fact(named, known, unique_input=True)
@@ -484,7 +485,8 @@ def dim_program(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_split_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact(spark, sf_dir, hot_rows=FEW_ROWS_PER_PLACE)
+    """The rows of hot groups are read apart from the others, so what resolves is written."""
+    return fact(spark, sf_dir, FEW_ROWS_PER_PLACE, resolved(spark, sf_dir).rows)
 
 
 def _fact_null_periods(hot_rows: int | None) -> Query:
@@ -708,8 +710,9 @@ def filter_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filter_new_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values = resolved(spark, sf_dir).rows
-    loaded = fact(spark, sf_dir, values=values).filter(F.col("year_month") < CUTOFF)
+    lookups = elements(spark, sf_dir), option_combos(spark, sf_dir), org_units(spark, sf_dir)
+    values = resolve.resolve_keys(fixture.reports(spark, sf_dir), *lookups).rows
+    loaded = fact(spark, sf_dir).filter(F.col("year_month") < CUTOFF)
     on = [("health_area", "health_area"), ("period", "year_month")]
     return incremental.filter_new(values, loaded, on=on).select(
         *fixture.TIE_BREAK, "dataElement", "period"
