@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 from urllib.parse import unquote
 
@@ -110,12 +111,19 @@ class Merge(NamedTuple):
     partitions: DataFrame  # their names; one without rows has lost them all
 
 
+_SUMS = ["a", "b", "c", "d"]
+
+
 def _signatures(fact: DataFrame) -> DataFrame:
-    """Per partition what tells two sets of rows apart: their number and two sums of their hashes."""
+    """Per partition what tells two sets of rows apart: their number and sums of the parts of two hashes.
+
+    Parts of 32 bits, so that sums are whole numbers that hold the rows of a partition, not decimals.
+    """
     first, second = F.xxhash64(*FACT.names), F.xxhash64(F.lit(1), *FACT.names)
-    return fact.groupBy(*FACT_PARTITIONS).agg(
-        F.count("*").alias("n"), F.sum(first.cast("decimal(38,0)")).alias("a"), F.sum(second.cast("decimal(38,0)")).alias("b")
-    )
+    hashed = fact.select(*FACT_PARTITIONS, first.alias("a"), second.alias("b"))
+    parts = [f(F.col(c)) for c in ("a", "b") for f in (lambda h: F.shiftright(h, 32), lambda h: h.bitwiseAND(0xFFFFFFFF))]
+    sums = [F.sum(part).alias(name) for name, part in zip(_SUMS, parts)]
+    return hashed.groupBy(*FACT_PARTITIONS).agg(F.count("*").alias("n"), *sums)
 
 
 def merge_late(
@@ -148,10 +156,10 @@ def merge_late(
     rows = rows.drop(*names)
     merged = written(rows.withColumnsRenamed({new: name for name, new in names.items()}).select(*FACT.names), "merged")
 
-    before = _signatures(old).select(*[F.col(c).alias(f"_{c}") for c in (*FACT_PARTITIONS, "n", "a", "b")])
+    before = _signatures(old).select(*[F.col(c).alias(f"_{c}") for c in (*FACT_PARTITIONS, "n", *_SUMS)])
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in FACT_PARTITIONS]
     compared = _signatures(merged).join(before, same[0] & same[1], "full")
-    differs = ~(F.col("n").eqNullSafe(F.col("_n")) & F.col("a").eqNullSafe(F.col("_a")) & F.col("b").eqNullSafe(F.col("_b")))
+    differs = ~reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("n", *_SUMS)])
     changed = compared.filter(differs).select(
         *[F.when(F.col("n").isNull(), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in FACT_PARTITIONS]
     )

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymart.functions.scratch import written
 from tallymart.schemas import FACT, FACT_PARTITIONS
 from tallymart.sources.sinks import write_fact
 
@@ -120,11 +121,13 @@ def publish_fact(fact: DataFrame, path: str, replace: str = "partitions", ended:
     there = live(spark, path)
     version = (log(spark, path).agg(F.max("version")).first()[0] or 0) + 1 if log(spark, path) is not None else 1
     each = spark.read.schema(FACT).parquet(folder).groupBy(*FACT_PARTITIONS, F.col("_metadata.file_path").alias("file"))
-    written = each.agg(F.count("*").alias("n")).groupBy(*FACT_PARTITIONS).agg(F.sum("n").alias("rows"), F.count("*").alias("files"))
-    entries = written.withColumn("action", F.lit(ADDED))
+    counted = each.agg(F.count("*").alias("n")).groupBy(*FACT_PARTITIONS).agg(F.sum("n").alias("rows"), F.count("*").alias("files"))
+    # Written, since the entries and what they end both ask for it.
+    counts = written(counted, "counts")
+    entries = counts.withColumn("action", F.lit(ADDED))
     gone = there if replace == "table" else ended
     if gone is not None:
-        new = written.select(*[F.col(c).alias(f"_{c}") for c in FACT_PARTITIONS])
+        new = counts.select(*[F.col(c).alias(f"_{c}") for c in FACT_PARTITIONS])
         same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in FACT_PARTITIONS]
         gone = gone.select(*FACT_PARTITIONS).distinct().join(new, same[0] & same[1], "left_anti")
         zero = F.lit(0).cast("long")

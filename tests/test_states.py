@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import frames
+from tallymart import schemas
+from tallymart.operators.incremental import _signatures
 from tallymart.operators import crosscut, states, trends
 from tallymart.sources.commits import publish_fact, read_committed
 from tallymart.sources.states import read_states, refresh_states
@@ -109,3 +111,11 @@ def test_no_rows_and_no_repeated_input(spark, out):
     found = read_states(spark, out)
     for report in (states.volumes_by_quarter(found), states.completeness_comparison(found)):
         assert "Expand" not in report._jdf.queryExecution().executedPlan().toString()
+
+
+def test_signatures_are_sums_of_whole_numbers(spark):
+    one, other = {"raw_value": "1"}, {"raw_value": "2"}
+    signed = [_signatures(frames.fact(spark, *rows)) for rows in ((one, other), (other, one), (one, one))]
+    same, again, differs = [frames.rows(df) for df in signed]
+    assert same == again != differs
+    assert {f.dataType.simpleString() for f in signed[0].schema if f.name not in schemas.FACT_PARTITIONS} == {"bigint"}
