@@ -140,7 +140,8 @@ def merge_late(
     Of the months that occur in ``late`` all stored rows are read, no others.  Per natural key the latest stamp wins,
     be it the stored one; equal stamps go by ``tie_break``, columns of the fact, and then the stored row stays.
     Scores of units and periods are taken anew, since they count all rows.  Partitions that come out as they
-    were are left out, so their files stay.
+    were are left out, so their files stay.  One with a late row, a new score or another number of rows has changed; only
+    where there is none of these are all columns of the rows before and after held against each other.
     """
     months = [r.year_month for r in late.select("year_month").distinct().collect()]  # a name a month
     wanted = F.col("year_month").isin([m for m in months if m is not None])
@@ -149,20 +150,43 @@ def merge_late(
     order = [F.desc_nulls_last("last_updated"), *tie_break, F.asc("_late")]
     names = {"ou_uid": "orgUnit", "de_uid": "dataElement", "coc_uid": "categoryOptionCombo", "raw_value": "value"}
     # Copies and scores meet by unit and period, in one shuffle of these rows.
+    values = both.withColumnsRenamed({**names, "completeness_score": "_score"})
     rows = settled(
-        both.drop("completeness_score").withColumnsRenamed(names).withColumns({c: F.col(n) for c, n in names.items()}),
-        programs, facilities, order, strict=strict, hot_rows=hot_rows,
+        values.withColumns({c: F.col(n) for c, n in names.items()}), programs, facilities, order, strict=strict, hot_rows=hot_rows
     )
-    rows = rows.drop(*names)
-    merged = written(rows.withColumnsRenamed({new: name for name, new in names.items()}).select(*FACT.names), "merged")
-
-    before = _signatures(old).select(*[F.col(c).alias(f"_{c}") for c in (*FACT_PARTITIONS, "n", *_SUMS)])
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in FACT_PARTITIONS]
-    compared = _signatures(merged).join(before, same[0] & same[1], "full")
-    differs = ~reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("n", *_SUMS)])
-    changed = compared.filter(differs).select(
-        *[F.when(F.col("n").isNull(), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in FACT_PARTITIONS]
-    )
-    changed = written(changed, "changed")
-    few = sized(changed.select(*[F.col(c).alias(f"_{c}") for c in FACT_PARTITIONS]))
-    return Merge(merged.join(few, same[0] & same[1], "left_semi"), changed)
+    rows = rows.drop(*names).withColumnsRenamed({new: name for name, new in names.items()})
+    # A late row that stays differs from all stored ones of its key, since of equal rows the stored one stays.
+    moved = (F.col("_late") == 1) | ~F.col("completeness_score").eqNullSafe(F.col("_score"))
+    marked = written(rows.select(*FACT.names, moved.alias("_moved")), "merged")
+    merged = marked.select(*FACT.names)
+
+    counted = marked.groupBy(*FACT_PARTITIONS).agg(F.count("*").alias("n"), F.bool_or("_moved").alias("moved"))
+    counts = old.groupBy(*FACT_PARTITIONS).agg(F.count("*").alias("n"))
+    told = written(_compared(counted, counts, F.coalesce("moved", F.lit(True)) | ~F.col("n").eqNullSafe(F.col("_n"))), "told")
+    alike = told.filter(~F.col("differs")).select(*FACT_PARTITIONS)
+    changed = told.filter("differs").select(*FACT_PARTITIONS)
+    if not alike.isEmpty():
+        sums = [_signatures(_of_partitions(df, alike)) for df in (merged, old)]
+        differs = ~reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("n", *_SUMS)])
+        changed = changed.unionByName(_compared(*sums, differs).filter("differs").select(*FACT_PARTITIONS))
+        changed = written(changed, "changed")
+    return Merge(_of_partitions(merged, changed), changed)
+
+
+def _same_partition() -> Column:
+    """Columns of a partition against those of another table, which begin with ``_``."""
+    area, month = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in FACT_PARTITIONS]
+    return area & month
+
+
+def _compared(after: DataFrame, before: DataFrame, differs: Column) -> DataFrame:
+    """``(health_area, year_month, differs)`` of the partitions of either table; columns of ``before`` begin with ``_``."""
+    before = before.withColumnsRenamed({c: f"_{c}" for c in before.columns})
+    either = [F.when(F.col("n").isNull(), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in FACT_PARTITIONS]
+    return after.join(before, _same_partition(), "full").select(*either, differs.alias("differs"))
+
+
+def _of_partitions(rows: DataFrame, partitions: DataFrame) -> DataFrame:
+    """Rows of the partitions of a written table."""
+    few = sized(partitions.select(*[F.col(c).alias(f"_{c}") for c in FACT_PARTITIONS]))
+    return rows.join(few, _same_partition(), "left_semi")
