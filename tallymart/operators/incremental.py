@@ -8,7 +8,7 @@ from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +17,7 @@ from tallymart.functions.sizing import BROADCAST_BYTES, sized
 from tallymart.functions.skew import HOT_ROWS, lookup_join
 from tallymart.operators.quality import settled
 from tallymart.schemas import FACT, FACT_PARTITIONS
-from tallymart.sources.commits import live, log, read_committed
+from tallymart.sources.commits import live, log, read_committed, read_staged, stage_fact
 
 
 _PARTITIONS = T.StructType([FACT[name] for name in FACT_PARTITIONS])
@@ -109,6 +109,7 @@ def load_incremental(
 class Merge(NamedTuple):
     rows: DataFrame  # the changed partitions, whole
     partitions: DataFrame  # their names; one without rows has lost them all
+    run: str | None = None  # where the rows are staged, to be published as they are
 
 
 _SUMS = ["a", "b", "c", "d"]
@@ -134,6 +135,7 @@ def merge_late(
     tie_break: Sequence[Column] = (),
     strict: bool = False,
     hot_rows: int | None = HOT_ROWS,
+    path: str | None = None,
 ) -> Merge:
     """What rows for months already loaded make of the stored fact: as if all had been loaded at once.
 
@@ -142,6 +144,10 @@ def merge_late(
     Scores of units and periods are taken anew, since they count all rows.  Partitions that come out as they
     were are left out, so their files stay.  One with a late row, a new score or another number of rows has changed; only
     where there is none of these are all columns of the rows before and after held against each other.
+
+    With the ``path`` of the fact that ``stored`` was read from, the merged months are written once, as a run that
+    ``publish_fact(merge.rows, path, ended=merge.partitions, run=merge.run)`` then publishes without another copy of them;
+    files of partitions that have not changed stay in it unused.  Names of partitions come to the driver.
     """
     months = [r.year_month for r in late.select("year_month").distinct().collect()]  # a name a month
     wanted = F.col("year_month").isin([m for m in months if m is not None])
@@ -157,10 +163,20 @@ def merge_late(
     rows = rows.drop(*names).withColumnsRenamed({new: name for name, new in names.items()})
     # A late row that stays differs from all stored ones of its key, since of equal rows the stored one stays.
     moved = (F.col("_late") == 1) | ~F.col("completeness_score").eqNullSafe(F.col("_score"))
-    marked = written(rows.select(*FACT.names, moved.alias("_moved")), "merged")
-    merged = marked.select(*FACT.names)
-
-    counted = marked.groupBy(*FACT_PARTITIONS).agg(F.count("*").alias("n"), F.bool_or("_moved").alias("moved"))
+    marked = rows.select(*FACT.names, moved.alias("_moved"))
+    run = None
+    if path is None:
+        marked = written(marked, "merged")
+        merged = marked.select(*FACT.names)
+        counted = marked.groupBy(*FACT_PARTITIONS).agg(F.count("*").alias("n"), F.bool_or("_moved").alias("moved"))
+    else:
+        seen, place = Observation(), F.struct(*FACT_PARTITIONS)
+        run = stage_fact(marked.observe(seen, F.collect_set(F.when(F.col("_moved"), place)).alias("moved")).drop("_moved"), path)
+        merged = read_staged(stored.sparkSession, path, run)
+        names = stored.sparkSession.createDataFrame([tuple(r) for r in seen.get["moved"] or []], _PARTITIONS)
+        names = names.select(*[F.col(c).alias(f"_{c}") for c in FACT_PARTITIONS], F.lit(True).alias("moved"))
+        counted = merged.groupBy(*FACT_PARTITIONS).agg(F.count("*").alias("n")).join(names, _same_partition(), "left")
+        counted = counted.select(*FACT_PARTITIONS, "n", F.coalesce("moved", F.lit(False)).alias("moved"))
     counts = old.groupBy(*FACT_PARTITIONS).agg(F.count("*").alias("n"))
     told = written(_compared(counted, counts, F.coalesce("moved", F.lit(True)) | ~F.col("n").eqNullSafe(F.col("_n"))), "told")
     alike = told.filter(~F.col("differs")).select(*FACT_PARTITIONS)
@@ -170,7 +186,7 @@ def merge_late(
         differs = ~reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("n", *_SUMS)])
         changed = changed.unionByName(_compared(*sums, differs).filter("differs").select(*FACT_PARTITIONS))
         changed = written(changed, "changed")
-    return Merge(_of_partitions(merged, changed), changed)
+    return Merge(_of_partitions(merged, changed), changed, run)
 
 
 def _same_partition() -> Column:

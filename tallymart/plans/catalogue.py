@@ -690,8 +690,8 @@ def _corrected(spark: SparkSession, sf_dir: str, with_states: bool) -> str:
         read_states(spark, path)
     late = written(fact(spark, sf_dir, values=values.filter(second)), "late")
     stored = incremental.read_fact(spark, path)
-    merge = incremental.merge_late(stored, late, programs(spark, sf_dir), facilities(spark, sf_dir))
-    commits.publish_fact(merge.rows, path, ended=merge.partitions)
+    merge = incremental.merge_late(stored, late, programs(spark, sf_dir), facilities(spark, sf_dir), path=path)
+    commits.publish_fact(merge.rows, path, ended=merge.partitions, run=merge.run)
     return path
 
 

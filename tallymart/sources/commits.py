@@ -7,7 +7,8 @@ it, a run that fails leaves the table as it was, and which partitions there are
 
 The state is the last entry of each partition.  Data files are never changed; those of replaced partitions stay
 until ``<path>/_data`` is cleared of runs that :func:`live` no longer names.  One writer at a time: of two that overlap
-each partition keeps the entry with the higher version, then run.
+each partition keeps the entry with the higher version, then run.  An entry of version ``UNUSED`` is of a partition that
+a run has written but that came out as it was: it is older than any other, so what was there stays.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from tallymart.schemas import FACT, FACT_PARTITIONS
 from tallymart.sources.sinks import write_fact
 
 ADDED, ENDED = "added", "ended"
+UNUSED = 0
 
 LOG = T.StructType(
     [
@@ -106,33 +108,61 @@ def read_runs(spark: SparkSession, path: str, partitions: Sequence[tuple[str | N
     return rows.filter(_key("run", *FACT_PARTITIONS).isin(keys))
 
 
-def publish_fact(fact: DataFrame, path: str, replace: str = "partitions", ended: DataFrame | None = None) -> int:
+def stage_fact(fact: DataFrame, path: str) -> str:
+    """Write ``fact`` as a run of its own, which readers do not see before it is published; the name of the run."""
+    run = uuid.uuid4().hex
+    write_fact(fact, _folder(path, run), replace="table")
+    return run
+
+
+def read_staged(spark: SparkSession, path: str, run: str) -> DataFrame:
+    """All rows of a run, published or not."""
+    return spark.read.schema(FACT).parquet(_folder(path, run)).select(*FACT.names)
+
+
+def _folder(path: str, run: str) -> str:
+    return f"{path.rstrip('/')}/_data/run={run}"
+
+
+def publish_fact(
+    fact: DataFrame, path: str, replace: str = "partitions", ended: DataFrame | None = None, run: str | None = None
+) -> int:
     """Write ``fact`` and switch readers over to it; the number of the commit.
 
     ``replace="partitions"`` replaces the partitions that occur in ``fact``, and ends those of ``ended`` that do not;
-    ``"table"`` ends all others.  Rows and files are counted from the files just written.
+    ``"table"`` ends all others.  Rows and files are counted from the files just written.  With ``run``, the name of a
+    staged one, nothing is written: ``fact`` are its rows of the partitions of ``ended``, and its others are not used.
     """
     if replace not in ("partitions", "table"):
         raise ValueError("replace must be 'partitions' or 'table'")
+    if run is not None and (replace == "table" or ended is None):
+        raise ValueError("of a staged run the partitions in ended are replaced")
     spark, path = fact.sparkSession, path.rstrip("/")
-    run = uuid.uuid4().hex
-    folder = f"{path}/_data/run={run}"
-    write_fact(fact, folder, replace="table")
+    staged = run is not None
+    run = run or stage_fact(fact, path)
+    folder = _folder(path, run)
     there = live(spark, path)
     version = (log(spark, path).agg(F.max("version")).first()[0] or 0) + 1 if log(spark, path) is not None else 1
     each = spark.read.schema(FACT).parquet(folder).groupBy(*FACT_PARTITIONS, F.col("_metadata.file_path").alias("file"))
     counted = each.agg(F.count("*").alias("n")).groupBy(*FACT_PARTITIONS).agg(F.sum("n").alias("rows"), F.count("*").alias("files"))
     # Written, since the entries and what they end both ask for it.
     counts = written(counted, "counts")
-    entries = counts.withColumn("action", F.lit(ADDED))
+    entries = counts.withColumns({"action": F.lit(ADDED), "version": F.lit(version).cast("long")})
+    if staged:
+        used = ended.select(*[F.col(c).alias(f"_{c}") for c in FACT_PARTITIONS], F.lit(True).alias("_used")).distinct()
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in FACT_PARTITIONS]
+        entries = entries.join(used, same[0] & same[1], "left").withColumn(
+            "version", F.when(F.col("_used"), F.col("version")).otherwise(F.lit(UNUSED).cast("long"))
+        ).select(*entries.columns)
     gone = there if replace == "table" else ended
     if gone is not None:
         new = counts.select(*[F.col(c).alias(f"_{c}") for c in FACT_PARTITIONS])
         same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in FACT_PARTITIONS]
         gone = gone.select(*FACT_PARTITIONS).distinct().join(new, same[0] & same[1], "left_anti")
         zero = F.lit(0).cast("long")
-        entries = entries.unionByName(gone.select("*", zero.alias("rows"), zero.alias("files"), F.lit(ENDED).alias("action")))
-    entries = entries.select(F.lit(version).cast("long").alias("version"), F.lit(run).alias("run"), "action", *FACT_PARTITIONS, "rows", "files")
+        ends = {"rows": zero, "files": zero, "action": F.lit(ENDED), "version": F.lit(version).cast("long")}
+        entries = entries.unionByName(gone.withColumns(ends))
+    entries = entries.select("version", F.lit(run).alias("run"), "action", *FACT_PARTITIONS, "rows", "files")
     # One file, a row per partition: its rename into the folder is the switch.
     entries.coalesce(1).write.mode("append").parquet(f"{path}/_log")
     return version
