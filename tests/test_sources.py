@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import frames
 from tallymart import schemas
-from tallymart.sources import documents, exports, sinks
+from tallymart.sources import documents, exports, pieces, sinks
 
 VALUE = {"dataElement": "e", "period": "202401", "orgUnit": "u", "value": "1"}
 
@@ -267,3 +267,19 @@ def test_split_documents_are_not_scanned_again_for_each_kind_of_row(spark, tmp_p
     assert frames.rows(tagged, "status") == [("clean",), ("clean",), ("rejected",)]
     plan = tagged._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan
+
+
+def test_split_documents_are_read_once_and_parsed_once(spark, tmp_path, monkeypatch):
+    write(tmp_path / "values.json", json.dumps({"dataValues": [{**VALUE, "detail": {"a": [{}]}}, VALUE, None]}))
+    reads, real = [], pieces.written
+
+    def seen(df, name):
+        reads.extend([name] * any(f.endswith("values.json") for f in df.inputFiles()))
+        return real(df, name)
+
+    monkeypatch.setattr(pieces, "written", seen)
+    tagged = exports.tagged_export(spark, exports.DATA_VALUES, str(tmp_path / "values.json"), "split")
+    clean = tagged.filter(F.col("status") == documents.CLEAN)
+    assert len(reads) == 1 and clean.count() == 2
+    # a filter of parsed fields does not parse the text once more for each of them
+    assert clean._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
