@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import frames
 from tallymart import schemas
+from tallymart.plans import fixture
 from tallymart.sources import documents, exports, pieces, sinks
 
 VALUE = {"dataElement": "e", "period": "202401", "orgUnit": "u", "value": "1"}
@@ -283,3 +284,11 @@ def test_split_documents_are_read_once_and_parsed_once(spark, tmp_path, monkeypa
     assert len(reads) == 1 and clean.count() == 2
     # a filter of parsed fields does not parse the text once more for each of them
     assert clean._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+
+
+def test_packed_documents_hold_all_rows_in_order(spark):
+    rows = spark.range(25, numPartitions=1).select("id", F.lit("é\"").alias("t"))
+    got = [json.loads(r.value) for r in fixture.packed_documents(rows, {"v": "1"}, "items", 10).collect()]
+    assert [list(d) for d in got] == [["v", "items"]] * 3
+    assert [[i["id"] for i in d["items"]] for d in got] == [[*range(10)], [*range(10, 20)], [*range(20, 25)]]
+    assert fixture.packed_documents(rows.filter("id < 0"), {"v": "1"}, "items", 10).count() == 0
