@@ -304,10 +304,13 @@ def settled(
     place = ["orgUnit", "period"]
 
     def together(rows: DataFrame) -> DataFrame:
+        rows = rows.transform(with_expected, programs, facilities, strict, broadcast_bytes)
+        if strict:
+            rows = rows.repartition(*place)
+        else:  # the row's own indicator, which need not move twice
+            rows = rows.drop("expected_element").repartition(*place).withColumn("expected_element", F.col("dataElement"))
         return (
-            rows.transform(with_expected, programs, facilities, strict, broadcast_bytes)
-            .repartition(*place)
-            .transform(first_per_key, [*place, "dataElement", "categoryOptionCombo"], order)
+            rows.transform(first_per_key, [*place, "dataElement", "categoryOptionCombo"], order)
             .transform(prepare)
             .transform(score_in_place)
         )

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,6 +7,7 @@ import frames
 from tallymart.functions import periods as P
 from tallymart.functions.casting import typed_number
 from tallymart.functions.keys import first_per_key, unique_by
+from tallymart.functions.scratch import written
 from tallymart.functions.sizing import measured_bytes, sized
 
 
@@ -83,3 +86,20 @@ def test_broadcast_only_below_the_bound(spark, capsys):
     assert "BroadcastHashJoin" in capsys.readouterr().out
     big.join(sized(lookup, 10_000), F.col("k") == F.col("id"), "left").explain()
     assert "SortMergeJoin" in capsys.readouterr().out
+
+
+def test_shuffle_files_of_a_written_table_go_with_its_write(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+    before, set_to = shuffled(), spark.conf.get(setting, None)
+    table = written(spark.range(1000).repartition(3, "id"), "rows")
+    end = time.time() + 20
+    while (left := shuffled() - before) and time.time() < end:
+        time.sleep(0.2)
+    assert not left and spark.conf.get(setting, None) == set_to
+    assert table.count() == 1000 and table.agg(F.sum("id")).first()[0] == 499_500

@@ -176,6 +176,12 @@ def test_null_periods_are_scored_whatever_the_size(spark):
     assert any(r[at[0]] is not None and r[at[1]] is None for r in runs[0])
 
 
+def test_the_indicator_is_not_moved_twice(spark):
+    plan = flow(spark, None)[0]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = [k for k, line in enumerate(plan) if "RepartitionByExpression" in line]
+    assert len(at) == 1 and not [line for line in plan[at[0] :] if "AS expected_element" in line]
+
+
 def test_one_shuffle_of_the_values(spark, capsys):
     flow(spark, None)[0].explain()
     plan = capsys.readouterr().out
