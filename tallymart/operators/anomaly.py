@@ -29,8 +29,11 @@ def sigma_anomalies(
     ``include_current=False`` uses the ``rows`` rows before it instead.
     """
     value = F.col("numeric_value")
+    place = ["ou_uid", "facility_name", "country_name", "district_name", "de_uid", "health_area", "period"]
+    tested = fact.filter(value.isNotNull() & (value > 0) & ~F.col("is_missing_value"))
+    # The rows of hot groups move and are written, so only what is read of them goes along.
     framed = with_row_frame(
-        fact.filter(value.isNotNull() & (value > 0) & ~F.col("is_missing_value")),
+        tested.select(*place, "coc_uid", "numeric_value"),
         ["ou_uid", "de_uid"],
         order=["period", "coc_uid"],
         frame=(-(rows - 1), 0) if include_current else (-rows, -1),
@@ -48,13 +51,7 @@ def sigma_anomalies(
         .withColumn("_score", score)
         .filter(F.col("_score") > sigmas)
         .select(
-            "ou_uid",
-            "facility_name",
-            "country_name",
-            "district_name",
-            "de_uid",
-            "health_area",
-            "period",
+            *place,
             "numeric_value",
             F.round("_mean", 4).alias("rolling_mean"),
             F.round("_deviation", 4).alias("rolling_stddev"),

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import frames
-from tallymart.operators import anomaly, crosscut, trends
+from tallymart.operators import anomaly, crosscut, framing, trends
 from tallymart.operators.framing import _pieces, with_row_frame
 
 
@@ -301,3 +301,17 @@ def test_tasks_of_cut_groups_do_not_grow_with_the_pieces(spark):
     found = framed(5)
     assert len([f for f in found.inputFiles() if "/pieces/" in f]) < 40  # 800 pieces
     assert frames.rows(found) == frames.rows(framed(None))
+
+
+def columns_written(monkeypatch):
+    found, real = [], framing.written
+    monkeypatch.setattr(framing, "written", lambda df, name: found.extend(df.columns) or real(df, name))
+    return found
+
+
+def test_anomalies_of_cut_groups_write_what_they_read(spark, monkeypatch):
+    fact, _ = random_fact(spark)
+    found = columns_written(monkeypatch)
+    cut = frames.rows(anomaly.sigma_anomalies(fact, sigmas=1.5, hot_rows=20))
+    assert "numeric_value" in found and not {"raw_value", "stored_by", "last_updated", "is_missing_value"} & set(found)
+    assert cut and cut == frames.rows(anomaly.sigma_anomalies(fact, sigmas=1.5, hot_rows=None))
