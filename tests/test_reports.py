@@ -315,3 +315,11 @@ def test_anomalies_of_cut_groups_write_what_they_read(spark, monkeypatch):
     cut = frames.rows(anomaly.sigma_anomalies(fact, sigmas=1.5, hot_rows=20))
     assert "numeric_value" in found and not {"raw_value", "stored_by", "last_updated", "is_missing_value"} & set(found)
     assert cut and cut == frames.rows(anomaly.sigma_anomalies(fact, sigmas=1.5, hot_rows=None))
+
+
+def test_rolling_means_of_cut_groups_write_what_they_read(spark, monkeypatch):
+    fact, _ = random_fact(spark)
+    found = columns_written(monkeypatch)
+    cut = frames.rows(trends.rolling_avg(fact, hot_rows=20))
+    assert "numeric_value" in found and not {"raw_value", "stored_by", "last_updated", "is_missing_value"} & set(found)
+    assert cut and cut == frames.rows(trends.rolling_avg(fact, hot_rows=None))
