@@ -177,7 +177,12 @@ def test_null_periods_are_scored_whatever_the_size(spark):
 
 
 def test_the_indicator_is_not_moved_twice(spark):
-    plan = flow(spark, None)[0]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    rows = flow(spark, None)[0]
+    try:
+        spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+        plan = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
     at = [k for k, line in enumerate(plan) if "RepartitionByExpression" in line]
     assert len(at) == 1 and not [line for line in plan[at[0] :] if "AS expected_element" in line]
 
