@@ -615,12 +615,13 @@ def analytics_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 def aggregation_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the files of all reports across countries, from one run over the fact."""
     out, rows = scratch_path(spark, "mart"), written(fact(spark, sf_dir), "fact")
-    reports.run_aggregation(rows, out)
+    countries = _countries(spark, sf_dir)
+    reports.run_aggregation(rows, out, countries=countries)
     none = rows.limit(0)
     alike = {
         "volumes_by_quarter": crosscut.volumes_by_quarter(none),
         "completeness_comparison": crosscut.completeness_comparison(none),
-        "coverage_matrix": crosscut.coverage_matrix(none, _countries(spark, sf_dir)),
+        "coverage_matrix": crosscut.coverage_matrix(none, countries),
         "low_completeness_countries": crosscut.low_runs(none),
     }
     return _read_reports(spark, f"{out}/cross_country", alike)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from tallymart.functions.skew import HOT_ROWS
@@ -52,10 +54,13 @@ def run_analytics(
     )
 
 
-def run_aggregation(fact: DataFrame, output_dir: str, states: merged.States | None = None) -> None:
+def run_aggregation(
+    fact: DataFrame, output_dir: str, states: merged.States | None = None, countries: Sequence[str] | None = None
+) -> None:
     """Reports across countries: all are one row per country, area or indicator and period.
 
-    With ``states`` they are merged from them, and the fact is not read.
+    With ``states`` they are merged from them, and the fact is not read.  ``countries`` are the columns of the
+    coverage matrix, those reported in by default.
     """
     out = f"{output_dir.rstrip('/')}/cross_country"
     rows = fact if states is None else states
@@ -68,5 +73,6 @@ def run_aggregation(fact: DataFrame, output_dir: str, states: merged.States | No
         "low_completeness_countries": (low_runs, merged.low_runs, ["country_name", "run_start_period"]),
     }
     for name, (of_rows, of_states, order) in reports.items():
-        df = (of_rows if states is None else of_states)(rows)
+        options = {"countries": countries} if name == "coverage_matrix" else {}
+        df = (of_rows if states is None else of_states)(rows, **options)
         write_report(df, f"{out}/{name}", order=order, single_file=True)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import frames
 from tallymart.operators import anomaly, crosscut, framing, trends
 from tallymart.operators.framing import _pieces, with_row_frame
+from tallymart.plans import reports
 
 
 def month(i):
@@ -303,6 +304,15 @@ def test_tasks_of_cut_groups_do_not_grow_with_the_pieces(spark):
     assert frames.rows(found) == frames.rows(framed(None))
 
 
+def test_the_written_matrix_has_the_countries_asked_for(spark, out):
+    fact = frames.fact(spark, {"period": "202401", "numeric_value": 4.0})
+    reports.run_aggregation(fact, out, countries=["Kenya", "Togo"])
+    matrix = spark.read.csv(f"{out}/cross_country/coverage_matrix", header=True)
+    assert frames.rows(matrix, "Kenya", "Togo") == [("1", "0")]
+    reports.run_aggregation(fact, f"{out}/reported")
+    assert "Togo" not in spark.read.csv(f"{out}/reported/cross_country/coverage_matrix", header=True).columns
+
+
 def columns_written(monkeypatch):
     found, real = [], framing.written
     monkeypatch.setattr(framing, "written", lambda df, name: found.extend(df.columns) or real(df, name))
